@@ -19,14 +19,15 @@ def lookup_join(left: DataFrame, right: DataFrame, on: dict[str, str]) -> DataFr
     Rows with a null key match nothing but would all be sent to one task. A second key part,
     always 0 for rows with a key, spreads them. Rows sharing one real key are left to the skew
     handling of adaptive execution, which can split the left side of this join, and a reference
-    table that turns out small is broadcast by it. All columns of both sides are kept.
+    table that turns out small is broadcast by it. All columns of both sides are kept; the key
+    columns need different names.
     """
     no_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in on])
     spread = F.when(no_key, F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD - 1)) + 1)
     a = left.withColumn("_part", F.coalesce(spread, F.lit(0)))
     b = right.withColumn("_right_part", F.lit(0).cast("long"))
-    same = [a[name] == b[other] for name, other in on.items()]
-    return a.join(b, [*same, a["_part"] == b["_right_part"]], "left").drop("_part", "_right_part")
+    same = [F.col(name) == F.col(other) for name, other in [*on.items(), ("_part", "_right_part")]]
+    return a.join(b, same, "left").drop("_part", "_right_part")
 
 
 def one_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
