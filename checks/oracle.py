@@ -8,7 +8,7 @@ from nearstop.functions.text import (
     LEADING_ZERO_DISTRICTS, NULL_TOKENS, PADDED_DISTRICTS, PADDED_STATES, UNKNOWN_STREET_MARKS,
 )
 from nearstop.schemas import (
-    RENTAL_FEATURE, RENTAL_LOCATION, RENTAL_PRICE_AND_COST, STATION, schema,
+    RENTAL_FEATURE, RENTAL_LOCATION, RENTAL_PRICE_AND_COST, schema,
 )
 
 
@@ -152,9 +152,9 @@ def _extract(columns: list[str]) -> str:
 
 
 _STATION_CELLS = ", ".join(
-    f"CAST({name} AS {'INTEGER' if kind == 'int' else 'VARCHAR'}) AS {name}"
-    if name not in ("Latitude", "Longitude") else f"nullif({name}, '') AS {name}"
-    for name, kind in (column.split() for column in STATION.strip().split(","))
+    f"CAST({f.name} AS INTEGER) AS {f.name}" if f.name == "SeqNo"
+    else f"nullif({f.name}, '') AS {f.name}"
+    for f in schema("STATION").fields
 )
 
 ORACLE = {

@@ -175,14 +175,15 @@ def map_markers(spark, sf):
     return map_features(_addresses(spark, sf), nearest).drop("feature")
 
 
-def _write_csv(df: DataFrame, label: str, sep: str = ",") -> str:
+def _write_csv(df: DataFrame, label: str, **options: str) -> str:
     path = scratch_path(df.sparkSession, label)
-    df.write.option("header", True).option("sep", sep).option("escape", '"').csv(path)
+    df.write.options(header=True, **options).csv(path)
     return path
 
 
 def _read_rental_file(spark: SparkSession, sf: str) -> DataFrame:
-    return files.read_rentals(spark, _write_csv(views.rental_file(spark, sf), "rentals"))
+    path = _write_csv(views.rental_file(spark, sf), "rentals", escape='"')
+    return files.read_rentals(spark, path)
 
 
 def scan_rental_csv(spark, sf):
@@ -190,7 +191,8 @@ def scan_rental_csv(spark, sf):
 
 
 def scan_station_csv(spark, sf):
-    return files.read_stations(spark, _write_csv(views.station_file(spark, sf), "stations", ";"))
+    path = _write_csv(views.station_file(spark, sf), "stations", sep=";")
+    return files.read_stations(spark, path)
 
 
 def scan_mapping(spark, sf):

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType, DoubleType, IntegerType, StringType, StructField, StructType,
+)
 
 
 class SchemaMismatch(ValueError):
@@ -63,14 +65,17 @@ _BY_NAME = {
     "MAPPING_MUNICIPAL_ZIP": MAPPING_MUNICIPAL_ZIP,
     "MAPPING_ZIP_COOR": MAPPING_ZIP_COOR,
 }
+_TYPES = {
+    "string": StringType(), "int": IntegerType(), "double": DoubleType(), "boolean": BooleanType(),
+}
 
 
 def schema(name: str) -> StructType:
-    """The schema called ``name``, in any letter case."""
-    try:
-        return StructType.fromDDL(_BY_NAME[name.upper()])
-    except KeyError:
-        raise ValueError(f"no schema is called {name!r}; known: {sorted(_BY_NAME)}") from None
+    """The schema called ``name``, in any letter case; needs no session."""
+    if name.upper() not in _BY_NAME:
+        raise ValueError(f"no schema is called {name!r}; known: {sorted(_BY_NAME)}")
+    columns = (column.split() for column in _BY_NAME[name.upper()].split(","))
+    return StructType([StructField(column, _TYPES[kind]) for column, kind in columns])
 
 
 def require_columns(df: DataFrame, columns: list[str]) -> None:
