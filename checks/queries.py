@@ -20,22 +20,27 @@ from nearstop.sources.tables import read_table
 ONE_OFFER = 100
 
 
-def _stations(spark: SparkSession, sf: str) -> DataFrame:
-    return stations.with_coordinates(views.stations(spark, sf))
+def _stations(spark: SparkSession, sf: str, heavy: bool = False) -> DataFrame:
+    return stations.with_coordinates(views.stations(spark, sf, heavy))
 
 
-def _stations_with_zip(spark: SparkSession, sf: str) -> DataFrame:
-    return stations.with_municipal_zip(_stations(spark, sf), views.mapping(spark, sf))
+def _stations_with_zip(spark: SparkSession, sf: str, heavy: bool = False) -> DataFrame:
+    mapping = views.mapping(spark, sf)
+    return stations.with_municipal_zip(_stations(spark, sf, heavy), mapping)
 
 
 def _stations_final(spark: SparkSession, sf: str) -> DataFrame:
-    with_zip = _stations_with_zip(spark, sf)
+    with_zip = _stations_with_zip(spark, sf, heavy=True)
     found = geocode.nearest_zip(stations.missing_zip(with_zip), views.centres(spark, sf))
     return stations.with_resolved_zip(with_zip, found)
 
 
-def _rentals(spark: SparkSession, sf: str) -> DataFrame:
-    return rentals.with_zip_group(rentals.with_repaired_zip(views.rentals(spark, sf)))
+def _rentals(spark: SparkSession, sf: str, heavy: bool = False) -> DataFrame:
+    return rentals.with_zip_group(rentals.with_repaired_zip(views.rentals(spark, sf, heavy)))
+
+
+def _nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return match.nearest_stations(_rentals(spark, sf, heavy=True), _stations_final(spark, sf))
 
 
 def _addresses(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,8 +48,7 @@ def _addresses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def knn_stations(spark, sf):
-    found = match.nearest_stations(_rentals(spark, sf), _stations_final(spark, sf))
-    return found.select("scoutId", "rank", "DHID", "Parent", "Name")
+    return _nearest(spark, sf).select("scoutId", "rank", "DHID", "Parent", "Name")
 
 
 def nearest_for_one(spark, sf):
@@ -101,7 +105,7 @@ def inherit_from_parent(spark, sf):
 
 
 def geocode_reverse(spark, sf):
-    found = geocode.nearest_zip(_stations(spark, sf), views.centres(spark, sf))
+    found = geocode.nearest_zip(_stations(spark, sf, heavy=True), views.centres(spark, sf))
     return found.select("SeqNo", "Q_PLZ")
 
 
@@ -117,7 +121,7 @@ def geocode_forward(spark, sf):
 
 
 def resolve_residual(spark, sf):
-    return geocode.resolve_zips(_stations(spark, sf), views.centres(spark, sf))
+    return geocode.resolve_zips(_stations(spark, sf, heavy=True), views.centres(spark, sf))
 
 
 def stations_zip_final(spark, sf):
@@ -171,8 +175,7 @@ def surrogate_id(spark, sf):
 
 
 def map_markers(spark, sf):
-    nearest = match.nearest_stations(_rentals(spark, sf), _stations_final(spark, sf))
-    return map_features(_addresses(spark, sf), nearest).drop("feature")
+    return map_features(_addresses(spark, sf), _nearest(spark, sf)).drop("feature")
 
 
 def _write_csv(df: DataFrame, label: str, **options: str) -> str:

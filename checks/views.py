@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from nearstop.schemas import RENTAL_DROPPED, schema
+from nearstop.sources.tables import spread
 
 
 def text(number: str) -> str:
@@ -121,8 +122,12 @@ def select_list(columns: dict[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in columns.items()]
 
 
-def _view(spark: SparkSession, sf_dir: str, table: str, columns: dict[str, str]) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet").selectExpr(*select_list(columns))
+def _view(
+    spark: SparkSession, sf_dir: str, table: str, columns: dict[str, str], heavy: bool = False
+) -> DataFrame:
+    """A view as a table; ``heavy`` spreads it over all cores for work that pays for it."""
+    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return (spread(rows) if heavy else rows).selectExpr(*select_list(columns))
 
 
 def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,16 +138,16 @@ def centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, "nation", CENTRE)
 
 
-def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, "part", STATION)
+def stations(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    return _view(spark, sf_dir, "part", STATION, heavy)
 
 
 def station_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, "part", STATION_FILE)
 
 
-def rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir, "customer", RENTAL)
+def rentals(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    return _view(spark, sf_dir, "customer", RENTAL, heavy)
 
 
 def known_places(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,9 @@ def distance2(lat_a: Column, lng_a: Column, lat_b: Column, lng_b: Column) -> Col
     return dlat * dlat + dlng * dlng
 
 
+SIDES = ["_south", "_north", "_west", "_east"]
+
+
 def box(lat: str, lng: str) -> list[Column]:
     """Aggregates that give the box around a group of points."""
     return [

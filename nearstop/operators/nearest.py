@@ -1,15 +1,17 @@
 """Exact k-nearest join of any number of query points with any number of candidate points.
 
-Groups with few candidates are solved by one join: the candidates of a group travel as one array
-and each query row picks its k nearest from it, so no pair of points is ever a row.
+The candidates of a group travel as one row: a list of chunks of nearby points, each with its box
+and its number of points. Every query row picks its k nearest from that list, looking only into
+chunks whose gap to it is at most the distance within which k candidates are certain. No pair of
+points is ever a row, and nothing is shuffled after the join.
 
-Larger groups are split by a grid that gets finer level by level. Query points are handled by
+Large groups are split by a grid that gets finer level by level. Query points are handled by
 cell, not one by one: a query cell keeps the candidate cells that may hold one of its k nearest,
-and passes their children to its own children. A candidate cell stays only if its gap to the
-query cell is at most the distance within which k candidates are certain. The split of a group
-ends when no cell holds more than ``leaf`` candidates; each query point then picks its k nearest
-from the few cells its own cell kept. The work grows with the number of query cells, whatever
-share of the rows a single group holds, and the result equals a comparison of all pairs.
+by the same rule of gap and certain distance, and passes their children to its own children. The
+split of a group ends when no cell holds more than ``leaf`` candidates; the few cells a query
+cell kept are then the chunks its query points pick from. The work grows with the number of query
+cells, whatever share of the rows a single group holds, and the result equals a comparison of all
+pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nearstop.functions.geo import (
-    MAX_LEVEL, box, cell, distance2, gap2, grid, is_located, parent_cell, span2,
+    MAX_LEVEL, SIDES, box, cell, distance2, gap2, grid, is_located, parent_cell, span2,
 )
 from nearstop.scratch import materialise
 
@@ -31,7 +33,7 @@ from nearstop.scratch import materialise
 class Limits:
     """When groups are split and tables are broadcast."""
 
-    group: int = 1024  # candidates up to which a group is never split
+    group: int = 4096  # candidates up to which a group is never split
     widest: int = 16384  # candidates above which a group is always split
     pairs: int = 50_000_000  # between the two, queries times candidates above which it is split
     leaf: int = 64  # candidates per cell at which splitting ends
@@ -68,34 +70,31 @@ def nearest_join(
     sizes = points.groupBy("_group").agg(
         F.count("*").alias("_n"), F.sum(_row_bytes(points)).alias("_bytes")
     )
-    measured = _measure(sizes, F.col("_n") > limits.group)
+    is_large = F.col("_n") > limits.group
+    measured = _measure(sizes, is_large)
     if measured.large_groups:
         asked = materialise(asked, "queries")
         asking = asked.groupBy("_group").agg(F.count("*").alias("_asking"))
-        sizes = materialise(
-            sizes.join(asking, "_group", "left").na.fill(0, ["_asking"]), "sizes"
-        )
-        is_large = (F.col("_n") > limits.group) & (
-            (F.col("_n") > limits.widest) | (F.col("_n") * F.col("_asking") > limits.pairs)
+        sizes = sizes.join(asking, "_group", "left").na.fill(0, ["_asking"])
+        is_large &= (F.col("_n") > limits.widest) | (
+            F.col("_n") * F.col("_asking") > limits.pairs
         )
         measured = _measure(sizes, is_large)
 
     rest = points
     if measured.large_groups:
-        large = _broadcast_groups(
-            sizes.where(is_large).select("_group"), measured.large_groups, limits
-        )
-        rest = points.join(large, "_group", "left_anti")
-    lists = rest.groupBy("_group").agg(F.collect_list(F.struct(*_POINT)).alias("_near"))
+        large = materialise(sizes.where(is_large), "large")
+        found_large = _broadcast_groups(large, measured.large_groups, limits)
+        rest = points.join(found_large, "_group", "left_anti")
+    lists = rest.groupBy("_group").agg(F.collect_list(F.struct(*_POINT)).alias("_points"))
+    lists = lists.select("_group", _packed("_points").alias("_chunks"))
     if (measured.small_bytes or 0) <= limits.broadcast_bytes:
         lists = F.broadcast(lists)
     found = _pick(asked.join(lists, "_group"), queries.columns, k)
     if measured.large_groups:
-        split = _broadcast_groups(
-            sizes.where(is_large & (F.col("_asking") > 0)).select("_group"),
-            measured.large_groups, limits,
-        )
-        near = _candidates_by_grid(asked, points, split, k, limits)
+        split = large.where(F.col("_asking") > 0).select("_group")
+        split = _broadcast_groups(split, measured.large_groups, limits)
+        near = _chunks_by_grid(asked, points, split, k, limits)
         found = found.unionByName(_pick(near, queries.columns, k))
     return found.select(*queries.columns, "rank", "_match.*")
 
@@ -111,6 +110,11 @@ def _measure(sizes: DataFrame, is_large: Column):
 _POINT = ["_lat", "_lng", "_match"]
 
 
+def _group(name: str | None, lat: str) -> Column:
+    """The group column; without one all rows get false, computed so that the join has a key."""
+    return F.col(name) if name else F.isnan(F.col(lat).cast("double"))
+
+
 def _candidate_points(candidates, k, payload, group, point) -> DataFrame:
     """Distinct candidates, at most the first ``k`` by payload at any one place.
 
@@ -119,7 +123,7 @@ def _candidate_points(candidates, k, payload, group, point) -> DataFrame:
     place = ["_group", "_lat", "_lng"]
     complete = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in payload])
     distinct = candidates.where(complete).select(
-        (F.col(group) if group else F.lit(0)).alias("_group"),
+        _group(group, point[0]).alias("_group"),
         F.col(point[0]).cast("double").alias("_lat"),
         F.col(point[1]).cast("double").alias("_lng"),
         F.struct(*payload).alias("_match"),
@@ -133,7 +137,7 @@ def _candidate_points(candidates, k, payload, group, point) -> DataFrame:
 
 def _query_points(queries, group, point) -> DataFrame:
     return queries.withColumns({
-        "_group": F.col(group) if group else F.lit(0),
+        "_group": _group(group, point[0]),
         "_qlat": F.col(point[0]).cast("double"),
         "_qlng": F.col(point[1]).cast("double"),
     }).where(F.col("_group").isNotNull() & is_located(F.col("_qlat"), F.col("_qlng")))
@@ -151,31 +155,84 @@ def _with(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _pick(near: DataFrame, columns: list[str], k: int) -> DataFrame:
-    """The ``k`` nearest of the candidates in ``_near``, one per row."""
+def _packed(points: str) -> Column:
+    """Chunks of about equal size of a list of points, cut into strips by latitude and each strip
+    by longitude; a list of n points gives about the square root of n chunks."""
+    size = F.size(points)
+    chunk = F.ceil(F.sqrt(size)).cast("int")
+    strip = (chunk * F.ceil(F.sqrt(size / chunk))).cast("int")
 
-    def away(point):
-        return distance2(F.col("_qlat"), F.col("_qlng"), point["_lat"], point["_lng"])
+    def cuts(count, length):
+        return F.sequence(F.lit(1), count, length)
+
+    def by_longitude(row):
+        return F.sort_array(F.transform(row, lambda p: F.struct(p["_lng"], p["_lat"], p["_match"])))
+
+    strips = _with(F.sort_array(points), lambda row: F.transform(
+        cuts(size, strip), lambda first: by_longitude(F.slice(row, first, strip))
+    ))
+    chunks = F.flatten(F.transform(strips, lambda row: F.transform(
+        cuts(F.size(row), chunk), lambda first: F.slice(row, first, chunk)
+    )))
+
+    def boxed(row):
+        lats, lngs = (F.transform(row, lambda p: p[name]) for name in ("_lat", "_lng"))
+        return F.struct(
+            F.size(row).cast("long").alias("_n"),
+            F.array_min(lats).alias("_south"), F.array_max(lats).alias("_north"),
+            F.array_min(lngs).alias("_west"), F.array_max(lngs).alias("_east"),
+            row.alias("_points"),
+        )
 
-    last = F.element_at(
-        F.sort_array(F.transform("_near", away)), F.least(F.lit(k), F.size("_near"))
+    return F.transform(chunks, boxed)
+
+
+def _in_reach(chunks: str, own: dict[str, Column], k: int) -> Column:
+    """The chunks that may hold one of the ``k`` candidates nearest to a point in box ``own``.
+
+    ``k`` candidates are certain within the distance at which the chunks wholly inside it first
+    hold so many. A chunk whose gap is larger cannot contribute; one at just that gap can.
+    """
+    spans = F.sort_array(F.transform(
+        chunks, lambda c: F.struct(span2(own, c).alias("reach"), c["_n"].alias("n"))
+    ))
+    certain = F.aggregate(
+        spans,
+        F.struct(F.lit(0).cast("long").alias("n"), F.lit(float("inf")).alias("reach")),
+        lambda seen, c: F.when(seen["n"] >= k, seen).otherwise(
+            F.struct((seen["n"] + c["n"]).alias("n"), c["reach"].alias("reach"))
+        ),
+        lambda seen: F.when(seen["n"] >= k, seen["reach"]).otherwise(F.lit(float("inf"))),
     )
+    return _with(certain, lambda reach: F.filter(chunks, lambda c: gap2(own, c) <= reach))
+
+
+def _pick(near: DataFrame, columns: list[str], k: int) -> DataFrame:
+    """The ``k`` nearest of the candidates in ``_chunks``, one per row."""
+    lat, lng = F.col("_qlat"), F.col("_qlng")
+    own = {"_south": lat, "_north": lat, "_west": lng, "_east": lng}
 
-    def ranked(limit):
-        close = F.filter("_near", lambda point: away(point) <= limit)
-        pairs = F.transform(
-            close, lambda point: F.struct(away(point).alias("d"), point["_match"].alias("m"))
+    def away(point):
+        return distance2(lat, lng, point["_lat"], point["_lng"])
+
+    def nearest(points):
+        last = F.element_at(
+            F.sort_array(F.transform(points, away)), F.least(F.lit(k), F.size(points))
         )
-        return F.slice(F.sort_array(pairs), 1, k)
+        return _with(last, lambda limit: F.slice(F.sort_array(F.transform(
+            F.filter(points, lambda p: away(p) <= limit),
+            lambda p: F.struct(away(p).alias("d"), p["_match"].alias("m")),
+        )), 1, k))
 
-    picked = near.select(*columns, F.posexplode(_with(last, ranked)).alias("_pos", "_pick"))
+    close = F.flatten(F.transform(_in_reach("_chunks", own, k), lambda c: c["_points"]))
+    picked = near.select(*columns, F.posexplode(_with(close, nearest)).alias("_pos", "_pick"))
     return picked.select(
         *columns, (F.col("_pos") + 1).alias("rank"), F.col("_pick.m").alias("_match")
     )
 
 
-def _candidates_by_grid(asked, points, large, k, limits) -> DataFrame:
-    """Rows of ``asked`` in large groups, with all candidates that may be among the nearest."""
+def _chunks_by_grid(asked, points, large, k, limits) -> DataFrame:
+    """Rows of ``asked`` in large groups, with the cells that may hold one of their nearest."""
     points = materialise(
         points.join(large, "_group", "left_semi")
         .withColumns({"_x": grid(F.col("_lat")), "_y": grid(F.col("_lng"))}),
@@ -196,14 +253,19 @@ def _candidates_by_grid(asked, points, large, k, limits) -> DataFrame:
     kept = _split(points, places, start, k)
 
     leaves = (
-        points.select(
-            "_group", cell("_x", "_depth").alias("_cx"), cell("_y", "_depth").alias("_cy"), *_POINT
-        ).groupBy("_group", "_cx", "_cy").agg(F.collect_list(F.struct(*_POINT)).alias("_list"))
+        points.groupBy(
+            "_group", cell("_x", "_depth").alias("_cx"), cell("_y", "_depth").alias("_cy")
+        )
+        .agg(
+            F.count("*").alias("_n"), *box("_lat", "_lng"),
+            F.collect_list(F.struct(*_POINT)).alias("_points"),
+        )
+        .select("_group", "_cx", "_cy", F.struct("_n", *SIDES, "_points").alias("_chunk"))
     )
     tile = ["_group", "_qx", "_qy"]
     near = (
         kept.select(*tile, F.inline("_cells")).join(leaves, ["_group", "_cx", "_cy"])
-        .groupBy(*tile).agg(F.flatten(F.collect_list("_list")).alias("_near"))
+        .groupBy(*tile).agg(F.collect_list("_chunk").alias("_chunks"))
     )
     located = asked.withColumns({"_qx": cell("_x", "_depth"), "_qy": cell("_y", "_depth")})
     return located.join(near, tile)
@@ -283,7 +345,7 @@ def _tiles(places: DataFrame, level: int) -> DataFrame:
     ).agg(*box("_lat", "_lng"))
 
 
-_CELL = ["_cx", "_cy", "_n", "_south", "_north", "_west", "_east"]
+_CELL = ["_cx", "_cy", "_n", *SIDES]
 
 
 def _offered(kept: DataFrame | None, cells: DataFrame) -> DataFrame:
@@ -310,21 +372,6 @@ def _keep(offered: DataFrame, tiles: DataFrame, k: int) -> DataFrame:
         paired = tiles.join(offered, ["_group", "_ox", "_oy"])
     else:
         paired = tiles.join(offered, "_group")
-    own = {name: F.col(name) for name in ("_south", "_north", "_west", "_east")}
-    spans = F.sort_array(F.transform(
-        "_cells", lambda c: F.struct(span2(own, c).alias("reach"), c["_n"].alias("n"))
-    ))
-    # The distance at which the cells wholly within it first hold k candidates.
-    certain = F.aggregate(
-        spans,
-        F.struct(F.lit(0).cast("long").alias("n"), F.lit(float("inf")).alias("reach")),
-        lambda seen, c: F.when(seen["n"] >= k, seen).otherwise(
-            F.struct((seen["n"] + c["n"]).alias("n"), c["reach"].alias("reach"))
-        ),
-        lambda seen: F.when(seen["n"] >= k, seen["reach"]).otherwise(F.lit(float("inf"))),
-    )
-    close = _with(certain, lambda reach: F.filter("_cells", lambda c: gap2(own, c) <= reach))
-    return paired.select(
-        "_group", "_depth", "_qx", "_qy",
-        F.transform(close, lambda c: F.struct(c["_cx"], c["_cy"])).alias("_cells"),
-    )
+    own = {side: F.col(side) for side in SIDES}
+    close = F.transform(_in_reach("_cells", own, k), lambda c: F.struct(c["_cx"], c["_cy"]))
+    return paired.select("_group", "_depth", "_qx", "_qy", close.alias("_cells"))

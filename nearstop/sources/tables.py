@@ -34,3 +34,12 @@ def read_table(
         ]
         df = spark.read.schema(StructType(as_text)).parquet(path)
     return df.drop(RUN)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A scanned table with at least one task per core.
+
+    A small table is one file and would be one task. Tables with enough files stay as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
