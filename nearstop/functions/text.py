@@ -58,16 +58,21 @@ def blank_to_null(column: Column) -> Column:
     return F.nullif(column, F.lit(""))
 
 
-def is_nan(column: Column) -> Column:
-    """True for a NaN number or a text that reads as one, false for all else."""
-    return F.coalesce(F.isnan(column.try_cast("double")), F.lit(False))
+def is_nan_text(text: Column) -> Column:
+    """True for a text that reads as NaN; a failing cast would cost far more per row."""
+    return F.lower(F.trim(text)) == "nan"
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Turn NaN, as a number or as text, into null in every column that can hold it."""
-    kinds = (T.StringType, T.FloatType, T.DoubleType)
-    names = [field.name for field in df.schema.fields if isinstance(field.dataType, kinds)]
-    return df.withColumns({name: F.when(~is_nan(F.col(name)), F.col(name)) for name in names})
+    changed = {}
+    for field in df.schema.fields:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.StringType):
+            changed[field.name] = F.when(~is_nan_text(column), column)
+        elif isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            changed[field.name] = F.when(~F.isnan(column), column)
+    return df.withColumns(changed)
 
 
 def blanks_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -77,11 +82,11 @@ def blanks_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 def decimal_comma(column: Column) -> Column:
     """A number written with a decimal comma; null where it does not read as one."""
-    return F.replace(column, F.lit(","), F.lit(".")).try_cast("float")
+    return F.replace(blank_to_null(column), F.lit(","), F.lit(".")).try_cast("float")
 
 
 def is_known_street(street: Column) -> Column:
-    known = street.isNotNull() & (street != "") & ~is_nan(street)
+    known = street.isNotNull() & (street != "") & ~is_nan_text(street)
     return reduce(lambda seen, mark: seen & ~street.contains(mark), UNKNOWN_STREET_MARKS, known)
 
 

@@ -14,7 +14,6 @@ from nearstop.operators.nearest import Limits, nearest_join
 from nearstop.scratch import materialise
 
 WIDEST_BLOCK = 512  # centres around a cell up to which a pass by radius is worth it
-BLOCK_BYTES = 32 << 20  # size of all blocks up to which they are broadcast
 
 
 def coordinates_of(
@@ -64,38 +63,47 @@ def zip_within(stations: DataFrame, centres: DataFrame, radius: float) -> DataFr
     """As ``nearest_zip``, but ``Q_PLZ`` is null if no centre is within ``radius`` degrees.
 
     Each centre is listed in its own and the eight surrounding cells of side ``radius``, so one
-    join by cell shows a station every centre that can be in reach.
+    join by cell shows a station every centre that can be in reach. Check with ``widest_block``
+    that the lists stay short.
     """
-    return _zip_in_block(stations, _blocks(centres, radius), radius)
+    blocks = (
+        _around(centres, radius).groupBy("_bx", "_by")
+        .agg(F.collect_list(F.struct("lat", "lng", "PLZ")).alias("_block"))
+    )
+    lat, lng = F.col("Latitude").cast("double"), F.col("Longitude").cast("double")
+    celled = stations.withColumns({"_x": F.floor(lat / radius), "_y": F.floor(lng / radius)})
+    best = F.array_min(F.transform("_block", lambda c: F.struct(
+        distance2(lat, lng, c["lat"], c["lng"]).alias("d"), c["PLZ"].alias("z")
+    )))
+    joined = lookup_join(celled, blocks, {"_x": "_bx", "_y": "_by"}).withColumn("_best", best)
+    return joined.select(
+        *stations.columns,
+        F.when(F.col("_best.d") <= radius * radius, F.col("_best.z")).alias("Q_PLZ"),
+    )
+
 
+def widest_block(centres: DataFrame, radii: tuple[float, ...]) -> dict[float, int]:
+    """For each radius the length of the longest list ``zip_within`` would make."""
+    counted = [
+        _around(centres, radius).groupBy("_bx", "_by").count()
+        .agg(F.lit(radius).alias("radius"), F.max("count").alias("most"))
+        for radius in radii
+    ]
+    return {row.radius: row.most or 0 for row in reduce(DataFrame.unionAll, counted).collect()}
 
-def _blocks(centres: DataFrame, radius: float) -> DataFrame:
-    around = F.array(*[F.lit(step) for step in (-1, 0, 1)])
+
+def _around(centres: DataFrame, radius: float) -> DataFrame:
+    """Each centre in its own cell and the eight around it."""
+    steps = F.array(*[F.lit(step) for step in (-1, 0, 1)])
     return (
         centres.where(F.col("PLZ").isNotNull() & is_located(F.col("lat"), F.col("lng")))
         .select("PLZ", "lat", "lng").distinct()
-        .withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around))
-        .groupBy(
+        .withColumn("_dx", F.explode(steps)).withColumn("_dy", F.explode(steps))
+        .select(
+            "PLZ", "lat", "lng",
             (F.floor(F.col("lat") / radius) + F.col("_dx")).alias("_bx"),
             (F.floor(F.col("lng") / radius) + F.col("_dy")).alias("_by"),
         )
-        .agg(F.collect_list(F.struct("lat", "lng", "PLZ")).alias("_block"))
-    )
-
-
-def _zip_in_block(stations: DataFrame, blocks: DataFrame, radius: float) -> DataFrame:
-    lat, lng = F.col("Latitude").cast("double"), F.col("Longitude").cast("double")
-    celled = stations.withColumns(
-        {"_x": F.floor(lat / radius), "_y": F.floor(lng / radius)}
-    )
-    joined = lookup_join(celled, blocks, {"_x": "_bx", "_y": "_by"})
-    best = F.array_min(F.transform(
-        "_block",
-        lambda c: F.struct(distance2(lat, lng, c["lat"], c["lng"]).alias("d"), c["PLZ"].alias("z")),
-    ))
-    return joined.withColumn("_best", best).select(
-        *stations.columns,
-        F.when(F.col("_best.d") <= radius * radius, F.col("_best.z")).alias("Q_PLZ"),
     )
 
 
@@ -139,14 +147,11 @@ def resolve_zips(
     ``nearest_zip``. Returns SeqNo, Q_PLZ and the number of the attempt.
     """
 
-    def within(radius: float) -> Callable[[DataFrame], DataFrame] | None:
-        blocks = materialise(_blocks(centres, radius), "blocks")
-        widest = blocks.agg(F.max(F.size("_block")).alias("most"), F.count("*").alias("n")).first()
-        if (widest.most or 0) > WIDEST_BLOCK:
-            return None
-        return lambda rows: _zip_in_block(rows, blocks, radius)
-
-    circles = [attempt for attempt in map(within, radii) if attempt]
+    widest = widest_block(centres, radii) if radii else {}
+    circles = [
+        lambda rows, radius=radius: zip_within(rows, centres, radius)
+        for radius in radii if widest[radius] <= WIDEST_BLOCK
+    ]
     located = stations.where(
         is_located(F.col("Latitude").cast("double"), F.col("Longitude").cast("double"))
     )
