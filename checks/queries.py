@@ -52,7 +52,7 @@ def knn_stations(spark, sf):
 
 
 def nearest_for_one(spark, sf):
-    found = match.nearest_for(_rentals(spark, sf), _stations_final(spark, sf), [ONE_OFFER])
+    found = match.nearest_for(_rentals(spark, sf), _stations_final(spark, sf), ONE_OFFER)
     return found.select("scoutId", "rank", "DHID")
 
 

@@ -65,5 +65,10 @@ def cell(position: str, level: int | str) -> Column:
     return F.expr(f"shiftright({position}, cast({CELL_BITS} - {SPLIT_BITS} * {level} as int))")
 
 
+def cell_width(level: int) -> int:
+    """Positions on the finest grid that a cell at ``level`` spans along one axis."""
+    return 1 << (CELL_BITS - SPLIT_BITS * level)
+
+
 def parent_cell(name: str) -> Column:
     return F.shiftright(F.col(name), SPLIT_BITS)

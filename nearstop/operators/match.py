@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearstop.functions.geo import is_located
+from nearstop.functions.geo import distance2, is_located
 from nearstop.operators.nearest import Limits, nearest_join
 
 CANDIDATE = ["Latitude", "Longitude", "Parent", "DHID", "Name"]
+_ORDER = ["DHID", "Parent", "Name", "Latitude", "Longitude"]  # of stations at one distance
 
 
 def station_candidates(stations: DataFrame) -> DataFrame:
@@ -56,24 +57,37 @@ def nearest_stations(
     those it has. Adds ``rank`` and the station columns to the offers.
     """
     return nearest_join(
-        rentals, stations, k, ["DHID", "Parent", "Name", "Latitude", "Longitude"],
+        rentals, stations, k, _ORDER,
         group=("zip_group", "ZIP_Group_Station"),
         candidate_point=("Latitude", "Longitude"), limits=limits,
     )
 
 
 def nearest_for(
-    rentals: DataFrame, stations: DataFrame, scout_ids: list[int], k: int = 10
+    rentals: DataFrame, stations: DataFrame, scout_id: int, k: int = 10
 ) -> DataFrame:
-    """The nearest stations of the given offers; each id must name exactly one offer."""
-    asked = rentals.where(F.col("scoutId").isin(scout_ids))
-    counts = dict(asked.groupBy("scoutId").count().collect())
-    wrong = sorted(number for number in set(scout_ids) if counts.get(number) != 1)
-    if wrong:
-        raise LookupError(f"ids that do not name exactly one offer: {wrong}")
-    groups = [row.zip_group for row in asked.select("zip_group").distinct().collect()]
-    near = stations.where(F.col("ZIP_Group_Station").isin([g for g in groups if g is not None]))
-    return nearest_stations(asked, near, k)
+    """The nearest stations of one offer; its id must name exactly one.
+
+    The offer is one row, so its stations are ranked by a sort that keeps ``k`` rows per task.
+    """
+    offers = rentals.where(F.col("scoutId").isin(scout_id)).take(2)
+    if len(offers) != 1:
+        found = "several offers" if offers else "no offer"
+        raise LookupError(f"{scout_id} names {found}")
+    offer = offers[0]
+    lat, lng = (F.lit(offer[name]).cast("double") for name in ("lat", "lng"))
+    place = F.col("Latitude").cast("double"), F.col("Longitude").cast("double")
+    group = F.col("ZIP_Group_Station") == F.lit(offer.zip_group)
+    near = station_candidates(stations.where(group & is_located(*place) & is_located(lat, lng)))
+    away = distance2(lat, lng, *place)
+    first = (
+        near.select(F.struct(away.alias("away"), *_ORDER).alias("_found"))
+        .orderBy("_found").limit(k)
+    )
+    ranked = first.agg(F.sort_array(F.collect_list("_found")).alias("_found"))
+    return ranked.select(
+        F.lit(offer.scoutId).alias("scoutId"), F.posexplode("_found").alias("_pos", "_found")
+    ).select("scoutId", (F.col("_pos") + 1).alias("rank"), *[f"_found.{c}" for c in _ORDER])
 
 
 def rentals_without_station(rentals: DataFrame, stations: DataFrame) -> DataFrame:

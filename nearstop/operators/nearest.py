@@ -5,13 +5,13 @@ and its number of points. Every query row picks its k nearest from that list, lo
 chunks whose gap to it is at most the distance within which k candidates are certain. No pair of
 points is ever a row, and nothing is shuffled after the join.
 
-Large groups are split by a grid that gets finer level by level. Query points are handled by
+Large groups are split by a grid that gets finer level by level. Query places are handled by
 cell, not one by one: a query cell keeps the candidate cells that may hold one of its k nearest,
-by the same rule of gap and certain distance, and passes their children to its own children. The
-split of a group ends when no cell holds more than ``leaf`` candidates; the few cells a query
-cell kept are then the chunks its query points pick from. The work grows with the number of query
-cells, whatever share of the rows a single group holds, and the result equals a comparison of all
-pairs.
+by the same rule of gap and certain distance. If those hold few candidates the cell is settled and
+they are the chunks its places pick from; otherwise its child cells go on with the children of
+what it kept. The work grows with the number of query cells that lie close to many candidates,
+whatever share of the rows a single group, cell or place holds, and the result equals a
+comparison of all pairs.
 """
 
 from __future__ import annotations
@@ -24,25 +24,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nearstop.functions.geo import (
-    MAX_LEVEL, SIDES, box, cell, distance2, gap2, grid, is_located, parent_cell, span2,
+    MAX_LEVEL, SIDES, box, cell, cell_width, distance2, gap2, grid,
+    is_located, parent_cell, span2,
 )
 from nearstop.scratch import materialise
 
 
 @dataclass(frozen=True)
 class Limits:
-    """When groups are split and tables are broadcast."""
+    """When groups are split, query cells settled and tables broadcast."""
 
-    group: int = 4096  # candidates up to which a group is never split
-    widest: int = 16384  # candidates above which a group is always split
-    pairs: int = 50_000_000  # between the two, queries times candidates above which it is split
-    leaf: int = 64  # candidates per cell at which splitting ends
-    start: int = 3  # coarsest grid level, 16 degrees
+    group: int = 4096  # candidates above which a group is split by the grid
+    settled: int = 512  # candidates in the cells kept by a query cell at which it is settled
     broadcast_bytes: int = 32 << 20  # measured size up to which a table is broadcast
 
 
-START_CELLS = 64  # candidate cells per group up to which a level can be the first
-LEVELS_PER_PASS = 4  # grid levels counted in one pass over the candidates
 GROUP_BYTES = 128  # generous size of one row of a list of groups
 
 
@@ -71,40 +67,30 @@ def nearest_join(
         F.count("*").alias("_n"), F.sum(_row_bytes(points)).alias("_bytes")
     )
     is_large = F.col("_n") > limits.group
-    measured = _measure(sizes, is_large)
-    if measured.large_groups:
-        asked = materialise(asked, "queries")
-        asking = asked.groupBy("_group").agg(F.count("*").alias("_asking"))
-        sizes = sizes.join(asking, "_group", "left").na.fill(0, ["_asking"])
-        is_large &= (F.col("_n") > limits.widest) | (
-            F.col("_n") * F.col("_asking") > limits.pairs
-        )
-        measured = _measure(sizes, is_large)
-
+    measured = sizes.agg(
+        F.count_if(is_large).alias("large_groups"),
+        F.sum(F.when(~is_large, F.col("_bytes"))).alias("small_bytes"),
+    ).first()
     rest = points
     if measured.large_groups:
-        large = materialise(sizes.where(is_large), "large")
-        found_large = _broadcast_groups(large, measured.large_groups, limits)
-        rest = points.join(found_large, "_group", "left_anti")
+        large = sizes.where(is_large).select("_group")
+        if measured.large_groups * GROUP_BYTES <= limits.broadcast_bytes:
+            large = F.broadcast(large)
+        rest = points.join(large, "_group", "left_anti")
     lists = rest.groupBy("_group").agg(F.collect_list(F.struct(*_POINT)).alias("_points"))
     lists = lists.select("_group", _packed("_points").alias("_chunks"))
     if (measured.small_bytes or 0) <= limits.broadcast_bytes:
         lists = F.broadcast(lists)
-    found = _pick(asked.join(lists, "_group"), queries.columns, k)
+    found = asked.join(lists, "_group").select(*queries.columns, _picked(k).alias("_picks"))
     if measured.large_groups:
-        split = large.where(F.col("_asking") > 0).select("_group")
-        split = _broadcast_groups(split, measured.large_groups, limits)
-        near = _chunks_by_grid(asked, points, split, k, limits)
-        found = found.unionByName(_pick(near, queries.columns, k))
-    return found.select(*queries.columns, "rank", "_match.*")
-
-
-def _measure(sizes: DataFrame, is_large: Column):
-    """How many groups are large, and the bytes of all candidates in the others."""
-    return sizes.agg(
-        F.count_if(is_large).alias("large_groups"),
-        F.sum(F.when(~is_large, F.col("_bytes"))).alias("small_bytes"),
-    ).first()
+        asked = materialise(asked.join(large, "_group", "left_semi"), "queries")
+        in_large = points.join(large, "_group", "left_semi")
+        answers = _answers_by_grid(asked, in_large, k, limits)
+        found = found.unionByName(
+            asked.join(answers, ["_group", "_qlat", "_qlng"]).select(*queries.columns, "_picks")
+        )
+    ranked = found.select(*queries.columns, F.posexplode("_picks").alias("_pos", "_pick"))
+    return ranked.select(*queries.columns, (F.col("_pos") + 1).alias("rank"), "_pick.m.*")
 
 
 _POINT = ["_lat", "_lng", "_match"]
@@ -207,8 +193,8 @@ def _in_reach(chunks: str, own: dict[str, Column], k: int) -> Column:
     return _with(certain, lambda reach: F.filter(chunks, lambda c: gap2(own, c) <= reach))
 
 
-def _pick(near: DataFrame, columns: list[str], k: int) -> DataFrame:
-    """The ``k`` nearest of the candidates in ``_chunks``, one per row."""
+def _picked(k: int) -> Column:
+    """The ``k`` candidates in ``_chunks`` nearest to a query point, in order."""
     lat, lng = F.col("_qlat"), F.col("_qlng")
     own = {"_south": lat, "_north": lat, "_west": lng, "_east": lng}
 
@@ -225,110 +211,73 @@ def _pick(near: DataFrame, columns: list[str], k: int) -> DataFrame:
         )), 1, k))
 
     close = F.flatten(F.transform(_in_reach("_chunks", own, k), lambda c: c["_points"]))
-    picked = near.select(*columns, F.posexplode(_with(close, nearest)).alias("_pos", "_pick"))
-    return picked.select(
-        *columns, (F.col("_pos") + 1).alias("rank"), F.col("_pick.m").alias("_match")
-    )
+    return _with(close, nearest)
 
 
-def _chunks_by_grid(asked, points, large, k, limits) -> DataFrame:
-    """Rows of ``asked`` in large groups, with the cells that may hold one of their nearest."""
+def _answers_by_grid(asked, points, k, limits) -> DataFrame:
+    """The nearest candidates of each distinct place in ``asked``, by a grid."""
     points = materialise(
-        points.join(large, "_group", "left_semi")
-        .withColumns({"_x": grid(F.col("_lat")), "_y": grid(F.col("_lng"))}),
-        "points",
-    )
-    start, depth = _depth(points, max(limits.leaf, k), limits)
-    points = materialise(points.join(depth, "_group"), "points")
-    asked = asked.join(depth, "_group").withColumns(
-        {"_x": grid(F.col("_qlat")), "_y": grid(F.col("_qlng"))}
+        points.withColumns({"_x": grid(F.col("_lat")), "_y": grid(F.col("_lng"))}), "points"
     )
     places = materialise(
-        asked.select(
-            "_group", "_depth", "_x", "_y",
-            F.col("_qlat").alias("_lat"), F.col("_qlng").alias("_lng"),
-        ).distinct(),
+        asked.select("_group", "_qlat", "_qlng").distinct()
+        .withColumns({"_x": grid(F.col("_qlat")), "_y": grid(F.col("_qlng"))}),
         "places",
     )
-    kept = _split(points, places, start, k)
+    tiles, levels = _settle(points, places, k, limits)
 
+    # Settled cells lie on several levels, so both sides of a join by cell are listed per level.
+    level = F.explode(F.lit(levels)).alias("_level")
+    leaf = ["_group", "_level", "_cx", "_cy"]
+    wanted = tiles.select("_group", "_level", F.inline("_cells"))
     leaves = (
-        points.groupBy(
-            "_group", cell("_x", "_depth").alias("_cx"), cell("_y", "_depth").alias("_cy")
-        )
+        points.select("_group", "_x", "_y", *_POINT, level)
+        .withColumns({"_cx": cell("_x", "_level"), "_cy": cell("_y", "_level")})
+        .join(wanted.distinct(), leaf, "left_semi")
+        .groupBy(*leaf)
         .agg(
             F.count("*").alias("_n"), *box("_lat", "_lng"),
             F.collect_list(F.struct(*_POINT)).alias("_points"),
         )
-        .select("_group", "_cx", "_cy", F.struct("_n", *SIDES, "_points").alias("_chunk"))
+        .select(*leaf, F.struct("_n", *SIDES, "_points").alias("_chunk"))
     )
-    tile = ["_group", "_qx", "_qy"]
+    tile = ["_group", "_level", "_qx", "_qy"]
     near = (
-        kept.select(*tile, F.inline("_cells")).join(leaves, ["_group", "_cx", "_cy"])
+        tiles.select(*tile, F.inline("_cells")).join(leaves, leaf)
         .groupBy(*tile).agg(F.collect_list("_chunk").alias("_chunks"))
     )
-    located = asked.withColumns({"_qx": cell("_x", "_depth"), "_qy": cell("_y", "_depth")})
-    return located.join(near, tile)
+    located = places.select("_group", "_qlat", "_qlng", "_x", "_y", level).withColumns(
+        {"_qx": cell("_x", "_level"), "_qy": cell("_y", "_level")}
+    )
+    return located.join(near, tile).select("_group", "_qlat", "_qlng", _picked(k).alias("_picks"))
 
 
-def _depth(points, leaf, limits) -> tuple[int, DataFrame]:
-    """The level to start at, and per group the level at which no cell is crowded.
+def _settle(points, places, k, limits) -> tuple[DataFrame, list[int]]:
+    """Cover all query places with settled query cells.
 
-    Levels are counted a few at a time, and only for the groups not settled before.
+    Returns these cells with the candidate cells they kept, and the levels they lie on.
     """
-    start, settled, open_points = limits.start, [], points
-    for first in range(limits.start, MAX_LEVEL + 1, LEVELS_PER_PASS):
-        levels = range(first, min(first + LEVELS_PER_PASS, MAX_LEVEL + 1))
-        cells = (
-            open_points.select(
-                "_group", "_x", "_y", F.explode(F.lit(list(levels))).alias("_level")
-            ).groupBy("_group", "_level", cell("_x", "_level"), cell("_y", "_level"))
-            .agg(F.count("*").alias("_n"))
-        )
-        crowding = materialise(
-            cells.groupBy("_group", "_level")
-            .agg(F.max("_n").alias("_most"), F.count("*").alias("_cells")),
-            "crowding",
-        )
-        fine = (F.col("_most") <= leaf) | (F.col("_level") == MAX_LEVEL)
-        per_group = crowding.groupBy("_group").agg(
-            F.min(F.when(fine, F.col("_level"))).alias("_depth")
-        )
-        per_level = crowding.groupBy("_level").agg(F.max("_cells").alias("cells")).collect()
-        start = max([start] + [row._level for row in per_level if row.cells <= START_CELLS])
-        settled.append(per_group.where(F.col("_depth").isNotNull()))
-        unsettled = per_group.where(F.col("_depth").isNull()).select("_group")
-        remaining = unsettled.count()
-        if not remaining:
+    settled, levels, unsettled = [], [], None
+    for level in range(_first_level(points), MAX_LEVEL + 1):
+        offered = _offered(unsettled, _cells(points, level))
+        kept = materialise(_keep(offered, _tiles(places, level), k), "kept")
+        is_open = (F.col("_total") > limits.settled) & F.lit(level < MAX_LEVEL)
+        levels.append(level)
+        settled.append(kept.where(~is_open).withColumn("_level", F.lit(level)))
+        unsettled = kept.where(is_open)
+        if unsettled.isEmpty():
             break
-        open_points = open_points.join(
-            _broadcast_groups(unsettled, remaining, limits), "_group", "left_semi"
-        )
-    depth = materialise(
-        reduce(DataFrame.unionByName, settled)
-        .select("_group", F.greatest("_depth", F.lit(start)).alias("_depth")),
-        "depth",
-    )
-    return start, _broadcast_groups(depth, depth.count(), limits)
-
+    return reduce(DataFrame.unionByName, settled), levels
 
-def _broadcast_groups(groups: DataFrame, count: int, limits: Limits) -> DataFrame:
-    """Broadcast a list of groups if its counted rows are few enough."""
-    return F.broadcast(groups) if count * GROUP_BYTES <= limits.broadcast_bytes else groups
 
-
-def _split(points, places, start, k) -> DataFrame:
-    """For each query cell at the depth of its group, the candidate cells it has to look into."""
-    deepest = points.agg(F.max("_depth")).first()[0]
-    done, kept = [], None
-    for level in range(start, deepest + 1):
-        deep_enough = F.col("_depth") >= level
-        cells = _cells(points.where(deep_enough), level)
-        tiles = _tiles(places.where(deep_enough), level)
-        kept = materialise(_keep(_offered(kept, cells), tiles, k), "kept")
-        done.append(kept.where(F.col("_depth") == level))
-        kept = kept.where(F.col("_depth") > level)
-    return reduce(DataFrame.unionByName, done)
+def _first_level(points: DataFrame) -> int:
+    """The finest level at which no group has more than five candidate cells a side."""
+    spans = points.groupBy("_group").agg(
+        F.greatest(F.max("_x") - F.min("_x"), F.max("_y") - F.min("_y")).alias("span")
+    )
+    widest = spans.agg(F.max("span")).first()[0] or 0
+    fine = [n for n in range(MAX_LEVEL + 1) if 4 * cell_width(n) >= widest]
+    return max(fine, default=0)
 
 
 def _cells(points: DataFrame, level: int) -> DataFrame:
@@ -339,10 +288,10 @@ def _cells(points: DataFrame, level: int) -> DataFrame:
 
 
 def _tiles(places: DataFrame, level: int) -> DataFrame:
-    """Query cells at ``level`` with the box of their query points."""
+    """Query cells at ``level`` with the box of their query places."""
     return places.groupBy(
-        "_group", "_depth", cell("_x", level).alias("_qx"), cell("_y", level).alias("_qy")
-    ).agg(*box("_lat", "_lng"))
+        "_group", cell("_x", level).alias("_qx"), cell("_y", level).alias("_qy")
+    ).agg(*box("_qlat", "_qlng"))
 
 
 _CELL = ["_cx", "_cy", "_n", *SIDES]
@@ -373,5 +322,9 @@ def _keep(offered: DataFrame, tiles: DataFrame, k: int) -> DataFrame:
     else:
         paired = tiles.join(offered, "_group")
     own = {side: F.col(side) for side in SIDES}
-    close = F.transform(_in_reach("_cells", own, k), lambda c: F.struct(c["_cx"], c["_cy"]))
-    return paired.select("_group", "_depth", "_qx", "_qy", close.alias("_cells"))
+    close = paired.select("_group", "_qx", "_qy", _in_reach("_cells", own, k).alias("_close"))
+    return close.select(
+        "_group", "_qx", "_qy",
+        F.transform("_close", lambda c: F.struct(c["_cx"], c["_cy"])).alias("_cells"),
+        F.aggregate("_close", F.lit(0).cast("long"), lambda n, c: n + c["_n"]).alias("_total"),
+    )

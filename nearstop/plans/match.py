@@ -10,27 +10,30 @@ from nearstop.sinks.features import map_features
 from nearstop.sources.tables import read_table
 
 
-def query_nearest_stations(
-    spark: SparkSession, root: str, scout_ids: list[int] | None = None, k: int = 10
-) -> DataFrame:
-    """The nearest stations of the given offers, or of all of them.
-
-    For given offers only the folders of their zip groups are read.
-    """
-    offers = load_rental_coordinates(spark, root)
+def _grouped_stations(spark: SparkSession, root: str) -> DataFrame:
     stations = read_table(spark, "table_stations_grouped", root, partition_by="ZIP_Group_Rental")
-    stations = stations.drop("ZIP_Group_Station").withColumnRenamed(
+    return stations.drop("ZIP_Group_Station").withColumnRenamed(
         "ZIP_Group_Rental", "ZIP_Group_Station"
     )
-    if scout_ids is None:
-        return nearest_stations(offers, stations, k)
-    return nearest_for(offers, stations, scout_ids, k)
+
+
+def all_nearest_stations(spark: SparkSession, root: str, k: int = 10) -> DataFrame:
+    """The nearest stations of every located offer."""
+    return nearest_stations(load_rental_coordinates(spark, root), _grouped_stations(spark, root), k)
+
+
+def query_nearest_stations(
+    spark: SparkSession, root: str, scout_id: int, k: int = 10
+) -> DataFrame:
+    """The nearest stations of one offer; only the folder of its zip group is read."""
+    offers = load_rental_coordinates(spark, root)
+    return nearest_for(offers, _grouped_stations(spark, root), scout_id, k)
 
 
 def show_nearest_stations(
-    spark: SparkSession, root: str, scout_ids: list[int], k: int = 10
+    spark: SparkSession, root: str, scout_id: int, k: int = 10
 ) -> DataFrame:
-    """Map features of the given offers and their nearest stations."""
-    nearest = query_nearest_stations(spark, root, scout_ids, k)
+    """Map features of one offer and its nearest stations."""
+    nearest = query_nearest_stations(spark, root, scout_id, k)
     offers = load_rental_coordinates(spark, root)
-    return map_features(offers.where(offers["scoutId"].isin(scout_ids)), nearest)
+    return map_features(offers.where(offers["scoutId"] == scout_id), nearest)
