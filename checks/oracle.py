@@ -169,7 +169,7 @@ ORACLE = {
     ),
     "zip_repair": _with(["rental"], "SELECT scoutId, geo_plz FROM rental"),
     "bad_zip_report": _with(
-        ["raw_rental"], f"SELECT geo_plz, geo_krs, geo_bln FROM raw_rental WHERE {IS_SHORT}"
+        ["raw_rental"], f"SELECT scoutId, geo_plz, geo_krs, geo_bln FROM raw_rental WHERE {IS_SHORT}"
     ),
     "rental_address": _with(
         ["address"],

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from nearstop.operators.nearest import Limits, nearest_join
 from nearstop.scratch import materialise
 
 WIDEST_BLOCK = 512  # centres around a cell up to which a pass by radius is worth it
+ENTRY_BYTES = 128  # generous size of a centre in memory
 
 
 def coordinates_of(
@@ -59,17 +60,20 @@ def nearest_zip(
     return found.drop("rank").withColumnRenamed("PLZ", "Q_PLZ")
 
 
-def zip_within(stations: DataFrame, centres: DataFrame, radius: float) -> DataFrame:
+def zip_within(
+    stations: DataFrame, centres: DataFrame, radius: float, few_centres: bool = False
+) -> DataFrame:
     """As ``nearest_zip``, but ``Q_PLZ`` is null if no centre is within ``radius`` degrees.
 
     Each centre is listed in its own and the eight surrounding cells of side ``radius``, so one
-    join by cell shows a station every centre that can be in reach. Check with ``widest_block``
-    that the lists stay short.
+    join by cell shows a station every centre that can be in reach. Check with ``block_sizes``
+    that the lists stay short; ``few_centres`` says that all of them can be broadcast.
     """
     blocks = (
         _around(centres, radius).groupBy("_bx", "_by")
         .agg(F.collect_list(F.struct("lat", "lng", "PLZ")).alias("_block"))
     )
+    blocks = F.broadcast(blocks) if few_centres else blocks
     lat, lng = F.col("Latitude").cast("double"), F.col("Longitude").cast("double")
     celled = stations.withColumns({"_x": F.floor(lat / radius), "_y": F.floor(lng / radius)})
     best = F.array_min(F.transform("_block", lambda c: F.struct(
@@ -82,14 +86,16 @@ def zip_within(stations: DataFrame, centres: DataFrame, radius: float) -> DataFr
     )
 
 
-def widest_block(centres: DataFrame, radii: tuple[float, ...]) -> dict[float, int]:
-    """For each radius the length of the longest list ``zip_within`` would make."""
+def block_sizes(centres: DataFrame, radii: tuple[float, ...]) -> dict[float, tuple[int, int]]:
+    """For each radius the length of the longest list ``zip_within`` would make, and of all."""
     counted = [
-        _around(centres, radius).groupBy("_bx", "_by").count()
-        .agg(F.lit(radius).alias("radius"), F.max("count").alias("most"))
+        _around(centres, radius).groupBy("_bx", "_by").count().agg(
+            F.lit(radius).alias("radius"), F.max("count").alias("most"), F.sum("count").alias("all")
+        )
         for radius in radii
     ]
-    return {row.radius: row.most or 0 for row in reduce(DataFrame.unionAll, counted).collect()}
+    rows = reduce(DataFrame.unionAll, counted).collect()
+    return {row.radius: (row.most or 0, row["all"] or 0) for row in rows}
 
 
 def _around(centres: DataFrame, radius: float) -> DataFrame:
@@ -147,11 +153,12 @@ def resolve_zips(
     ``nearest_zip``. Returns SeqNo, Q_PLZ and the number of the attempt.
     """
 
-    widest = widest_block(centres, radii) if radii else {}
-    circles = [
-        lambda rows, radius=radius: zip_within(rows, centres, radius)
-        for radius in radii if widest[radius] <= WIDEST_BLOCK
-    ]
+    circles, sizes = [], block_sizes(centres, radii) if radii else {}
+    for radius in radii:
+        most, entries = sizes[radius]
+        few = entries * ENTRY_BYTES <= limits.broadcast_bytes
+        if most <= WIDEST_BLOCK:
+            circles.append(partial(zip_within, centres=centres, radius=radius, few_centres=few))
     located = stations.where(
         is_located(F.col("Latitude").cast("double"), F.col("Longitude").cast("double"))
     )

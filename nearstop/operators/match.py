@@ -54,10 +54,10 @@ def nearest_stations(
 
     ``rentals`` has scoutId, zip_group, lat and lng; ``stations`` the columns of ``CANDIDATE`` and
     ZIP_Group_Station. Equal distances are ordered by DHID. A group with fewer stations gives
-    those it has. Adds ``rank`` and the station columns to the offers.
+    those it has. Adds ``rank`` and the station columns to these columns of the offers.
     """
     return nearest_join(
-        rentals, stations, k, _ORDER,
+        rentals.select("scoutId", "zip_group", "lat", "lng"), stations, k, _ORDER,
         group=("zip_group", "ZIP_Group_Station"),
         candidate_point=("Latitude", "Longitude"), limits=limits,
     )

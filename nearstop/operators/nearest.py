@@ -34,12 +34,18 @@ from nearstop.scratch import materialise
 class Limits:
     """When groups are split, query cells settled and tables broadcast."""
 
-    group: int = 4096  # candidates above which a group is split by the grid
-    settled: int = 512  # candidates in the cells kept by a query cell at which it is settled
+    group: int = 2048  # candidates above which a group is split by the grid
+    settled: int = 256  # candidates in the cells a query cell kept up to which it is settled
     broadcast_bytes: int = 32 << 20  # measured size up to which a table is broadcast
 
 
-GROUP_BYTES = 128  # generous size of one row of a list of groups
+KEY_BYTES = 128  # generous size of a group, or of a cell, in memory
+FIRST_CELLS = 36  # most candidate cells a group can have on the first level
+
+
+def _broadcast_if(size: int, table: DataFrame, limits: Limits) -> DataFrame:
+    """Broadcast ``table`` if its measured ``size`` in bytes allows."""
+    return F.broadcast(table) if size <= limits.broadcast_bytes else table
 
 
 def nearest_join(
@@ -74,18 +80,17 @@ def nearest_join(
     rest = points
     if measured.large_groups:
         large = sizes.where(is_large).select("_group")
-        if measured.large_groups * GROUP_BYTES <= limits.broadcast_bytes:
-            large = F.broadcast(large)
+        large = _broadcast_if(measured.large_groups * KEY_BYTES, large, limits)
         rest = points.join(large, "_group", "left_anti")
     lists = rest.groupBy("_group").agg(F.collect_list(F.struct(*_POINT)).alias("_points"))
     lists = lists.select("_group", _packed("_points").alias("_chunks"))
-    if (measured.small_bytes or 0) <= limits.broadcast_bytes:
-        lists = F.broadcast(lists)
+    lists = _broadcast_if(measured.small_bytes or 0, lists, limits)
     found = asked.join(lists, "_group").select(*queries.columns, _picked(k).alias("_picks"))
     if measured.large_groups:
-        asked = materialise(asked.join(large, "_group", "left_semi"), "queries")
-        in_large = points.join(large, "_group", "left_semi")
-        answers = _answers_by_grid(asked, in_large, k, limits)
+        answers = _answers_by_grid(
+            asked.join(large, "_group", "left_semi"), points.join(large, "_group", "left_semi"),
+            measured.large_groups, k, limits,
+        )
         found = found.unionByName(
             asked.join(answers, ["_group", "_qlat", "_qlng"]).select(*queries.columns, "_picks")
         )
@@ -143,9 +148,10 @@ def _with(value: Column, body) -> Column:
 
 def _packed(points: str) -> Column:
     """Chunks of about equal size of a list of points, cut into strips by latitude and each strip
-    by longitude; a list of n points gives about the square root of n chunks."""
+    by longitude. A chunk of half the square root of the size balances the work of a query on
+    boxes of chunks with that on points of the chunks in reach."""
     size = F.size(points)
-    chunk = F.ceil(F.sqrt(size)).cast("int")
+    chunk = F.ceil(F.sqrt(size) / 2).cast("int")
     strip = (chunk * F.ceil(F.sqrt(size / chunk))).cast("int")
 
     def cuts(count, length):
@@ -214,7 +220,7 @@ def _picked(k: int) -> Column:
     return _with(close, nearest)
 
 
-def _answers_by_grid(asked, points, k, limits) -> DataFrame:
+def _answers_by_grid(asked, points, groups, k, limits) -> DataFrame:
     """The nearest candidates of each distinct place in ``asked``, by a grid."""
     points = materialise(
         points.withColumns({"_x": grid(F.col("_lat")), "_y": grid(F.col("_lng"))}), "points"
@@ -224,7 +230,7 @@ def _answers_by_grid(asked, points, k, limits) -> DataFrame:
         .withColumns({"_x": grid(F.col("_qlat")), "_y": grid(F.col("_qlng"))}),
         "places",
     )
-    tiles, levels = _settle(points, places, k, limits)
+    tiles, levels = _settle(points, places, groups, k, limits)
 
     # Settled cells lie on several levels, so both sides of a join by cell are listed per level.
     level = F.explode(F.lit(levels)).alias("_level")
@@ -252,24 +258,51 @@ def _answers_by_grid(asked, points, k, limits) -> DataFrame:
     return located.join(near, tile).select("_group", "_qlat", "_qlng", _picked(k).alias("_picks"))
 
 
-def _settle(points, places, k, limits) -> tuple[DataFrame, list[int]]:
+def _settle(points, places, groups, k, limits) -> tuple[DataFrame, list[int]]:
     """Cover all query places with settled query cells.
 
     Returns these cells with the candidate cells they kept, and the levels they lie on.
     """
-    settled, levels, unsettled = [], [], None
-    for level in range(_first_level(points), MAX_LEVEL + 1):
-        offered = _offered(unsettled, _cells(points, level))
-        kept = materialise(_keep(offered, _tiles(places, level), k), "kept")
+    settled, levels = [], []
+    first = _first_level(points)
+    offered = _broadcast_if(
+        groups * FIRST_CELLS * KEY_BYTES, _first_offer(_cells(points, first)), limits
+    )
+    open_points, open_places = points, places
+    for level in range(first, MAX_LEVEL + 1):
+        if level > first:
+            offered = _offer(unsettled, _cells(open_points, level))
+        kept = materialise(_keep(offered, _tiles(open_places, level), k), "kept")
         is_open = (F.col("_total") > limits.settled) & F.lit(level < MAX_LEVEL)
-        levels.append(level)
-        settled.append(kept.where(~is_open).withColumn("_level", F.lit(level)))
         unsettled = kept.where(is_open)
-        if unsettled.isEmpty():
+        left = kept.agg(
+            F.count_if(~is_open).alias("settled"), F.count_if(is_open).alias("tiles"),
+            F.coalesce(F.sum(F.when(is_open, F.size("_cells"))), F.lit(0)).alias("cells"),
+        ).first()
+        if left.settled:
+            levels.append(level)
+            settled.append(kept.where(~is_open).withColumn("_level", F.lit(level)))
+        if not left.tiles:
             break
+        # While many cells are open, counting all points costs less than looking for the open ones.
+        open_places, open_points = places, points
+        if left.tiles * KEY_BYTES <= limits.broadcast_bytes:
+            open_places = _inside(places, unsettled.select("_group", "_qx", "_qy"), level)
+        if left.cells * KEY_BYTES <= limits.broadcast_bytes:
+            open_cells = unsettled.select("_group", F.inline("_cells")).distinct()
+            open_points = _inside(points, open_cells, level)
     return reduce(DataFrame.unionByName, settled), levels
 
 
+def _inside(points: DataFrame, cells: DataFrame, level: int) -> DataFrame:
+    """The points in any of a broadcast list of cells (group, x and y) at ``level``."""
+    cells = cells.toDF("_group", "_inx", "_iny")
+    marked = points.withColumns({"_inx": cell("_x", level), "_iny": cell("_y", level)})
+    return marked.join(
+        F.broadcast(cells), ["_group", "_inx", "_iny"], "left_semi"
+    ).drop("_inx", "_iny")
+
+
 def _first_level(points: DataFrame) -> int:
     """The finest level at which no group has more than five candidate cells a side."""
     spans = points.groupBy("_group").agg(
@@ -297,10 +330,13 @@ def _tiles(places: DataFrame, level: int) -> DataFrame:
 _CELL = ["_cx", "_cy", "_n", *SIDES]
 
 
-def _offered(kept: DataFrame | None, cells: DataFrame) -> DataFrame:
-    """The candidate cells each parent query cell hands down; at first all cells of the group."""
-    if kept is None:
-        return cells.groupBy("_group").agg(F.collect_list(F.struct(*_CELL)).alias("_cells"))
+def _first_offer(cells: DataFrame) -> DataFrame:
+    """All candidate cells of each group."""
+    return cells.groupBy("_group").agg(F.collect_list(F.struct(*_CELL)).alias("_cells"))
+
+
+def _offer(kept: DataFrame, cells: DataFrame) -> DataFrame:
+    """The candidate cells each query cell hands down: the children of those it kept."""
     children = cells.groupBy(
         "_group", parent_cell("_cx").alias("_px"), parent_cell("_cy").alias("_py")
     ).agg(F.collect_list(F.struct(*_CELL)).alias("_children"))

@@ -16,10 +16,13 @@ def with_repaired_zip(rentals: DataFrame) -> DataFrame:
 
 
 def short_zips(rentals: DataFrame) -> DataFrame:
-    """The zip codes that do not start with five digits, with their place, in order."""
+    """The zip codes that do not start with five digits, with their place, in order.
+
+    The id comes last in the order, so that the sort can spread rows of one zip code over tasks.
+    """
     return (
-        rentals.where(text.is_short_zip(F.col("geo_plz"))).select(*_ZIP_PARTS)
-        .orderBy("geo_krs", "geo_bln", "geo_plz")
+        rentals.where(text.is_short_zip(F.col("geo_plz"))).select("scoutId", *_ZIP_PARTS)
+        .orderBy("geo_krs", "geo_bln", "geo_plz", "scoutId")
     )
 
 

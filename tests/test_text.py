@@ -82,6 +82,11 @@ def test_blank_becomes_null_where_asked(spark):
 
 
 def test_short_zips_are_sorted(spark):
-    rows = [("1234", "b", "x"), ("123", "a", "y"), ("12345", "a", "a"), ("999", "a", "x")]
-    df = spark.createDataFrame(rows, "geo_plz string, geo_krs string, geo_bln string")
-    assert [r.geo_plz for r in short_zips(df).collect()] == ["999", "123", "1234"]
+    rows = [
+        (1, "1234", "b", "x"), (2, "123", "a", "y"), (3, "12345", "a", "a"), (5, "999", "a", "x"),
+        (4, "999", "a", "x"),
+    ]
+    df = spark.createDataFrame(
+        rows, "scoutId int, geo_plz string, geo_krs string, geo_bln string"
+    )
+    assert [r.scoutId for r in short_zips(df).collect()] == [4, 5, 2, 1]
