@@ -94,7 +94,9 @@ def nearest_join(
         found = found.unionByName(
             asked.join(answers, ["_group", "_qlat", "_qlng"]).select(*queries.columns, "_picks")
         )
-    ranked = found.select(*queries.columns, F.posexplode("_picks").alias("_pos", "_pick"))
+    # Picks are never empty. The outer form keeps Spark from adding a filter that says so, which
+    # would compute them again in the join condition.
+    ranked = found.select(*queries.columns, F.posexplode_outer("_picks").alias("_pos", "_pick"))
     return ranked.select(*queries.columns, (F.col("_pos") + 1).alias("rank"), "_pick.m.*")
 
 
