@@ -260,7 +260,7 @@ def lookup_hook_forward(spark, sf):
         })
 
     offers = _addresses(spark, sf).select("scoutId", "address_string")
-    return call_lookup(offers, ["address_string"], service, "lat double, lng double")
+    return call_lookup(offers, ["address_string"], service, "lat double, lng double", "scoutId")
 
 
 def lookup_hook_reverse(spark, sf):
@@ -271,7 +271,7 @@ def lookup_hook_reverse(spark, sf):
         return pd.DataFrame({"Q_PLZ": whole.astype(str)})
 
     located = _stations(spark, sf).select("SeqNo", "Latitude", "Longitude")
-    found = call_lookup(located, ["Latitude", "Longitude"], service, "Q_PLZ string")
+    found = call_lookup(located, ["Latitude", "Longitude"], service, "Q_PLZ string", "SeqNo")
     return found.select("SeqNo", "Q_PLZ")
 
 

@@ -35,11 +35,14 @@ def coordinates_of(
         )
 
     found = lookup_join(
-        rentals, points(gazetteer, "address_string", "_exact"), {"address_string": "_exact_key"}
+        rentals, points(gazetteer, "address_string", "_exact"),
+        {"address_string": "_exact_key"}, "scoutId",
     )
     # Only offers still open ask for a centre; the others get no key.
     found = found.withColumn("_open_zip", F.when(F.col("_exact").isNull(), F.col(zip_column)))
-    found = lookup_join(found, points(centres, "PLZ", "_centre"), {"_open_zip": "_centre_key"})
+    found = lookup_join(
+        found, points(centres, "PLZ", "_centre"), {"_open_zip": "_centre_key"}, "scoutId"
+    )
     tier = F.when(F.col("_exact").isNotNull(), 1).when(F.col("_centre").isNotNull(), 2)
     return found.withColumns(
         {"coords": F.coalesce("_exact", "_centre"), "tier": tier}
@@ -79,8 +82,8 @@ def zip_within(
     best = F.array_min(F.transform("_block", lambda c: F.struct(
         distance2(lat, lng, c["lat"], c["lng"]).alias("d"), c["PLZ"].alias("z")
     )))
-    joined = lookup_join(celled, blocks, {"_x": "_bx", "_y": "_by"}).withColumn("_best", best)
-    return joined.select(
+    joined = lookup_join(celled, blocks, {"_x": "_bx", "_y": "_by"}, "SeqNo")
+    return joined.withColumn("_best", best).select(
         *stations.columns,
         F.when(F.col("_best.d") <= radius * radius, F.col("_best.z")).alias("Q_PLZ"),
     )

@@ -13,17 +13,19 @@ from pyspark.sql.types import StructType
 NULL_SPREAD = 64  # parts over which rows without a key are spread
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: dict[str, str]) -> DataFrame:
+def lookup_join(
+    left: DataFrame, right: DataFrame, on: dict[str, str], row_id: str
+) -> DataFrame:
     """Left join of ``left`` with a reference table; ``on`` maps left to right key columns.
 
     Rows with a null key match nothing but would all be sent to one task. A second key part,
-    always 0 for rows with a key, spreads them. Rows sharing one real key are left to the skew
+    always 0 for rows with a key, spreads them by ``row_id``, a column that differs between rows. Rows sharing one real key are left to the skew
     handling of adaptive execution, which can split the left side of this join, and a reference
     table that turns out small is broadcast by it. All columns of both sides are kept; the key
     columns need different names.
     """
     no_key = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in on])
-    spread = F.when(no_key, F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD - 1)) + 1)
+    spread = F.when(no_key, F.pmod(F.xxhash64(row_id), F.lit(NULL_SPREAD - 1)) + 1)
     a = left.withColumn("_part", F.coalesce(spread, F.lit(0)))
     b = right.withColumn("_right_part", F.lit(0).cast("long"))
     same = [F.col(name) == F.col(other) for name, other in [*on.items(), ("_part", "_right_part")]]
@@ -45,14 +47,15 @@ def call_lookup(
     keys: list[str],
     fetch: Callable[[pd.DataFrame], pd.DataFrame],
     result: str,
+    row_id: str,
     parallelism: int | None = None,
 ) -> DataFrame:
     """Add the columns of DDL schema ``result`` by calling ``fetch`` on batches of distinct keys.
 
     ``fetch`` gets a pandas frame of keys and returns one row of results for each, in order. Each
     key is looked up once, however often it occurs. If ``fetch`` raises or returns another number
-    of rows, the results of its batch are null and can be retried. ``parallelism`` bounds the
-    number of calls at a time.
+    of rows, the results of its batch are null and can be retried. ``row_id`` is a column that
+    differs between rows; ``parallelism`` bounds the number of calls at a time.
     """
     fields = StructType.fromDDL(result)
     names = fields.names
@@ -75,5 +78,5 @@ def call_lookup(
     key_fields = [distinct.schema[name] for name in keys]
     answers = distinct.mapInPandas(fetch_batches, StructType([*key_fields, *fields.fields]))
     keyed = answers.withColumnsRenamed({name: f"_key_{name}" for name in keys})
-    joined = lookup_join(df, keyed, {name: f"_key_{name}" for name in keys})
+    joined = lookup_join(df, keyed, {name: f"_key_{name}" for name in keys}, row_id)
     return joined.drop(*[f"_key_{name}" for name in keys])

@@ -26,7 +26,7 @@ def with_municipal_zip(stations: DataFrame, mapping: DataFrame) -> DataFrame:
     renamed = mapping.withColumnsRenamed(
         {"Name": "name_ZIP", "MunicipalityCode": "MunicipalityCode_ZIP"}
     )
-    return lookup_join(stations, renamed, {"MunicipalityCode": "MunicipalityCode_ZIP"})
+    return lookup_join(stations, renamed, {"MunicipalityCode": "MunicipalityCode_ZIP"}, "SeqNo")
 
 
 def missing_zip(stations: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def with_resolved_zip(stations: DataFrame, resolved: DataFrame) -> DataFrame:
     """Fill missing zip codes from ``resolved`` (SeqNo, Q_PLZ) and add the zip group."""
     joined = lookup_join(
         blanks_to_null(stations), resolved.select(F.col("SeqNo").alias("_seq"), "Q_PLZ"),
-        {"SeqNo": "_seq"},
+        {"SeqNo": "_seq"}, "DHID",
     )
     plz = F.coalesce("PLZ", "Q_PLZ")
     return joined.drop("_seq").withColumns(
@@ -64,7 +64,7 @@ def inherit_from_parent(stations: DataFrame) -> DataFrame:
         ["_parent"], inherited,
     )
     children = lookup_join(
-        stations.where(~is_parent).drop(*inherited), parents, {"Parent": "_parent"}
+        stations.where(~is_parent).drop(*inherited), parents, {"Parent": "_parent"}, "SeqNo"
     ).select(*stations.columns)
     everyone = stations.where(is_parent).unionByName(children)
     return everyone.withColumn("ZIP_Group_Station", zip_group(F.col("PLZ")))

@@ -19,7 +19,7 @@ def rows(df, *columns):
 def test_lookup_join_keeps_rows_without_key(spark):
     left = spark.createDataFrame([(1, "a"), (2, None), (3, "z"), (4, None)], "n int, k string")
     right = spark.createDataFrame([("a", 10), (None, 99)], "rk string, v int")
-    joined = lookup_join(left, right, {"k": "rk"})
+    joined = lookup_join(left, right, {"k": "rk"}, "n")
     assert rows(joined, "n", "v") == [(1, 10), (2, None), (3, None), (4, None)]
     assert joined.columns == ["n", "k", "rk", "v"]
 
@@ -30,7 +30,7 @@ def test_lookup_join_spreads_rows_without_key(spark):
     try:
         left = spark.range(1000).withColumn("k", F.lit(None).cast("string"))
         right = spark.createDataFrame([("a", 1)], "rk string, v int")
-        joined = lookup_join(left, right, {"k": "rk"})
+        joined = lookup_join(left, right, {"k": "rk"}, "id")
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         assert max(row["count"] for row in sizes) < 600
         assert joined.count() == 1000
@@ -85,7 +85,7 @@ def test_children_inherit(spark):
 
 
 def test_resolved_zip_fills_gaps_only(spark):
-    df = spark.createDataFrame([(1, "a"), (2, ""), (3, None)], "SeqNo int, PLZ string")
+    df = spark.createDataFrame([(1, "x", "a"), (2, "y", ""), (3, "z", None)], "SeqNo int, DHID string, PLZ string")
     found = spark.createDataFrame([(1, "x"), (2, "bcde"), ], "SeqNo int, Q_PLZ string")
     assert rows(stations.with_resolved_zip(df, found), "SeqNo", "PLZ", "ZIP_Group_Station") \
         == [(1, "a", "a"), (2, "bcde", "bcd"), (3, None, None)]
@@ -227,15 +227,15 @@ def test_lookup_service(spark):
         assert keys["k"].is_unique
         return pd.DataFrame({"size": keys["k"].str.len()})
 
-    found = call_lookup(df, ["k"], service, "size long", parallelism=2)
+    found = call_lookup(df, ["k"], service, "size long", "n", parallelism=2)
     assert rows(found, "n", "k", "size") == [(1, "a", 1), (2, "a", 1), (3, "bb", 2), (4, None, None)]
 
     def broken(keys):
         raise OSError("no answer")
 
-    assert rows(call_lookup(df, ["k"], broken, "size long"), "n", "size") \
+    assert rows(call_lookup(df, ["k"], broken, "size long", "n"), "n", "size") \
         == [(1, None), (2, None), (3, None), (4, None)]
-    short = call_lookup(df, ["k"], lambda keys: pd.DataFrame({"size": []}), "size long")
+    short = call_lookup(df, ["k"], lambda keys: pd.DataFrame({"size": []}), "size long", "n")
     assert {r["size"] for r in short.collect()} == {None}
 
 
