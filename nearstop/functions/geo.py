@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 
 def is_located(lat: Column, lng: Column) -> Column:
-    """True where both coordinates are present and numbers."""
-    return lat.isNotNull() & lng.isNotNull() & ~F.isnan(lat) & ~F.isnan(lng)
+    """True where both coordinates are finite numbers; never true for null or NaN."""
+    return (F.abs(lat) < float("inf")) & (F.abs(lng) < float("inf"))
 
 
 def distance2(lat_a: Column, lng_a: Column, lat_b: Column, lng_b: Column) -> Column:

@@ -281,7 +281,7 @@ def _settle(points, places, groups, k, limits) -> tuple[DataFrame, list[int]]:
             F.count_if(~is_open).alias("settled"), F.count_if(is_open).alias("tiles"),
             F.coalesce(F.sum(F.when(is_open, F.size("_cells"))), F.lit(0)).alias("cells"),
         ).first()
-        if left.settled:
+        if left.settled or not (left.tiles or settled):
             levels.append(level)
             settled.append(kept.where(~is_open).withColumn("_level", F.lit(level)))
         if not left.tiles:

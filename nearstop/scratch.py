@@ -15,7 +15,7 @@ def scratch_root(spark: SparkSession) -> str:
     one machine would be lost with it, so the setting is required there.
     """
     context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
     if not context.master.startswith("local"):

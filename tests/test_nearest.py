@@ -3,13 +3,11 @@
 import math
 
 import numpy as np
-import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
-from nearstop.operators.nearest import Limits, nearest_join
+from nearstop.operators.nearest import Limits, _candidate_points, nearest_join
 
 QUERY = "id string, g string, lat double, lng double"
 CANDIDATE = "pid string, g string, lat double, lng double"
@@ -84,12 +82,29 @@ def test_edges(spark, limits):
     candidates = [
         ("p2", "a", 1.0, 2.0), ("p1", "a", 2.0, 1.0), ("p1", "a", 2.0, 1.0),
         ("p3", "a", 9.0, 9.0), (None, "a", 1.0, 1.0), ("p4", "a", None, 1.0),
-        ("p5", None, 1.0, 1.0), ("p6", "a", float("nan"), 1.0),
+        ("p5", None, 1.0, 1.0), ("p6", "a", float("nan"), 1.0), ("p7", "a", 1.0, float("inf")),
     ]
     expected = [("few", 1, "p1"), ("few", 2, "p2"), ("few", 3, "p3")] * 2
     assert run(spark, queries, candidates, 10, limits) == sorted(expected)
 
 
+def test_nothing_to_join(spark):
+    queries, candidates = cloud(1, 30, "q", hot=1.0), cloud(2, 200, "p", hot=1.0)
+    elsewhere = [(number, "other", lat, lng) for number, _, lat, lng in queries]
+    for limits in (Limits(), SPLIT):
+        assert run(spark, elsewhere, candidates, 3, limits) == []
+        assert run(spark, queries, [], 3, limits) == []
+        assert run(spark, [], candidates, 3, limits) == []
+
+
+def test_places_are_limited_before_the_shuffle(spark):
+    points = _candidate_points(
+        spark.createDataFrame(cloud(1, 50, "p"), CANDIDATE), 3, ["pid"], "g", ("lat", "lng")
+    )
+    plan = points._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
 def test_result_does_not_depend_on_partitions(spark):
     queries, candidates = cloud(7, 100, "q"), cloud(8, 200, "p")
     answers = []
@@ -106,7 +121,7 @@ def test_result_does_not_depend_on_partitions(spark):
 point = st.tuples(st.integers(-3, 3), st.integers(-3, 3))
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(point, min_size=1, max_size=12), st.lists(point, min_size=1, max_size=40))
 def test_ties_on_a_lattice(spark, asked, given_points):
     queries = [(f"q{i:02}", "a", float(x), float(y)) for i, (x, y) in enumerate(asked)]

@@ -148,6 +148,16 @@ def test_scratch_tables(spark):
     assert scratch.scratch_path(spark, "a") != scratch.scratch_path(spark, "a")
 
 
+def test_scratch_folder_is_the_one_the_session_names(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        assert scratch.scratch_path(spark, "a").startswith(f"{tmp_path}/nearstop/a-")
+        scratch.materialise(spark.range(3), "b")
+        assert list((tmp_path / "nearstop").glob("b-*/*.parquet"))
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+
+
 def test_spread(spark, tmp_path):
     spark.range(100).coalesce(1).write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
