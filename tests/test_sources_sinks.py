@@ -1,4 +1,5 @@
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -148,14 +149,15 @@ def test_scratch_tables(spark):
     assert scratch.scratch_path(spark, "a") != scratch.scratch_path(spark, "a")
 
 
-def test_scratch_folder_is_the_one_the_session_names(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert scratch.scratch_path(spark, "a").startswith(f"{tmp_path}/nearstop/a-")
-        scratch.materialise(spark.range(3), "b")
-        assert list((tmp_path / "nearstop").glob("b-*/*.parquet"))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_scratch_folder_is_the_one_the_session_names():
+    def session(folder):
+        context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+        conf = SimpleNamespace(get=lambda key, default: folder or default)
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    assert scratch.scratch_path(session("s3a://b/c/"), "a").startswith("s3a://b/c/nearstop/a-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.scratch_root(session(None))
 
 
 def test_spread(spark, tmp_path):
