@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as driver
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 from tests.compare import FOLDER, duck_rows, spark_rows
 
 SF = "sf0.01"
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
