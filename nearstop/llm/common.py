@@ -22,18 +22,20 @@ def group_key(*columns: str) -> Column:
     return F.concat_ws("\u0001", *parts)
 
 
-def with_row_key(df: DataFrame) -> DataFrame:
-    """Add ``_row`` and ``_nth``, which name a row by its content and tell equal rows apart.
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of ``df``."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def with_row_number(df: DataFrame) -> DataFrame:
+    """Add ``_nth``, which tells rows of equal ``_row`` (a ``row_hash``) apart.
 
     The two agree between any two reads of the same rows, so narrow results can be joined back.
-    Rows that collide in the hash but differ are numbered like equal rows, in the order of their
-    ids, so nothing is lost.
+    Rows that collide in the hash but differ are numbered like equal rows, in the order of doc_id,
+    so nothing is lost.
     """
-    names = [F.col(f"`{c}`") for c in df.columns]
-    first = f"`{df.columns[0]}`"
-    hashed = df.withColumn("_row", F.xxhash64(*names))
-    order = Window.partitionBy("_row").orderBy(first)
-    return hashed.withColumn("_nth", F.row_number().over(order))
+    order = Window.partitionBy("_row").orderBy("doc_id")
+    return df.withColumn("_nth", F.row_number().over(order))
 
 
 def shards_for(rows: int, per_shard: int) -> int:

@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nearstop.llm.common import GAP, WORD, group_key, with_row_key
+from nearstop.llm.common import GAP, WORD, group_key, row_hash, with_row_number
 from nearstop.scratch import materialise
 
 #: Documents of one source that a window sorts together, on average.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 1024
 
 
 def with_schedule(sources: DataFrame, knots: Column) -> DataFrame:
@@ -100,17 +100,17 @@ def plan_mix(
     ``documents`` has doc_id, text and source; other columns are kept out. ``schedule`` takes the
     table of sources (source, size) and returns it with ``segments`` and ``weight``, one row each.
     The result has doc_id, source, size, source_size, target, taken, copies (pass, words,
-    position), and the row key of ``with_row_key``. Every source is read in the order of a digest
+    position), and the row key of ``with_row_number``. Every source is read in the order of a digest
     of doc_id as often as its target asks; the copy at the end of the target is cut to the words
     left. A null or empty text has size 0 and no copies; null is a source of its own; equal rows
     are documents of their own. An empty table gives an empty result.
     """
-    keyed = with_row_key(documents)
-    sized = materialise(keyed.select(
-        "doc_id", "source", "_row", "_nth",
+    # The texts are measured before anything is shuffled.
+    sized = materialise(with_row_number(documents.select(
+        "doc_id", "source", row_hash(documents).alias("_row"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit("~")).alias("_order"),
-    ).withColumn("_source", group_key("source")), "sized")
+    )).withColumn("_source", group_key("source")), "sized")
     digits = _bucket_digits(sized.count())
     sized = sized.withColumn("_bucket", F.substring("_order", 1, digits) if digits else F.lit(""))
 
@@ -165,7 +165,8 @@ def mix(documents: DataFrame, schedule, share: float = 1.5, most: float = 2.0) -
     plan = plan_mix(documents, schedule, share, most).where("taken > 0").select(
         "_row", "_nth", "size", F.explode("copies").alias("_copy")
     )
-    taken = with_row_key(documents).join(plan, ["_row", "_nth"])
+    keyed = with_row_number(documents.withColumn("_row", row_hash(documents)))
+    taken = keyed.join(plan, ["_row", "_nth"])
     cut = F.col("_copy.words") < F.col("size")
     words = F.filter(F.split("text", GAP), lambda w: w != "")
     text = F.when(cut, F.array_join(F.expr("slice(_words, 1, int(_copy.words))"), " ")).otherwise(
