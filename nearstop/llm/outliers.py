@@ -201,8 +201,8 @@ def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
 def _nearest_share(measured: DataFrame) -> DataFrame:
     """The rows of each group that lie in its nearest ``SUPPORT``, whole steps of distance."""
-    step = F.when(F.col("_d2") <= 0, F.lit(-4000)).otherwise(
-        F.greatest(F.lit(-4000), F.floor(F.log("_d2") * 256))
+    step = F.when(F.col("_d2") <= 0, F.lit(-500)).otherwise(
+        F.greatest(F.lit(-500), F.floor(F.log("_d2") * 32))
     ).cast("int")
     binned = measured.withColumn("_bin", step)
     counts = binned.groupBy("_group", "_bin").count()

@@ -6,23 +6,27 @@ Records are rebuilt by a join on the digest, which is checked against the bytes.
 
 from __future__ import annotations
 
+import gzip
+import hashlib
+import io
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearstop.llm.common import shards_for
 from nearstop.scratch import materialise, scratch_path
 
 BREAK = "\r\n"
 END = b"\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Bytes of records that one archive file holds, on average. A reader holds one file at a time.
-FILE_BYTES = 16 << 20
+#: Records that one archive file holds at most. A reader holds one compressed file at a time.
+FILE_RECORDS = 20_000
 
 RECORD = pa.schema([
-    ("header", pa.binary()), ("body", pa.binary()), ("file", pa.string()), ("offset", pa.int64()),
+    ("header", pa.binary()), ("packed", pa.binary()), ("body_digest", pa.string()),
+    ("file", pa.string()), ("at", pa.int64()),
 ])
 
 
@@ -102,41 +106,53 @@ def page_records(pages: DataFrame) -> DataFrame:
 
 
 def write_warc(records: DataFrame, path: str) -> None:
-    """Write records (header, body) as uncompressed WARC files of about ``FILE_BYTES`` each.
+    """Write records (header, body) as gzipped WARC files of at most ``FILE_RECORDS`` records.
 
-    The line writer ends every record with the two line breaks that the format asks for.
+    The line writer ends every record with the two line breaks that the format asks for. Each task
+    writes what it has; nothing is shuffled.
     """
-    stored = materialise(records, "records")
-    size = stored.agg(F.sum(F.octet_length("header") + F.octet_length("body")).alias("n")).first()
-    files = shards_for(size["n"] or 0, FILE_BYTES)
     whole = F.concat("header", "body").cast("string").alias("value")
-    stored.select("header", whole).repartition(files, F.xxhash64("header")).select("value").write.option(
-        "lineSep", END.decode()
+    records.select(whole).write.options(
+        lineSep=END.decode(), compression="gzip", maxRecordsPerFile=FILE_RECORDS
     ).text(path)
 
 
+def _records(stream: io.BufferedIOBase, path: str) -> Iterator[tuple[bytes, bytes, int]]:
+    """Header, body and place of every record of a WARC stream."""
+    at = 0
+    while line := stream.readline():
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"{path}: no record header at byte {at}")
+        lines = [line]
+        while (line := stream.readline()) != BREAK.encode():
+            if not line:
+                raise ValueError(f"{path}: a header is cut short at byte {at}")
+            lines.append(line)
+        lines.append(line)
+        lengths = [
+            int(x.split(b":", 1)[1]) for x in lines if x.lower().startswith(b"content-length:")
+        ]
+        if len(lengths) != 1:
+            raise ValueError(f"{path}: a record without one Content-Length at byte {at}")
+        header, body = b"".join(lines), stream.read(lengths[0])
+        if len(body) != lengths[0] or stream.read(len(END)) != END:
+            raise ValueError(f"{path}: a record is cut short at byte {at}")
+        yield header, body, at
+        at += len(header) + len(body) + len(END)
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    packer = zstandard.ZstdCompressor()
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-            raw, at, held, rows = content.as_py(), 0, 0, []
-            while at < len(raw):
-                stop = raw.find(END, at)
-                if stop < 0 or not raw.startswith(b"WARC/", at):
-                    raise ValueError(f"{path}: no record header at byte {at}")
-                header = raw[at:stop + len(END)]
-                lengths = [
-                    line.split(b":", 1)[1] for line in header.split(b"\r\n")
-                    if line.lower().startswith(b"content-length:")
-                ]
-                if len(lengths) != 1:
-                    raise ValueError(f"{path}: a record without one Content-Length at byte {at}")
-                begin = stop + len(END)
-                body = raw[begin:begin + int(lengths[0])]
-                after = begin + int(lengths[0])
-                if raw[after:after + len(END)] != END:
-                    raise ValueError(f"{path}: a record is cut short at byte {at}")
-                rows.append((header, body, path.as_py(), at))
-                at, held = after + len(END), held + len(header) + len(body)
+            name, raw = path.as_py(), pa.BufferReader(content.as_buffer())
+            packed = content.as_buffer().slice(0, 2).to_pybytes() == b"\x1f\x8b"
+            stream = gzip.GzipFile(fileobj=raw) if packed else raw
+            rows, held = [], 0
+            for header, body, at in _records(io.BufferedReader(stream, 1 << 20), name):
+                digest = hashlib.sha256(body).hexdigest()
+                rows.append((header, packer.compress(body), digest, name, at))
+                held += len(rows[-1][1]) + len(header)
                 if held >= 4 << 20:
                     yield _batch(rows)
                     rows, held = [], 0
@@ -145,19 +161,22 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = [pa.array(column, field.type) for column, field in zip(zip(*rows), RECORD)]
+    columns = [
+        pa.array(column, field.type) for column, field in zip(zip(*rows), RECORD, strict=True)
+    ]
     return pa.record_batch(columns, schema=RECORD)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """All records below a folder of uncompressed WARC files: header, body, file, offset.
+    """All records below a folder of WARC files, gzipped or plain.
 
-    Bodies are cut by Content-Length, so they may hold any bytes. A file that is not made of whole
-    records raises. One task holds one file.
+    Columns: header, packed (the body, compressed by zstd), body_digest, file and at (the record's
+    byte in it). Bodies are cut by Content-Length, so they may hold any bytes. A file that is not
+    made of whole records raises. A task holds one file as it is stored, and a few records.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("path", "content").mapInArrow(
-        _parse, "header binary, body binary, file string, offset long"
+        _parse, "header binary, packed binary, body_digest string, file string, at long"
     )
 
 
@@ -169,48 +188,83 @@ def header_field(name: str) -> Column:
 
 
 def store_archive(records: DataFrame, root: str) -> None:
-    """Write records (header, body) as two tables: payloads by digest, and headers.
+    """Write records (as from ``read_warc``) as two tables: headers, and payloads by digest.
 
-    A revisit has no body of its own; its header names the digest of the payload it stands for.
-    Its bytes are those of the response, so ``headers`` has the digest for every record and
-    ``payloads`` each digest once. A body that does not have the digest its header names raises.
+    ``headers`` has the exact header of every record and the digest of its payload; a revisit has
+    no body, so its header names it. ``payloads`` has each digest once, its bytes compressed. A
+    body that does not have the digest its header names raises.
     """
-    named = header_field("X-Payload-SHA256")
-    kind = header_field("WARC-Type")
+    spark = records.sparkSession
+    named, kind = header_field("X-Payload-SHA256"), header_field("WARC-Type")
     rows = records.select(
-        "header", "body", kind.alias("kind"), F.sha2("body", 256).alias("body_digest"),
-        named.alias("named"),
+        "header", kind.alias("kind"), "body_digest", named.alias("named"), "file", "at"
     )
     wrong = (F.col("kind") != "revisit") & (F.col("named") != F.col("body_digest"))
-    rows = rows.withColumn("digest", F.when(
+    rows.select("header", "kind", "body_digest", "file", "at", F.when(
         wrong, F.raise_error(F.concat(F.lit("a payload differs from its digest "), "named"))
     ).when(F.col("kind") == "revisit", F.coalesce("named", "body_digest")).otherwise(
         F.col("body_digest")
-    ))
-    rows = materialise(rows, "parsed")
-    rows.select("header", "kind", "digest", "body_digest").write.parquet(f"{root}/headers")
-    rows.where("kind <> 'revisit' OR digest = body_digest").select(
-        "digest", F.col("body").alias("payload")
-    ).dropDuplicates(["digest"]).write.parquet(f"{root}/payloads")
+    ).alias("digest")).write.parquet(f"{root}/headers")
+    # Of records with equal bytes the first by file and place keeps them; the others are left out.
+    holders = spark.read.parquet(f"{root}/headers").where("digest = body_digest").select(
+        "digest", "file", "at"
+    )
+    first = materialise(holders.groupBy("digest").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("file", "at")).alias("first")
+    ).where("n > 1").select("digest", "first"), "first")
+    extra = materialise(holders.join(first, "digest").where(
+        F.struct("file", "at") != F.col("first")
+    ).select("file", "at"), "extra")
+    bodies = records.where((kind != "revisit") | named.isNull() | (named == F.col("body_digest")))
+    if not extra.isEmpty():
+        bodies = bodies.join(extra, ["file", "at"], "left_anti")
+    bodies.select(F.col("body_digest").alias("digest"), "packed").write.parquet(
+        f"{root}/payloads", compression="none"
+    )
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Unpack payloads and check them against their digests, a few at a time."""
+    unpacker = zstandard.ZstdDecompressor()
+    names = ["header", "kind", "payload"]
+    for batch in batches:
+        rows, held = [], 0
+        for header, kind, digest, packed in zip(
+            *[batch.column(c) for c in ("header", "kind", "digest", "packed")], strict=True
+        ):
+            digest = digest.as_py()
+            payload = unpacker.decompress(packed.as_py()) if packed.is_valid else None
+            if payload is None or hashlib.sha256(payload).hexdigest() != digest:
+                raise ValueError(f"no payload with digest {digest}")
+            rows.append((header.as_py(), kind.as_py(), payload))
+            held += len(payload)
+            if held >= 8 << 20:
+                yield pa.RecordBatch.from_arrays(_columns(rows), names=names)
+                rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays(_columns(rows), names=names)
+
+
+def _columns(rows: list[tuple]) -> list[pa.Array]:
+    kinds = (pa.binary(), pa.string(), pa.binary())
+    return [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
 
 
 def restore_records(spark: SparkSession, root: str) -> DataFrame:
     """Rebuild every record: header, kind, payload (full, also for revisits) and body (as stored).
 
-    A digest without bytes, or bytes without their digest, raise.
+    Headers are joined with payloads by digest. A digest without bytes, or bytes that do not have
+    it, raise.
     """
-    headers = spark.read.parquet(f"{root}/headers")
+    headers = spark.read.parquet(f"{root}/headers").select(
+        "header", "kind", "digest"
+    )
     payloads = spark.read.parquet(f"{root}/payloads")
-    checked = F.when(
-        F.col("payload").isNull() | (F.sha2("payload", 256) != F.col("digest")),
-        F.raise_error(F.concat(F.lit("no payload with digest "), "digest")).cast("binary"),
-    ).otherwise(F.col("payload"))
-    empty = F.sha2(F.lit(b""), 256)
-    return headers.join(payloads, "digest", "left").select(
-        "header", "kind", checked.alias("payload"),
-    ).withColumn("body", F.when(
-        (F.col("kind") == "revisit") & (F.sha2("payload", 256) != empty), F.lit(b"")
-    ).otherwise(F.col("payload")))
+    joined = headers.join(payloads, "digest", "left").select("header", "kind", "digest", "packed")
+    rows = joined.mapInArrow(_unpack, "header binary, kind string, payload binary")
+    length = header_field("Content-Length").cast("long")
+    body = F.when(length == F.octet_length("payload"), F.col("payload")).otherwise(F.lit(b""))
+    return rows.select("header", "kind", "payload", body.alias("body"))
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
