@@ -24,12 +24,15 @@ from nearstop.scratch import materialise
 
 #: Sets are linked from a similarity of 80 / 100 on.
 SHINGLE, NEAR, OF = 5, 80, 100
-#: A signature rests on two of three thirds of a part; one with fewer elements is weak.
-THIRDS, WEAK = 3, 2
-#: Spare parts: one for so many. A set with no more weak parts than these leaves weak ones out.
+#: A signature rests on two of three thirds of a part.
+THIRDS = 3
+#: Spare parts: one for so many. Similar sets have one more part in common than there are spare
+#: ones, so a set may leave out the signatures of few elements if no more parts than these have any.
 SPARE = 8
-#: Signatures that one task sorts, on average.
-SIGNATURES = 2_000_000
+#: Signatures with fewer elements than this are left out; if too many parts have one, the next.
+FEW = (2, 1)
+#: Signatures that one task sorts, on average, and the bytes of each that are sent.
+SIGNATURES, SENT = 4_000_000, 5
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -128,24 +131,23 @@ def signatures(elements: np.ndarray) -> np.ndarray:
         place = _mix(elements + np.uint64((band + 1) * 0x9E3779B97F4A7C15 % 2**64))
         cell = ((place >> np.uint64(32)) % np.uint64(parts * THIRDS)).astype(np.int64)
         cells = parts * THIRDS
-        order = np.argsort(cell, kind="stable")
         # Sums over the elements of a cell do not depend on their order.
         sums = np.zeros(cells, dtype=np.uint64)
-        np.add.at(sums, cell[order], _mix(place ^ M2)[order])
+        np.add.at(sums, cell, _mix(place ^ M2))
         counts = np.bincount(cell, minlength=cells).reshape(parts, THIRDS)
         sums = sums.reshape(parts, THIRDS)
         part = np.arange(parts, dtype=np.uint64)
-        weak_parts = 0
-        made = []
+        values, held = [], []
         for left_out in range(THIRDS):
-            a, b = [t for t in range(THIRDS) if t != left_out]
-            weak = counts[:, a] + counts[:, b] < WEAK
-            salt = _mix((np.uint64(band) << np.uint64(40)) + (part << np.uint64(4)) + np.uint64(left_out))
-            made.append((_mix(_mix(sums[:, a] ^ salt) + sums[:, b]), weak))
-        weak_parts = int(np.any([weak for _, weak in made], axis=0).sum())
-        keep_weak = weak_parts > spare
-        for values, weak in made:
-            found.append(values if keep_weak else values[~weak])
+            one, two = [t for t in range(THIRDS) if t != left_out]
+            salt = _mix(
+                (np.uint64(band) << np.uint64(40)) + (part << np.uint64(4)) + np.uint64(left_out)
+            )
+            values.append(_mix(_mix(sums[:, one] ^ salt) + sums[:, two]))
+            held.append(counts[:, one] + counts[:, two])
+        least = np.min(held, axis=0)
+        few = next((n for n in FEW if np.count_nonzero(least < n) <= spare), 0)
+        found.extend(v[h >= few] for v, h in zip(values, held, strict=True))
     return np.unique(np.concatenate(found)) if found else np.empty(0, dtype=np.uint64)
 
 
@@ -191,10 +193,12 @@ def _signature_rows(documents: DataFrame, parts: int) -> DataFrame:
                 part = (found % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 found, part = found[order], part[order]
+                # The bits that do not choose the part, in a few bytes.
+                sent = found.view(np.uint8).reshape(-1, 8)[:, 8 - SENT:]
                 cuts = np.flatnonzero(np.diff(part)) + 1
                 starts = np.r_[0, cuts] if len(part) else []
                 for a, b in zip(starts, [*cuts, len(part)], strict=True) if len(part) else ():
-                    rows.append((int(part[a]), key, found[a:b].tobytes()))
+                    rows.append((int(part[a]), key, sent[a:b].tobytes()))
                 if len(rows) > 20_000:
                     yield _rows(rows)
                     rows = []
@@ -257,8 +261,12 @@ def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        for key, found in zip(batch.column("key").to_pylist(), batch.column("found"), strict=True):
-            values = np.frombuffer(found.as_py(), dtype=np.uint64)
+        rows = [batch.column("part").to_pylist(), batch.column("key").to_pylist()]
+        for part, key, found in zip(*rows, batch.column("found"), strict=True):
+            sent = np.frombuffer(found.as_py(), dtype=np.uint8).reshape(-1, SENT)
+            wide = np.zeros((len(sent), 8), dtype=np.uint8)
+            wide[:, :SENT] = sent
+            values = wide.view(np.uint64).ravel() + np.uint64(part << 8 * SENT)
             held.append((np.full(len(values), key, dtype=np.int64), values))
             waiting += len(values)
             if waiting > 500_000:
@@ -279,7 +287,7 @@ def candidate_stars(documents: DataFrame, total: int) -> DataFrame:
     parts = shards_for(total, SIGNATURES)
     rows = _signature_rows(documents, parts)
     return rows.repartitionById(parts, "part").sortWithinPartitions("part", "key").select(
-        "key", "found"
+        "part", "key", "found"
     ).mapInArrow(_star_pairs, "leader long, member long, found array<bigint>")
 
 
@@ -438,13 +446,21 @@ def _pairs_across(stars: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
         "signature", "key", F.coalesce("label", "key").alias("label")
     ).join(nodes.select("key", "size"), "key")
     members = materialise(members, "members")
-    a, b = members.alias("a"), members.alias("b")
+    # The largest component of a signature is not paired with itself, however large it is.
+    major = members.groupBy("signature", "label").count().groupBy("signature").agg(
+        F.max(F.struct("count", "label")).alias("_major")
+    ).select("signature", F.col("_major.label").alias("major"))
+    major = materialise(major, "major")
+    minor = members.join(major, "signature").where("label <> major")
+    a, b = minor.alias("a"), members.alias("b")
     low = F.least("a.size", "b.size")
     high = F.greatest("a.size", "b.size")
-    found = a.join(b, (F.col("a.signature") == F.col("b.signature"))).where(
-        (F.col("a.key") < F.col("b.key")) & (F.col("a.label") != F.col("b.label"))
-        & (OF * low >= NEAR * high)
-    ).select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).distinct()
+    found = a.join(b, F.col("a.signature") == F.col("b.signature")).where(
+        (F.col("a.label") != F.col("b.label")) & (OF * low >= NEAR * high)
+        & ((F.col("b.label") == F.col("a.major")) | (F.col("a.key") < F.col("b.key")))
+    ).select(
+        F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b")
+    ).distinct()
     return _sketched(found, nodes)
 
 
