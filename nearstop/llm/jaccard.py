@@ -78,6 +78,30 @@ def parity_sketch(elements: np.ndarray) -> bytes:
     return np.packbits(counts.astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
+def small_sketch(sketch: bytes) -> list[int]:
+    """The sketch folded to half its width, as signed 64-bit numbers, for tests within a join."""
+    bits = np.frombuffer(sketch, dtype=np.int64)
+    half = len(bits) // 2
+    return (bits[:half] ^ bits[half:]).tolist() if half else bits.tolist()
+
+
+def _folded(one: str, other: str) -> str:
+    """A small sketch, folded once if the other one is shorter."""
+    return (
+        f"IF(size({one}) > size({other}), zip_with(slice({one}, 1, size({other})), "
+        f"slice({one}, size({other}) + 1, size({other})), (x, y) -> x ^ y), {one})"
+    )
+
+
+#: Whether sizes and small sketches of a and b allow a link; it never turns a link down.
+SMALL_TEST = f"""
+    {OF} * least(a.size, b.size) >= {NEAR} * greatest(a.size, b.size) AND {OF + NEAR} * aggregate(
+        zip_with({_folded('a.small', 'b.small')}, {_folded('b.small', 'a.small')},
+            (x, y) -> bit_count(x ^ y)),
+        0, (s, v) -> s + v) <= {OF - NEAR} * (a.size + b.size)
+"""
+
+
 def sketch_distance(a: bytes, b: bytes) -> int:
     """A lower bound on the number of elements that two sets differ in."""
     x, y = (np.frombuffer(s, dtype=np.uint8) for s in (a, b))
@@ -152,24 +176,25 @@ def signatures(elements: np.ndarray) -> np.ndarray:
 
 
 def document_sets(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, key and sketch of the shingle set of every document."""
+    """doc_id, n_shingles, key and sketches of the shingle set of every document."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, sketches = [], [], []
+            sizes, keys, sketches, small = [], [], [], []
             for text in batch.column("text"):
                 elements = shingle_set(text.as_py())
                 sizes.append(len(elements))
                 keys.append(set_key(elements))
                 sketches.append(parity_sketch(elements) if len(elements) else None)
+                small.append(small_sketch(sketches[-1]) if len(elements) else None)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
-                pa.array(sketches, pa.binary()),
-            ], names=["doc_id", "n_shingles", "key", "sketch"])
+                pa.array(sketches, pa.binary()), pa.array(small, pa.list_(pa.int64())),
+            ], names=["doc_id", "n_shingles", "key", "sketch", "small"])
 
     return documents.select("doc_id", "text").mapInArrow(
-        summarise, f"doc_id {kind}, n_shingles long, key long, sketch binary"
+        summarise, f"doc_id {kind}, n_shingles long, key long, sketch binary, small array<bigint>"
     )
 
 
@@ -383,7 +408,7 @@ def similar_components(documents: DataFrame) -> DataFrame:
     sets = materialise(document_sets(documents), "sets")
     nodes = materialise(sets.where("key IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("size"),
-        F.min("sketch").alias("sketch"),
+        F.min("sketch").alias("sketch"), F.min("small").alias("small"),
     ), "nodes")
     total = sets.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0
     stars = materialise(candidate_stars(documents, total), "stars")
@@ -444,7 +469,7 @@ def _pairs_across(stars: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
     ).join(open_found.select("signature"), "signature", "left_semi")
     members = members.join(labels, "key", "left").select(
         "signature", "key", F.coalesce("label", "key").alias("label")
-    ).join(nodes.select("key", "size"), "key")
+    ).join(nodes.select("key", "size", "small"), "key")
     members = materialise(members, "members")
     # The largest component of a signature is not paired with itself, however large it is.
     major = members.groupBy("signature", "label").count().groupBy("signature").agg(
@@ -453,11 +478,11 @@ def _pairs_across(stars: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
     major = materialise(major, "major")
     minor = members.join(major, "signature").where("label <> major")
     a, b = minor.alias("a"), members.alias("b")
-    low = F.least("a.size", "b.size")
-    high = F.greatest("a.size", "b.size")
-    found = a.join(b, F.col("a.signature") == F.col("b.signature")).where(
-        (F.col("a.label") != F.col("b.label")) & (OF * low >= NEAR * high)
-        & ((F.col("b.label") == F.col("a.major")) | (F.col("a.key") < F.col("b.key")))
+    # The test is part of the join, so pairs that cannot link are never rows.
+    found = a.join(b, (F.col("a.signature") == F.col("b.signature"))
+                   & (F.col("a.label") != F.col("b.label"))
+                   & ((F.col("b.label") == F.col("a.major")) | (F.col("a.key") < F.col("b.key")))
+                   & F.expr(SMALL_TEST)
     ).select(
         F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b")
     ).distinct()
