@@ -22,57 +22,85 @@ SHARD = 20_000
 #: Emptiest sequences of each shard that are packed once more, with those of other shards.
 LOOSE, MEETING = 32, 256
 #: Entries a worker remembers of what it has tokenised.
-CACHE = 400_000
+CACHE = 1_000_000
+#: Bytes of UTF-8 texts of plain ASCII and the letters U+00C0 to U+00FF only.
+COMMON = bytes([*range(9, 14), *range(32, 127), 0xC3, *range(0x80, 0xC0)])
 #: Anything but ASCII and Latin letters: such texts go through the tokenizer whole.
-UNUSUAL = re.compile("[^\t-\r\x20-\x7e\xa1-˿]|<\\|")
+UNUSUAL = re.compile("[^\t-\r\x20-\x7e\xa1-\u012f\u0131-\u02ff]")
 
 
 class Encoder:
     """Ids of texts, as bytes of 32-bit little-endian numbers.
 
-    ``by_chunk`` says that the tokenizer never joins text across white space and treats a stretch
-    between white space alike wherever it stands; stretches are then looked up in a cache.
+    ``by_word`` says that the tokenizer lower-cases, never joins text across white space or between
+    letters and punctuation, and maps words to byte-level BPE. Then stretches between white space
+    are looked up in a cache, and a new word is encoded without the steps that normalise and split.
     """
 
-    def __init__(self, spec: str, by_chunk: bool):
-        from tokenizers import Tokenizer
+    def __init__(self, spec: str, by_word: bool):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.by_chunk = by_chunk
+        self.by_word = by_word
+        self.words = Tokenizer.from_str(spec)
+        self.words.normalizer = None
+        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.cache: dict[str, bytes] = {}
 
-    def _batch(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[bytes]:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _usual(self, text: str) -> bool:
+        if not self.by_word or "<|" in text:
+            return False
+        return not text.encode().translate(None, COMMON) or not UNUSUAL.search(text)
+
+    def _learn(self, stretches: set[str]) -> None:
+        """Put the ids of new lower-case stretches into the cache."""
+        cache, words, others, joined = self.cache, set(), set(), []
+        for stretch in stretches:
+            core, last = stretch[:-1], stretch[-1]
+            if stretch.isalpha():
+                words.add(stretch)
+            elif core.isalpha() and not last.isalnum() and last != "'":
+                joined.append(stretch)
+                if core not in cache:
+                    words.add(core)
+                if last not in cache:
+                    others.add(last)
+            else:
+                others.add(stretch)
+        for tokenizer, new in ((self.words, list(words)), (self.tokenizer, list(others))):
+            cache.update(zip(new, self._ids(tokenizer, new), strict=True))
+        for stretch in joined:
+            cache[stretch] = cache[stretch[:-1]] + cache[stretch[-1]]
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.cache) > CACHE:
             self.cache.clear()
-        cache, missing, parts = self.cache, set(), []
+        cache, new, parts = self.cache, set(), []
         for text in texts:
-            if self.by_chunk and not UNUSUAL.search(text):
-                chunks = text.split()
-                missing.update([c for c in chunks if c not in cache])
-                parts.append(chunks)
-            else:
-                parts.append(None)
-        new = list(missing)
-        cache.update(zip(new, self._batch(new), strict=True))
-        for text, chunks in zip(texts, parts, strict=True):
-            if chunks is None:
-                yield self._batch([text])[0]
+            stretches = text.lower().split() if self._usual(text) else None
+            new.update([s for s in stretches or () if s not in cache])
+            parts.append(stretches)
+        self._learn(new)
+        for text, stretches in zip(texts, parts, strict=True):
+            if stretches is None:
+                yield self._ids(self.tokenizer, [text])[0]
             else:
-                yield b"".join(map(cache.__getitem__, chunks))
+                yield b"".join(map(cache.__getitem__, stretches))
 
 
 _ENCODERS: dict[tuple[int, bool], Encoder] = {}
 
 
-def _encoder(spec: str, by_chunk: bool) -> Encoder:
+def _encoder(spec: str, by_word: bool) -> Encoder:
     """The encoder of this worker, kept from task to task."""
-    key = (zlib.crc32(spec.encode()), by_chunk)
+    key = (zlib.crc32(spec.encode()), by_word)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(spec, by_chunk)
+        _ENCODERS[key] = Encoder(spec, by_word)
     return _ENCODERS[key]
 
 
@@ -89,7 +117,7 @@ def _groups(texts: list[str], size: int = 4 << 20) -> Iterator[tuple[int, int]]:
 
 
 def tokenise(
-    documents: DataFrame, tokenizer: str, length: int, end_id: int, by_chunk: bool, keep_ids: bool
+    documents: DataFrame, tokenizer: str, length: int, end_id: int, by_word: bool, keep_ids: bool
 ) -> DataFrame:
     """The pieces of every document: doc_id, piece, start, length, ids_crc32 and perhaps ids."""
     spec = documents.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text())
@@ -98,7 +126,7 @@ def tokenise(
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(spec.value, by_chunk)
+        encoder = _encoder(spec.value, by_word)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = batch.column("doc_id")
@@ -271,7 +299,7 @@ PACKED = "_nr long, length long, _shard long, _bin long, offset long, _loose boo
 
 def pack_documents(
     documents: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 1,
-    by_chunk: bool = True, keep_ids: bool = False,
+    by_word: bool = True, keep_ids: bool = False,
 ) -> DataFrame:
     """Pack all ``documents`` (doc_id, text) into few sequences of at most ``length`` tokens.
 
@@ -285,7 +313,7 @@ def pack_documents(
     piece is a sequence by itself.
     """
     pieces = materialise(
-        tokenise(documents, tokenizer, length, end_id, by_chunk, keep_ids)
+        tokenise(documents, tokenizer, length, end_id, by_word, keep_ids)
         .withColumn("_nr", F.monotonically_increasing_id()), "pieces"
     )
     short = pieces.where(F.col("length") < length).select("_nr", "length")
