@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -38,6 +39,8 @@ class Encoder:
     """
 
     def __init__(self, spec: str, by_word: bool):
+        # Threads of its own would compete with the other tasks of the machine.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(spec)
