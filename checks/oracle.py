@@ -287,4 +287,14 @@ ORACLE = {
         "SELECT SeqNo, CAST(CAST(floor(Latitude) AS INTEGER) * 1000 + "
         "CAST(floor(Longitude) AS INTEGER) AS VARCHAR) AS Q_PLZ FROM station",
     ),
+    "lookup_retry": _with(
+        ["station"],
+        """
+        SELECT SeqNo, CAST(n AS VARCHAR) AS Q_PLZ,
+               CASE WHEN n % 3 <> 0 AND n % 2 = 0 THEN 1 ELSE 2 END AS attempt
+        FROM (SELECT SeqNo, CAST(floor(Latitude) AS INTEGER) * 1000
+                     + CAST(floor(Longitude) AS INTEGER) AS n FROM station)
+        WHERE n IS NOT NULL
+        """,
+    ),
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,10 +13,6 @@ from nearstop.operators.lookup import lookup_join, one_per_key
 from nearstop.operators.nearest import Limits, nearest_join
 from nearstop.scratch import materialise
 
-WIDEST_BLOCK = 512  # centres around a cell up to which a pass by radius is worth it
-ENTRY_BYTES = 128  # generous size of a centre in memory
-
-
 def coordinates_of(
     rentals: DataFrame, gazetteer: DataFrame, centres: DataFrame, zip_column: str = "geo_plz"
 ) -> DataFrame:
@@ -63,59 +59,6 @@ def nearest_zip(
     return found.drop("rank").withColumnRenamed("PLZ", "Q_PLZ")
 
 
-def zip_within(
-    stations: DataFrame, centres: DataFrame, radius: float, few_centres: bool = False
-) -> DataFrame:
-    """As ``nearest_zip``, but ``Q_PLZ`` is null if no centre is within ``radius`` degrees.
-
-    Each centre is listed in its own and the eight surrounding cells of side ``radius``, so one
-    join by cell shows a station every centre that can be in reach. Check with ``block_sizes``
-    that the lists stay short; ``few_centres`` says that all of them can be broadcast.
-    """
-    blocks = (
-        _around(centres, radius).groupBy("_bx", "_by")
-        .agg(F.collect_list(F.struct("lat", "lng", "PLZ")).alias("_block"))
-    )
-    blocks = F.broadcast(blocks) if few_centres else blocks
-    lat, lng = F.col("Latitude").cast("double"), F.col("Longitude").cast("double")
-    celled = stations.withColumns({"_x": F.floor(lat / radius), "_y": F.floor(lng / radius)})
-    best = F.array_min(F.transform("_block", lambda c: F.struct(
-        distance2(lat, lng, c["lat"], c["lng"]).alias("d"), c["PLZ"].alias("z")
-    )))
-    joined = lookup_join(celled, blocks, {"_x": "_bx", "_y": "_by"}, "SeqNo")
-    return joined.withColumn("_best", best).select(
-        *stations.columns,
-        F.when(F.col("_best.d") <= radius * radius, F.col("_best.z")).alias("Q_PLZ"),
-    )
-
-
-def block_sizes(centres: DataFrame, radii: tuple[float, ...]) -> dict[float, tuple[int, int]]:
-    """For each radius the length of the longest list ``zip_within`` would make, and of all."""
-    counted = [
-        _around(centres, radius).groupBy("_bx", "_by").count().agg(
-            F.lit(radius).alias("radius"), F.max("count").alias("most"), F.sum("count").alias("all")
-        )
-        for radius in radii
-    ]
-    rows = reduce(DataFrame.unionAll, counted).collect()
-    return {row.radius: (row.most or 0, row["all"] or 0) for row in rows}
-
-
-def _around(centres: DataFrame, radius: float) -> DataFrame:
-    """Each centre in its own cell and the eight around it."""
-    steps = F.array(*[F.lit(step) for step in (-1, 0, 1)])
-    return (
-        centres.where(F.col("PLZ").isNotNull() & is_located(F.col("lat"), F.col("lng")))
-        .select("PLZ", "lat", "lng").distinct()
-        .withColumn("_dx", F.explode(steps)).withColumn("_dy", F.explode(steps))
-        .select(
-            "PLZ", "lat", "lng",
-            (F.floor(F.col("lat") / radius) + F.col("_dx")).alias("_bx"),
-            (F.floor(F.col("lng") / radius) + F.col("_dy")).alias("_by"),
-        )
-    )
-
-
 def resolve_residual(
     rows: DataFrame,
     keys: list[str],
@@ -149,22 +92,22 @@ def resolve_zips(
     radii: tuple[float, ...] = (0.125, 0.25, 0.5),
     limits: Limits = Limits(),
 ) -> DataFrame:
-    """Zip code of the nearest centre for each station, searched in widening circles.
+    """Zip code of the nearest centre for each station, as a search in widening circles gives it.
 
-    A circle is tried only if no block of cells lists too many centres for it. The last attempt
-    has no radius, so every station with coordinates is resolved; the result is that of
-    ``nearest_zip``. Returns SeqNo, Q_PLZ and the number of the attempt.
+    One nearest join finds the centre, whose distance tells the circle that reaches it first.
+    Returns SeqNo, Q_PLZ and the number of the attempt: that of the first radius (rising) the
+    centre is within, and one more beyond the last. Stations without coordinates give no row; a
+    SeqNo used twice gives the nearer answer.
     """
-
-    circles, sizes = [], block_sizes(centres, radii) if radii else {}
-    for radius in radii:
-        most, entries = sizes[radius]
-        few = entries * ENTRY_BYTES <= limits.broadcast_bytes
-        if most <= WIDEST_BLOCK:
-            circles.append(partial(zip_within, centres=centres, radius=radius, few_centres=few))
-    located = stations.where(
-        is_located(F.col("Latitude").cast("double"), F.col("Longitude").cast("double"))
-    )
-    return resolve_residual(
-        located, ["SeqNo"], "Q_PLZ", [*circles, lambda rows: nearest_zip(rows, centres, limits)]
+    places = centres.withColumns({"_lat": F.col("lat"), "_lng": F.col("lng")})
+    found = nearest_join(
+        stations, places, 1, ["PLZ", "_lat", "_lng"],
+        query_point=("Latitude", "Longitude"), limits=limits,
     )
+    lat, lng = F.col("Latitude").cast("double"), F.col("Longitude").cast("double")
+    d2 = distance2(lat, lng, F.col("_lat"), F.col("_lng"))
+    attempt = F.lit(len(radii) + 1)
+    for number, radius in reversed(list(enumerate(radii, 1))):
+        attempt = F.when(d2 <= radius * radius, F.lit(number)).otherwise(attempt)
+    named = found.select("SeqNo", F.col("PLZ").alias("Q_PLZ"), attempt.alias("attempt"))
+    return one_per_key(named, ["SeqNo"], ["attempt", "Q_PLZ"])

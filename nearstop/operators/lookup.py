@@ -8,7 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 NULL_SPREAD = 64  # parts over which rows without a key are spread
 
@@ -49,13 +49,16 @@ def call_lookup(
     result: str,
     row_id: str,
     parallelism: int | None = None,
+    error: str | None = None,
 ) -> DataFrame:
     """Add the columns of DDL schema ``result`` by calling ``fetch`` on batches of distinct keys.
 
-    ``fetch`` gets a pandas frame of keys and returns one row of results for each, in order. Each
-    key is looked up once, however often it occurs. If ``fetch`` raises or returns another number
-    of rows, the results of its batch are null and can be retried. ``row_id`` is a column that
-    differs between rows; ``parallelism`` bounds the number of calls at a time.
+    ``fetch`` gets a pandas frame of keys and returns one row of results for each, in order; another
+    number of rows is a mistake of the caller's and raises. Each key is looked up once, however
+    often it occurs. If ``fetch`` raises, its batch is halved down to the keys that fail; their
+    results are null and can be retried, and ``error``, if given, names a column for what they
+    raised. ``row_id`` is a column that differs between rows; ``parallelism`` bounds the number of
+    calls at a time.
     """
     fields = StructType.fromDDL(result)
     names = fields.names
@@ -63,20 +66,35 @@ def call_lookup(
     if parallelism:
         distinct = distinct.repartition(parallelism)
 
+    def answers_for(keys_asked: pd.DataFrame) -> pd.DataFrame:
+        out = keys_asked.copy()
+        try:
+            answer = fetch(keys_asked)
+        except Exception as failure:
+            if len(keys_asked) > 1:
+                half = len(keys_asked) // 2
+                parts = (keys_asked.iloc[:half], keys_asked.iloc[half:])
+                return pd.concat([answers_for(part.reset_index(drop=True)) for part in parts])
+            for name in names:
+                out[name] = None
+            out["_error"] = f"{type(failure).__name__}: {failure}"
+            return out
+        if len(answer) != len(keys_asked):
+            raise ValueError(f"{len(answer)} answers for {len(keys_asked)} keys")
+        for name in names:
+            out[name] = list(answer[name])
+        out["_error"] = None
+        return out
+
     def fetch_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            try:
-                answer = fetch(batch)
-                failed = len(answer) != len(batch)
-            except Exception:
-                failed = True
-            out = batch.copy()
-            for name in names:
-                out[name] = None if failed else list(answer[name])
-            yield out
+            yield answers_for(batch)
 
     key_fields = [distinct.schema[name] for name in keys]
-    answers = distinct.mapInPandas(fetch_batches, StructType([*key_fields, *fields.fields]))
+    answers = distinct.mapInPandas(fetch_batches, StructType(
+        [*key_fields, *fields.fields, StructField("_error", StringType())]
+    ))
+    answers = answers.withColumnRenamed("_error", error) if error else answers.drop("_error")
     keyed = answers.withColumnsRenamed({name: f"_key_{name}" for name in keys})
     joined = lookup_join(df, keyed, {name: f"_key_{name}" for name in keys}, row_id)
     return joined.drop(*[f"_key_{name}" for name in keys])

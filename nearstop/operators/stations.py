@@ -54,15 +54,17 @@ def inherit_from_parent(stations: DataFrame) -> DataFrame:
 
     A station is a child if its municipality code is null or all zeros; the others are parents.
     Children keep their own id, name and coordinates. A child without a known parent stays, with
-    nulls, and a parent id used twice gives the first row only, so no row is lost or added.
+    nulls, and a parent id used twice gives one row, if there is one that has a zip code, so no row
+    is lost or added.
     """
     is_parent = F.coalesce(F.col("MunicipalityCode") != CHILD_CODE, F.lit(False))
     inherited = [name for name in FROM_PARENT if name in stations.columns]
     parents = one_per_key(
-        stations.where(is_parent & F.col("DHID").isNotNull())
-        .select("DHID", *inherited).withColumnRenamed("DHID", "_parent"),
-        ["_parent"], inherited,
-    )
+        stations.where(is_parent & F.col("DHID").isNotNull()).select(
+            F.col("DHID").alias("_parent"), F.col("PLZ").isNull().alias("_no_zip"), *inherited
+        ),
+        ["_parent"], ["_no_zip", *inherited],
+    ).drop("_no_zip")
     children = lookup_join(
         stations.where(~is_parent).drop(*inherited), parents, {"Parent": "_parent"}, "SeqNo"
     ).select(*stations.columns)

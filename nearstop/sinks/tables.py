@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from nearstop.schemas import require_columns
 from nearstop.sources.tables import RUN, table_path
 
+#: The run that ``write_table`` writes.
+BASE_RUN = "base"
+
 
 def write_table(
     df: DataFrame, name: str, root: str, *, partition_by: str | None = None
@@ -16,16 +19,20 @@ def write_table(
 
     The rebalance hint lets Spark size the files from the measured data: a small table ends up as
     one file, and a partition value with very many rows is spread over several tasks and files.
+    Without a partition column the rows are the base run, to which ``append_run`` adds others. A
+    blank partition value becomes null, as a folder name cannot tell the two apart.
     """
     path = table_path(root, name)
     if partition_by is None:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
+        dealt, folder = df.withColumn(RUN, F.lit(BASE_RUN)).hint("rebalance"), RUN
     else:
         require_columns(df, [partition_by])
-        (
-            df.hint("rebalance", F.col(partition_by)).write.mode("overwrite")
-            .partitionBy(partition_by).parquet(path)
-        )
+        value = F.col(partition_by)
+        blank = F.nullif(value, F.lit("")) if dict(df.dtypes)[partition_by] == "string" else value
+        dealt, folder = df.withColumn(partition_by, blank).hint("rebalance", value), partition_by
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        folder
+    ).parquet(path)
     return path
 
 
@@ -40,7 +47,10 @@ def extract_table(
 
 
 def append_run(df: DataFrame, name: str, root: str, run: str) -> str:
-    """Add the rows of one run to table ``name``; repeating a run replaces its rows."""
+    """Add the rows of one run to table ``name``; repeating a run replaces its rows.
+
+    The table may be new, or written by ``write_table`` without a partition column.
+    """
     path = table_path(root, name)
     df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/{RUN}={run}")
     return path

@@ -29,11 +29,12 @@ def read_rentals(spark: SparkSession, path: str) -> DataFrame:
 
     Cells are read as text by header name; null tokens become null, and so does a cell that does
     not read as the type of its column. A quoted text may hold line breaks, so a file is the unit
-    of reading: deliver large inputs as a folder of files.
+    of reading: deliver large inputs as a folder of files. All files need the same header; one
+    with another order of columns raises.
     """
     raw = _load(
         spark.read.format("csv").option("header", True).option("multiLine", True)
-        .option("quote", '"').option("escape", '"'),
+        .option("quote", '"').option("escape", '"').option("enforceSchema", False),
         path,
     )
     require_columns(raw, RENTAL_DROPPED)
@@ -51,11 +52,15 @@ def read_rentals(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
-    """Stations from semicolon-separated files, one record per line; bad cells become null."""
+    """Stations from semicolon-separated files, one record per line; bad cells become null.
+
+    A file whose header is not that of the schema, in its order, raises.
+    """
     return _load(
         spark.read.format("csv").schema(schema("STATION")).option("header", True)
         .option("sep", ";").option("quote", '"').option("multiLine", False)
-        .option("ignoreLeadingWhiteSpace", True).option("mode", "PERMISSIVE"),
+        .option("ignoreLeadingWhiteSpace", True).option("mode", "PERMISSIVE")
+        .option("enforceSchema", False),
         path,
     )
 
@@ -77,11 +82,14 @@ def read_municipal_zips(
 
 
 def read_zip_coordinates(spark: SparkSession, path: str) -> DataFrame:
-    """Central point of each zip code from comma-separated files; bad cells become null."""
+    """Central point of each zip code from comma-separated files; bad cells become null.
+
+    A file whose header is not that of the schema, in its order, raises.
+    """
     return _load(
         spark.read.format("csv").schema(schema("MAPPING_ZIP_COOR")).option("header", True)
         .option("sep", ",").option("ignoreLeadingWhiteSpace", True)
-        .option("mode", "PERMISSIVE"),
+        .option("mode", "PERMISSIVE").option("enforceSchema", False),
         path,
     )
 

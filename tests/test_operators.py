@@ -186,11 +186,27 @@ def test_widening_search_equals_nearest(spark):
     assert rows(geocode.resolve_zips(df, centres, radii=()), "SeqNo", "Q_PLZ") == direct
 
 
-def test_crowded_circles_are_skipped(spark, monkeypatch):
-    df, centres = far_and_near(spark)
-    monkeypatch.setattr(geocode, "WIDEST_BLOCK", 3)
+def test_attempts_do_not_depend_on_the_number_of_centres(spark):
+    crowd = [(f"{n:05}", 50 + n % 60 / 1000, 9 + n // 60 / 1000) for n in range(3000)]
+    centres = spark.createDataFrame(crowd, "PLZ string, lat double, lng double")
+    df = spark.createDataFrame(
+        [(1, 50.0, 9.0), (2, 49.8, 9.0), (3, 49.6, 9.0), (4, 45.0, 9.0)],
+        "SeqNo int, Latitude double, Longitude double",
+    )
     found = geocode.resolve_zips(df, centres)
-    assert rows(found, "SeqNo", "Q_PLZ") == rows(geocode.nearest_zip(df, centres), "SeqNo", "Q_PLZ")
+    assert rows(found, "SeqNo", "Q_PLZ", "attempt") == [
+        (1, "00000", 1), (2, "00000", 2), (3, "00000", 3), (4, "00000", 4),
+    ]
+
+
+def test_parent_listed_twice_gives_its_zip(spark):
+    df = spark.createDataFrame(
+        [(1, "p", None, "01001000", None), (2, "p", None, "01001000", "10115"),
+         (3, "c", "p", "00000000", None)],
+        "SeqNo int, DHID string, Parent string, MunicipalityCode string, PLZ string",
+    )
+    child = stations.inherit_from_parent(df).where("SeqNo = 3").first()
+    assert child.PLZ == "10115"
 
 
 def test_retry_takes_first_answer_and_stops_early(spark):
@@ -235,8 +251,22 @@ def test_lookup_service(spark):
 
     assert rows(call_lookup(df, ["k"], broken, "size long", "n"), "n", "size") \
         == [(1, None), (2, None), (3, None), (4, None)]
-    short = call_lookup(df, ["k"], lambda keys: pd.DataFrame({"size": []}), "size long", "n")
-    assert {r["size"] for r in short.collect()} == {None}
+    with pytest.raises(Exception, match="0 answers for"):
+        call_lookup(df, ["k"], lambda keys: pd.DataFrame({"size": []}), "size long", "n").collect()
+
+
+def test_failing_key_does_not_spoil_its_batch(spark):
+    df = spark.range(1000).selectExpr("id AS n", "cast(id AS string) AS k")
+
+    def service(keys):
+        if (keys["k"] == "7").any():
+            raise OSError("no answer")
+        return pd.DataFrame({"size": keys["k"].str.len()})
+
+    found = call_lookup(df, ["k"], service, "size long", "n", error="why")
+    failed = found.where("size IS NULL").collect()
+    assert [(r.n, r.why) for r in failed] == [(7, "OSError: no answer")]
+    assert found.where("why IS NULL").count() == 999
 
 
 def test_split_and_reunite(spark):

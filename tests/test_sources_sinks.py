@@ -91,7 +91,7 @@ def test_extract_drops_duplicates_and_checks_columns(spark, tmp_path):
 
 def test_small_table_is_one_file(spark, tmp_path):
     write_table(spark.range(1000).repartition(4), "t", str(tmp_path))
-    assert len(list((tmp_path / "t.parquet").glob("*.parquet"))) == 1
+    assert len(list((tmp_path / "t.parquet").rglob("*.parquet"))) == 1
 
 
 def test_partitioned_table_keeps_text_groups(spark, tmp_path):
@@ -114,6 +114,31 @@ def test_appending_a_run_again_replaces_it(spark, tmp_path):
     assert back.columns == ["n"] and sorted(r.n for r in back.collect()) == [1, 2, 3]
 
 
+def test_appending_to_a_written_table_keeps_its_rows(spark, tmp_path):
+    def numbers(*ids):
+        return spark.createDataFrame([(i,) for i in ids], "n int")
+
+    def stored():
+        back = read_table(spark, "t", str(tmp_path))
+        assert back.columns == ["n"]
+        return sorted(r.n for r in back.collect())
+
+    write_table(numbers(1, 2), "t", str(tmp_path))
+    assert stored() == [1, 2]
+    append_run(numbers(9), "t", str(tmp_path), "2")
+    assert stored() == [1, 2, 9]
+    write_table(numbers(4), "t", str(tmp_path))
+    assert stored() == [4]
+
+
+def test_reordered_header_raises(spark, tmp_path):
+    header = "PLZ,lat,lng\n10115,52.5,13.4\n", "lat,lng,PLZ\n52.5,13.4,10115\n"
+    for n, text in enumerate(header):
+        (tmp_path / f"{n}.csv").write_text(text)
+    with pytest.raises(Exception, match="header"):
+        files.read_zip_coordinates(spark, str(tmp_path)).collect()
+
+
 def test_map_features(spark):
     offers = spark.createDataFrame(
         [(1, 51.0, 9.0, "Weg 1"), (2, None, 9.0, "Weg 2")],
