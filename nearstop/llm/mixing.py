@@ -163,27 +163,32 @@ def mix(documents: DataFrame, schedule, share: float = 1.5, most: float = 2.0) -
     holds only the words taken, each gap as one space, and its n_chars (if there is one) is new.
     """
     plan = plan_mix(documents, schedule, share, most).where("taken > 0").select(
-        "_row", "_nth", "size", F.explode("copies").alias("_copy")
+        "_row", "_nth", F.col("size").alias("_size"), F.explode("copies").alias("_copy")
     )
-    keyed = with_row_number(documents.withColumn("_row", row_hash(documents)))
+    # The document travels as one column, so no name of its columns can clash.
+    keyed = with_row_number(documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_doc"),
+        row_hash(documents).alias("_row"), "doc_id",
+    )).drop("doc_id")
     taken = keyed.join(plan, ["_row", "_nth"])
-    cut = F.col("_copy.words") < F.col("size")
-    words = F.filter(F.split("text", GAP), lambda w: w != "")
-    text = F.when(cut, F.array_join(F.expr("slice(_words, 1, int(_copy.words))"), " ")).otherwise(
-        F.col("text")
-    )
-    shown = taken.withColumn("_words", F.when(cut, words)).withColumn("_text", text)
+    cut = F.col("_copy.words") < F.col("_size")
+    words = F.filter(F.split("_doc.text", GAP), lambda w: w != "")
+    shown = taken.withColumn("_words", F.when(cut, words)).withColumn("_text", F.when(
+        cut, F.array_join(F.expr("slice(_words, 1, int(_copy.words))"), " ")
+    ).otherwise(F.col("_doc.text")))
     columns = {"text": F.col("_text")}
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(cut, F.length("_text").cast(kind)).otherwise(F.col("n_chars"))
-    shown = shown.select(
-        F.col("_copy.position").alias("_position"), "_row",
-        *[columns.get(c, F.col(f"`{c}`")).alias(c) for c in documents.columns],
-    )
+        columns["n_chars"] = F.when(cut, F.length("_text").cast(kind)).otherwise(
+            F.col("_doc.n_chars")
+        )
+    out = F.struct(*[
+        columns.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in documents.columns
+    ])
+    shown = shown.select(F.col("_copy.position").alias("_position"), "_row", out.alias("_doc"))
     return shown.repartitionByRange("_position", "_row").sortWithinPartitions(
         "_position", "_row"
-    ).drop("_position", "_row")
+    ).select("_doc.*")
 
 
 def ranked_schedule(weights=(5, 2, 1), slopes=(-0.5, 0.0, 0.5)):

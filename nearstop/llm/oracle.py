@@ -2,4 +2,21 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+OP4 = """
+WITH page AS (
+    SELECT page_id, url, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), best AS (
+    SELECT payload, max(page_id) AS best_id FROM page GROUP BY payload
+)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST(
+               '0x' || substr(hex, CAST(i // 8 * 10 + 1 AS INTEGER), 10) AS BIGINT
+           ) >> CAST(35 - 5 * (i % 8) AS INTEGER)) & 31 AS INTEGER), 1)), 'string_agg', '')
+       AS payload_digest,
+       CASE WHEN page_id = best_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> best_id THEN best_id END AS refers_to, url
+FROM page JOIN best USING (payload)
+"""
+
+ORACLE = {"op4_warc_archive": OP4}
