@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nearstop.llm import jaccard, mixing, packing, queries, secrets, toxicity
 from nearstop.scratch import materialise
@@ -22,10 +23,13 @@ from nearstop.scratch import materialise
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the chain, trained on the labelled ones among them, does not reject."""
+    # The document travels as one column, so no name of its columns can clash.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
     judged = toxicity.toxic_documents(
-        docs, queries.toxicity_labels(spark, sf_dir), queries.CATEGORIES
+        docs.select("doc_id", "text", whole), queries.toxicity_labels(spark, sf_dir),
+        queries.CATEGORIES,
     )
-    return judged.where("NOT toxic").select(docs.columns)
+    return judged.where("NOT toxic").select("_doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
