@@ -33,6 +33,8 @@ SPARE = 8
 FEW = (2, 1)
 #: Signatures that one task sorts, on average, and the bytes of each that are sent.
 SIGNATURES, SENT = 4_000_000, 5
+#: Least open signatures of a set, by which a pair that shares several is told from a new one.
+LEAST = 8
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -101,6 +103,10 @@ SMALL_TEST = f"""
         0, (s, v) -> s + v) <= {OF - NEAR} * (a.size + b.size)
 """
 
+#: Whether a pair is met here by the least signature that both lists of least ones hold. A pair of
+#: which the lists share none may be met more than once; every other pair is a row for one signature.
+FIRST_SHARED = "coalesce(a.signature <= array_min(array_intersect(a.low, b.low)), true)"
+
 
 def sketch_distance(a: bytes, b: bytes) -> int:
     """A lower bound on the number of elements that two sets differ in."""
@@ -467,10 +473,15 @@ def _pairs_across(stars: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
     members = stars.join(leaders, "leader", "left_semi").select(
         F.explode("found").alias("signature"), F.col("member").alias("key")
     ).join(open_found.select("signature"), "signature", "left_semi")
-    members = members.join(labels, "key", "left").select(
-        "signature", "key", F.coalesce("label", "key").alias("label")
-    ).join(nodes.select("key", "size", "small"), "key")
-    members = materialise(members, "members")
+    # One row per set until the join: its open signatures are no more than its text gives.
+    members = members.groupBy("key").agg(F.sort_array(F.collect_list("signature")).alias("found"))
+    members = members.join(labels, "key", "left").join(nodes, "key").select(
+        "key", F.coalesce("label", "key").alias("label"), "size", "small", "found",
+        F.slice("found", 1, LEAST).alias("low"),
+    )
+    members = materialise(members, "members").select(
+        F.explode("found").alias("signature"), "key", "label", "size", "small", "low"
+    )
     # The largest component of a signature is not paired with itself, however large it is.
     major = members.groupBy("signature", "label").count().groupBy("signature").agg(
         F.max(F.struct("count", "label")).alias("_major")
@@ -478,11 +489,11 @@ def _pairs_across(stars: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
     major = materialise(major, "major")
     minor = members.join(major, "signature").where("label <> major")
     a, b = minor.alias("a"), members.alias("b")
-    # The test is part of the join, so pairs that cannot link are never rows.
+    # The tests are part of the join: pairs that cannot link, or were met, are never rows.
     found = a.join(b, (F.col("a.signature") == F.col("b.signature"))
                    & (F.col("a.label") != F.col("b.label"))
                    & ((F.col("b.label") == F.col("a.major")) | (F.col("a.key") < F.col("b.key")))
-                   & F.expr(SMALL_TEST)
+                   & F.expr(FIRST_SHARED) & F.expr(SMALL_TEST)
     ).select(
         F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b")
     ).distinct()
