@@ -103,8 +103,8 @@ SMALL_TEST = f"""
         0, (s, v) -> s + v) <= {OF - NEAR} * (a.size + b.size)
 """
 
-#: Whether a pair is met here by the least signature that both lists of least ones hold. A pair of
-#: which the lists share none may be met more than once; every other pair is a row for one signature.
+#: Whether a pair is met here by the least signature that both lists of least ones hold. A pair
+#: whose lists share none may be met more than once; every other pair is met once.
 FIRST_SHARED = "coalesce(a.signature <= array_min(array_intersect(a.low, b.low)), true)"
 
 

@@ -135,6 +135,26 @@ def test_linked_sets_share_a_signature(size):
             assert len(np.intersect1d(jaccard.signatures(a), jaccard.signatures(b)))
 
 
+def test_every_pair_with_a_shared_signature_is_met(spark):
+    rng = np.random.default_rng(3)
+    rows = [
+        (n, sorted({int(v) for v in rng.integers(-60, 60, rng.integers(1, 60))}))
+        for n in range(40)
+    ]
+    sets = spark.createDataFrame(rows, "key long, found array<bigint>").selectExpr(
+        "key", f"slice(found, 1, {jaccard.LEAST}) AS low", "explode(found) AS signature"
+    )
+    met = sets.alias("a").join(sets.alias("b"), F.expr(
+        f"a.signature = b.signature AND a.key < b.key AND {jaccard.FIRST_SHARED}"
+    )).selectExpr("a.key AS x", "b.key AS y").groupBy("x", "y").count().collect()
+    shared = {
+        (x, y): bool(set(f[:jaccard.LEAST]) & set(g[:jaccard.LEAST]))
+        for x, f in rows for y, g in rows if x < y and set(f) & set(g)
+    }
+    assert {(r["x"], r["y"]) for r in met} == set(shared)
+    assert all(r["count"] == 1 for r in met if shared[r["x"], r["y"]])
+
+
 def test_toxicity(spark):
     rows = [(n, f"some plain text number {n}" + " awful" * (n % 3 == 0)) for n in range(150)]
     df = spark.createDataFrame([*rows, (None, None), (900, "")], "doc_id long, text string")
