@@ -35,6 +35,8 @@ FEW = (2, 1)
 SIGNATURES, SENT = 4_000_000, 5
 #: Least open signatures of a set, by which a pair that shares several is told from a new one.
 LEAST = 8
+#: Numbers of a sketch that a row of the join carries at most, as the row repeats per signature.
+WIDTH = 256
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -81,10 +83,12 @@ def parity_sketch(elements: np.ndarray) -> bytes:
 
 
 def small_sketch(sketch: bytes) -> list[int]:
-    """The sketch folded to half its width, as signed 64-bit numbers, for tests within a join."""
+    """The sketch as signed 64-bit numbers, for tests within a join; folded if it is over WIDTH."""
     bits = np.frombuffer(sketch, dtype=np.int64)
-    half = len(bits) // 2
-    return (bits[:half] ^ bits[half:]).tolist() if half else bits.tolist()
+    while len(bits) > WIDTH:
+        half = len(bits) // 2
+        bits = bits[:half] ^ bits[half:]
+    return bits.tolist()
 
 
 def _folded(one: str, other: str) -> str:

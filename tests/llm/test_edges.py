@@ -135,6 +135,29 @@ def test_linked_sets_share_a_signature(size):
             assert len(np.intersect1d(jaccard.signatures(a), jaccard.signatures(b)))
 
 
+def test_test_within_the_join_turns_no_link_down(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for size in (1, 3, 8, 40, 150, 600, 2500, 8000, 9500):
+        for part in (0, 0.05, 0.1, 0.12, 0.2, 0.6):
+            a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            cut = int(part * size)
+            b = np.unique(np.r_[a[cut:], rng.integers(0, 2**63, cut).astype(np.uint64)])
+            wide = [jaccard.parity_sketch(x) for x in (a, b)]
+            near = jaccard.may_link(len(a), len(b), jaccard.sketch_distance(*wide))
+            exact = max(len(w) for w in wide) <= 8 * jaccard.WIDTH
+            small = [jaccard.small_sketch(w) for w in wide]
+            assert max(len(s) for s in small) <= jaccard.WIDTH
+            rows.append((len(rows), near, exact, (len(a), small[0]), (len(b), small[1])))
+    kind = "struct<size: long, small: array<bigint>>"
+    found = spark.createDataFrame(
+        rows, f"n int, near boolean, exact boolean, a {kind}, b {kind}"
+    ).select("near", "exact", F.expr(jaccard.SMALL_TEST).alias("kept")).collect()
+    assert {r.near for r in found} == {r.exact for r in found} == {True, False}
+    assert all(r.kept for r in found if r.near)
+    assert all(r.kept == r.near for r in found if r.exact)
+
+
 def test_every_pair_with_a_shared_signature_is_met(spark):
     rng = np.random.default_rng(3)
     rows = [
