@@ -75,8 +75,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: The forest, the linear models and the tokenizer have no SQL form; tests/llm compares the
-#: pipeline with a plain version of its stages.
+#: The forest, the linear models and the tokenizer have no SQL form; tests/llm tests the
+#: operators of the stages one by one.
 ORACLE_SQL = None
 
 
