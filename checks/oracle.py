@@ -255,6 +255,17 @@ ORACLE = {
         "(SELECT quantile_disc(c_custkey, 0.5) FROM customer) THEN 'A' ELSE 'B' END AS part "
         "FROM customer"
     ),
+    "surrogate_id": "SELECT count(*) AS n_rows, count(*) AS n_ids FROM customer",
+    "source_exists": "SELECT count(*) AS n_rows, false AS before, true AS after FROM part",
+    "column_checks": (
+        "SELECT count(*) AS n_rows, false AS whole_misses, true AS short_misses, "
+        "false AS whole_differs, true AS short_differs FROM nation"
+    ),
+    "row_count_kept": _with(
+        ["station"],
+        "SELECT count(*) AS n_rows, count(Latitude) AS n_located, false AS whole_differs, "
+        "count(*) <> count(Latitude) AS located_differ FROM station",
+    ),
     "map_features": _with(
         ["address", "nearest"],
         "SELECT scoutId, 'rental' AS role, 0 AS rank, lat, lng, address_string AS label, "

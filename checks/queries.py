@@ -10,12 +10,20 @@ from checks import views
 from nearstop.functions.text import zip_group
 from nearstop.operators import geocode, match, quality, rentals, split, stations
 from nearstop.operators.lookup import call_lookup
-from nearstop.schemas import RENTAL_FEATURE, RENTAL_LOCATION, RENTAL_PRICE_AND_COST
+from nearstop.schemas import (
+    RENTAL_FEATURE,
+    RENTAL_LOCATION,
+    RENTAL_PRICE_AND_COST,
+    SchemaMismatch,
+    require_columns,
+    require_same_columns,
+    schema,
+)
 from nearstop.scratch import materialise, scratch_path
 from nearstop.sinks.features import map_features
 from nearstop.sinks.tables import append_run, extract_table, write_table
 from nearstop.sources import files
-from nearstop.sources.tables import read_table
+from nearstop.sources.tables import read_table, table_path
 
 ONE_OFFER = 100
 
@@ -171,7 +179,58 @@ def quantile_split(spark, sf):
 
 
 def surrogate_id(spark, sf):
-    return split.with_row_id(spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey"))
+    """One row: the rows that got an id, and the distinct ids."""
+    customers = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey")
+    return split.with_row_id(customers).agg(
+        F.count("*").alias("n_rows"), F.countDistinct("_id").alias("n_ids")
+    )
+
+
+def _raises(error: type[Exception], check, *given) -> bool:
+    try:
+        check(*given)
+    except error:
+        return True
+    return False
+
+
+def source_exists(spark, sf):
+    """One row: a table before and after it is written, and its rows."""
+    root = scratch_path(spark, "tables")
+    path = table_path(root, "table_stations")
+    before = files.source_exists(spark, path)
+    write_table(views.stations(spark, sf), "table_stations", root)
+    after = files.source_exists(spark, path)
+    return read_table(spark, "table_stations", root).agg(
+        F.count("*").alias("n_rows"), F.lit(before).alias("before"), F.lit(after).alias("after")
+    )
+
+
+def column_checks(spark, sf):
+    """One row: which checks raise on a table, with all its columns and without one."""
+    table = views.centres(spark, sf)
+    expected, short = schema("MAPPING_ZIP_COOR"), table.drop("lng")
+    raised = {
+        "whole_misses": _raises(SchemaMismatch, require_columns, table, expected.names),
+        "short_misses": _raises(SchemaMismatch, require_columns, short, expected.names),
+        "whole_differs": _raises(SchemaMismatch, require_same_columns, table, expected),
+        "short_differs": _raises(SchemaMismatch, require_same_columns, short, expected),
+    }
+    return table.agg(
+        F.count("*").alias("n_rows"), *[F.lit(v).alias(name) for name, v in raised.items()]
+    )
+
+
+def row_count_kept(spark, sf):
+    """One row: whether the count check raises for a step that keeps rows, and for one that drops."""
+    before, after = views.stations(spark, sf), _stations(spark, sf)
+    kept = _raises(quality.RowCountChanged, quality.require_same_count, before, after)
+    fewer = after.where("Latitude IS NOT NULL")
+    dropped = _raises(quality.RowCountChanged, quality.require_same_count, before, fewer)
+    return after.agg(
+        F.count("*").alias("n_rows"), F.count("Latitude").alias("n_located"),
+        F.lit(kept).alias("whole_differs"), F.lit(dropped).alias("located_differ"),
+    )
 
 
 def map_markers(spark, sf):
@@ -325,6 +384,9 @@ QUERIES = {
     "rentals_without_station": rentals_without_station,
     "quantile_split": quantile_split,
     "surrogate_id": surrogate_id,
+    "source_exists": source_exists,
+    "column_checks": column_checks,
+    "row_count_kept": row_count_kept,
     "map_features": map_markers,
     "scan_rental_csv": scan_rental_csv,
     "scan_station_csv": scan_station_csv,
