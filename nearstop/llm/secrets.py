@@ -15,8 +15,27 @@ from pyspark.sql import functions as F
 
 from nearstop.scratch import materialise
 
-#: A run of 16 or more characters of keys and digests, with a digit among them.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+"
+#: Characters of keys and digests; "=" only pads their end.
+RUN = r"[A-Za-z0-9+/_-]"
+LONG = rf"(?=[+/_-]*+[A-Za-z0-9]){RUN}{{16,}}+(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
+SECRET_NAME = (
+    r"(?i:token|secret|api[_-]?key|access[_-]?key|passw(?:or)?d|pwd|auth(?!or(?!i[sz]))|credential"
+    r"|bearer)"
+)
+SCHEME = r"(?:(?i:bearer|basic)[ \t]+)?+"
+#: A name of secrets up to the value that is assigned to it on the same line.
+LEAD = (
+    rf"{RUN}*{SECRET_NAME}[\w-]*+[\"'`\])]*+[ \t]*+(?::=|={{1,3}}>?|:)[ \t]*+[\"'`]?+{SCHEME}"
+)
+#: A quoted value ends with its quote, another one at a space, the next parameter or a tag.
+VALUE = "(?:" + "|".join(
+    rf"(?<={q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+){{0,99}}+(?<!{q})" for q in "\"'`"
+) + (
+    r"|(?<![\"'`])[^\s&<=\"'`][^\s&<]*(?:(?:&(?![\w.%-]+=)|<(?!/?[A-Za-z][\w-]*[\s/>]))[^\s&<]*){0,99}"
+    r"(?<![,;.:!?)\]}\"'`]))"
+)
+#: Any value assigned to a name of secrets, else a run of 16 or more characters.
+CANDIDATE = rf"(?<!{RUN})(?:{LEAD}{VALUE}|{LONG})"
 #: Characters of context kept on each side of a candidate.
 CONTEXT = 80
 #: Bound on the labelled findings that the forest is trained on, chosen by a hash.
@@ -27,13 +46,15 @@ KNOWN_USES = 5
 LEAST_RUN = 3
 THRESHOLD = 0.5
 MASK = "[SECRET]"
+#: From this length on a secret is no part of ordinary words.
+LEAST_EVERYWHERE = 16
 
 #: Letters, then one place for all digits and one for anything else.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 PLACES = len(ALPHABET) + 2
 
-SECRET_NAME = r"(?i)(?:token|secret|api_?key|access_?key|passw(?:or)?d|pwd|auth|credential|bearer)"
-ASSIGNED = r"[:=]\s*[\"']?$"
+NAMED = SECRET_NAME + r"[\p{L}\p{N}_-]*[^\p{L}\p{N}_]*(?:(?i:basic)\s+)?$"
+ASSIGNED = r"[:=]>?\s*[\"'`]?(?:(?i:bearer|basic)\s+)?$"
 #: Words that mark a value as made up; parts of host names and addresses do not count.
 PLACEHOLDER = r"(?i)(?<![\w.@-])(?:example|sample|dummy|placeholder|test|fake|your|xxx+)(?![\w.@-])"
 
@@ -46,27 +67,44 @@ FEATURES = [
 def find_candidates(documents: DataFrame, path: str) -> DataFrame:
     """One row per candidate: doc_id, path, start, token, before and after (nearby text).
 
-    The text is split at its candidates, so the parts between them give places and neighbours.
+    The text is split at its matches, so the parts between them give places and neighbours. A match
+    with a name is its value; a name that may be a key itself, as a padded one, is a candidate too.
     """
-    pattern = F.lit(CANDIDATE)
     found = documents.select(
         "doc_id", F.col(f"`{path}`").alias("path"), "text",
-        F.regexp_extract_all("text", pattern, F.lit(0)).alias("_tokens"),
-    ).where(F.size("_tokens") > 0).withColumn("_between", F.split("text", CANDIDATE))
+        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("_matches"),
+    ).where(F.size("_matches") > 0).withColumn("_between", F.split("text", CANDIDATE))
     rows = found.select(
-        "doc_id", "path", "_between", "_tokens", F.posexplode("_tokens").alias("_n", "token")
+        "doc_id", "path", "_between", "_matches", F.posexplode("_matches").alias("_n", "_match")
     )
-    lengths = F.aggregate(
-        F.concat(F.expr("slice(_between, 1, _n + 1)"), F.expr("slice(_tokens, 1, _n)")),
+    place = F.aggregate(
+        F.concat(F.expr("slice(_between, 1, _n + 1)"), F.expr("slice(_matches, 1, _n)")),
         F.lit(0).cast("long"), lambda a, part: a + F.length(part),
     )
-    after = F.concat(
-        F.get("_between", F.col("_n") + 1), F.coalesce(F.get("_tokens", F.col("_n") + 1), F.lit(""))
+    lead = F.regexp_extract("_match", f"^{LEAD}", 0)
+    rows = rows.select(
+        "doc_id", "path", place.alias("_place"), "_match",
+        # A run whose padding looks like an assignment has nothing after it.
+        F.when(F.length(lead) < F.length("_match"), lead).otherwise("").alias("_lead"),
+        F.concat_ws("", F.get("_between", F.col("_n") - 1), F.get("_matches", F.col("_n") - 1),
+                    F.get("_between", F.col("_n"))).alias("_left"),
+        F.concat_ws("", F.get("_between", F.col("_n") + 1), F.get("_matches", F.col("_n") + 1))
+        .alias("_right"),
     )
-    return rows.select(
-        "doc_id", "path", lengths.alias("start"), "token",
-        F.expr(f"right(_between[_n], {CONTEXT})").alias("before"),
-        F.substring(after, 1, CONTEXT).alias("after"),
+    name = F.when(F.col("_lead") != "", F.regexp_extract("_match", f"^{LONG}", 0)).otherwise("")
+
+    def part(start: Column, token: Column) -> Column:
+        return F.struct(start.cast("int").alias("at"), token.alias("token"))
+
+    value = part(F.length("_lead"), F.expr("substring(_match, length(_lead) + 1)"))
+    parts = F.filter(F.array(value, part(F.lit(0), name)), lambda p: p.token != "")
+    return rows.withColumn("_part", F.explode(parts)).select(
+        "doc_id", "path", (F.col("_place") + F.col("_part.at")).alias("start"),
+        F.col("_part.token").alias("token"),
+        F.expr(f"right(concat(_left, left(_match, _part.at)), {CONTEXT})").alias("before"),
+        F.expr(
+            f"left(concat(substring(_match, _part.at + length(_part.token) + 1), _right), {CONTEXT})"
+        ).alias("after"),
     )
 
 
@@ -130,7 +168,9 @@ def with_features(findings: DataFrame, words: DataFrame) -> DataFrame:
         F.sum(F.length("word")).alias("_covered_chars")
     )
     table = transition_table(words)
-    pairs = _pairs(F.lower(token))
+    pairs = F.when(F.length(token) > 1, _pairs(F.lower(token))).otherwise(
+        F.array().cast("array<int>")
+    )
     length = F.length(token)
     changes = F.regexp_count(token, F.lit("(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]"))
     letters = F.split(token, "")
@@ -155,7 +195,7 @@ def with_features(findings: DataFrame, words: DataFrame) -> DataFrame:
         (F.size(F.array_distinct(letters)) / length).alias("_distinct"),
         F.coalesce(bucket(F.col("path")), F.lit(-1.0)).alias("_path"),
         _flag(F.col("path").rlike(PLACEHOLDER)).alias("_path_example"),
-        _flag(named.rlike(SECRET_NAME)).alias("_named"),
+        _flag(F.col("before").rlike(NAMED)).alias("_named"),
         _flag(F.col("before").rlike(ASSIGNED)).alias("_assigned"),
         _flag(F.concat_ws(" ", "before", "after").rlike(PLACEHOLDER)).alias("_placeholder"),
         _flag(F.col("before").rlike("[\"']$")).alias("_quoted"),
@@ -243,19 +283,36 @@ def scan_secrets(
 
 
 def redact_secrets(documents: DataFrame, findings: DataFrame) -> DataFrame:
-    """The documents with every confirmed secret replaced by a mask; n_chars follows the text."""
+    """The documents with every confirmed secret replaced by a mask; n_chars follows the text.
+
+    A secret of ``LEAST_EVERYWHERE`` characters goes wherever it stands in its document.
+    """
     secrets = findings.where("is_secret").groupBy(F.col("doc_id").alias("_id")).agg(
-        F.sort_array(F.collect_set("token"), asc=False).alias("_tokens")
+        F.sort_array(F.collect_set(F.struct("start", "token")), asc=False).alias("_found")
     )
     secrets = materialise(secrets, "secrets")
     joined = documents.join(secrets, documents["doc_id"].eqNullSafe(secrets["_id"]), "left")
-    clean = F.when(F.col("_tokens").isNull(), F.col("text")).otherwise(F.aggregate(
-        "_tokens", F.col("text"), lambda text, token: F.replace(text, token, F.lit(MASK))
+
+    def at_place(text: Column, found: Column) -> Column:
+        start, end = found.start.cast("int"), (found.start + F.length(found.token)).cast("int")
+        here = F.substring(text, start + 1, F.length(found.token)) == found.token
+        return F.when(here, F.concat(
+            F.substring(text, F.lit(1), start), F.lit(MASK),
+            F.substring(text, end + 1, F.length(text)),
+        )).otherwise(text)
+
+    # From the last place on, so that places stay; a short value is masked at its place only.
+    placed = F.aggregate("_found", F.col("text"), at_place)
+    long = F.array_sort(F.array_distinct(F.filter(
+        F.col("_found.token"), lambda t: F.length(t) >= LEAST_EVERYWHERE
+    )), lambda a, b: F.length(b) - F.length(a))
+    clean = F.when(F.col("_found").isNull(), F.col("text")).otherwise(F.aggregate(
+        long, placed, lambda text, token: F.replace(text, token, F.lit(MASK))
     ))
     rows = joined.withColumn("text", clean)
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         rows = rows.withColumn("n_chars", F.when(
-            F.col("_tokens").isNull(), F.col("n_chars")
+            F.col("_found").isNull(), F.col("n_chars")
         ).otherwise(F.length("text").cast(kind)))
     return rows.select(*[F.col(f"`{c}`") for c in documents.columns])
