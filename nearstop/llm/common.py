@@ -40,3 +40,28 @@ def with_row_number(df: DataFrame) -> DataFrame:
 
 def shards_for(rows: int, per_shard: int) -> int:
     return max(1, -(-rows // per_shard))
+
+
+#: How many rows a sampled row stands for.
+WEIGHT = "_weight"
+
+
+def sample_by_label(df: DataFrame, labels: list[str], rows: int, key: list[str]) -> DataFrame:
+    """At most about ``rows`` rows, chosen by a hash of ``key``, with their weight.
+
+    ``labels`` are columns of 0 and 1. Of each value of each label up to an equal part of ``rows``
+    is expected, so a rare label keeps its rows; a row's weight is one by its chance to be kept.
+    """
+    counts = df.agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(F.col(c).cast("long")).alias(c) for c in labels]
+    ).first()
+    chance = F.lit(1.0)
+    if counts["n"] > rows:
+        share = rows / (2 * len(labels))
+        chances = [
+            F.when(F.col(c) == 1, min(1.0, share / max(1, counts[c])))
+            .otherwise(min(1.0, share / max(1, counts["n"] - counts[c]))) for c in labels
+        ]
+        chance = F.greatest(*chances) if len(chances) > 1 else chances[0]
+    place = F.pmod(F.xxhash64(*key), F.lit(1 << 52)) / float(1 << 52)
+    return df.withColumn(WEIGHT, 1 / chance).where(place * F.col(WEIGHT) < 1)

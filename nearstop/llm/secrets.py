@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nearstop.llm.common import WEIGHT, sample_by_label
 from nearstop.scratch import materialise
 
 #: Characters of keys and digests; "=" only pads their end.
@@ -224,19 +225,19 @@ def reviewed(findings: DataFrame) -> DataFrame:
 def train_forest(labelled: DataFrame, rows: int = TRAINING_ROWS):
     """A forest from findings with features, ``token`` and ``label``; a number if all are alike.
 
-    At most about ``rows`` labelled findings are used, chosen by a hash of the token and its place.
+    At most about ``rows`` labelled findings are used, chosen by a hash of the token and its place:
+    up to half of them of each label, which weigh as much as all findings with that label.
     """
-    known = labelled.where("label IS NOT NULL")
-    total = known.count()
-    if total > rows:
-        known = known.where(F.pmod(F.xxhash64("token", "doc_id", "start"), F.lit(total)) < rows)
-    table = materialise(known.select(*FEATURES, "label").coalesce(4), "findings")
+    known = sample_by_label(
+        labelled.where("label IS NOT NULL"), ["label"], rows, ["token", "doc_id", "start"]
+    )
+    table = materialise(known.select(*FEATURES, "label", WEIGHT).coalesce(4), "findings")
     kinds = [row["label"] for row in table.select("label").distinct().limit(2).collect()]
     if len(kinds) < 2:
         return kinds[0] if kinds else 0.0
     inputs = VectorAssembler(inputCols=FEATURES, outputCol="_in").transform(table)
     return RandomForestClassifier(
-        featuresCol="_in", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
+        featuresCol="_in", labelCol="label", weightCol=WEIGHT, numTrees=TREES, maxDepth=DEPTH, seed=SEED,
         probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_y",
     ).fit(inputs)
 

@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nearstop.llm.common import WEIGHT, sample_by_label
 from nearstop.scratch import materialise
 
 #: Bound on the labelled rows that are trained on, chosen by a hash of doc_id.
@@ -60,18 +61,17 @@ class Chain:
 
 
 def sample_labels(labels: DataFrame, categories: list[str], rows: int) -> DataFrame:
-    """One row per labelled doc_id, at most about ``rows``; a category is met if any row meets it.
+    """One row per labelled doc_id and its weight, at most about ``rows``.
 
-    Rows with a null id or a null category are not labelled.
+    A category is met if any row of the id meets it. The rows that meet a category and those that
+    do not have an equal part each, as far as there are. Rows with a null id or a null category are
+    not labelled.
     """
     clean = labels.where(" AND ".join(f"{c} IS NOT NULL" for c in ["doc_id", *categories]))
     single = clean.groupBy("doc_id").agg(
         *[F.max(F.col(c).cast("int")).alias(c) for c in categories]
     )
-    total = single.count()
-    if total > rows:
-        single = single.where(F.pmod(F.xxhash64("doc_id"), F.lit(total)) < rows)
-    return single
+    return sample_by_label(single, categories, rows, ["doc_id"])
 
 
 def _vocabulary(examples: DataFrame, categories: list[str], size: int) -> list[str]:
@@ -125,7 +125,7 @@ def _fit(rows: DataFrame, category: str, earlier: list[str]) -> Link:
     if met in (0.0, float(totals["n"])):
         return Link(category, None, met / totals["n"] if totals["n"] else 0.0)
     model = LogisticRegression(
-        featuresCol="_in", labelCol=category, probabilityCol="_p", rawPredictionCol="_raw",
+        featuresCol="_in", labelCol=category, weightCol=WEIGHT, probabilityCol="_p", rawPredictionCol="_raw",
         predictionCol="_y", regParam=0.0003, elasticNetParam=0.0, maxIter=80, standardization=False,
     ).fit(_inputs(rows, earlier))
     return Link(category, model, 0.0)
@@ -143,7 +143,7 @@ def train_chain(
     # At most about TRAINING_ROWS rows of an id and small numbers: bounded.
     examples = documents.select("doc_id", "text").join(F.broadcast(sampled), "doc_id").select(
         "doc_id", _words(F.col("text")).alias("_words"),
-        F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).alias("_fold"), *categories,
+        F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).alias("_fold"), WEIGHT, *categories,
     )
     examples = materialise(examples, "examples")
     vocabulary = _vocabulary(examples, categories, VOCABULARY)
