@@ -58,10 +58,15 @@ NAMED = SECRET_NAME + r"[\p{L}\p{N}_-]*[^\p{L}\p{N}_]*(?:(?i:basic)\s+)?$"
 ASSIGNED = r"[:=]>?\s*[\"'`]?(?:(?i:bearer|basic)\s+)?$"
 #: Words that mark a value as made up; parts of host names and addresses do not count.
 PLACEHOLDER = r"(?i)(?<![\w.@-])(?:example|sample|dummy|placeholder|test|fake|your|xxx+)(?![\w.@-])"
+#: The same within a value, where anything but letters parts words; test keys of services are keys.
+PLACEHOLDER_TOKEN = (
+    r"(?i)(?<![a-z])(?<![sp]k_)(?:example|sample|dummy|placeholder|test|fake|your|changeme|xxx+)"
+    r"(?![a-z])"
+)
 
 FEATURES = [
     "_length", "_changes", "_surprise", "_covered", "_digits", "_distinct", "_path", "_path_example",
-    "_named", "_assigned", "_placeholder", "_quoted", "_word_before", "_word_after",
+    "_named", "_assigned", "_placeholder", "_placeholder_token", "_quoted", "_word_before", "_word_after",
 ]
 
 
@@ -199,6 +204,7 @@ def with_features(findings: DataFrame, words: DataFrame) -> DataFrame:
         _flag(F.col("before").rlike(NAMED)).alias("_named"),
         _flag(F.col("before").rlike(ASSIGNED)).alias("_assigned"),
         _flag(F.concat_ws(" ", "before", "after").rlike(PLACEHOLDER)).alias("_placeholder"),
+        _flag(token.rlike(PLACEHOLDER_TOKEN)).alias("_placeholder_token"),
         _flag(F.col("before").rlike("[\"']$")).alias("_quoted"),
         F.coalesce(bucket(named), F.lit(-1.0)).alias("_word_before"),
         F.coalesce(bucket(after_word), F.lit(-1.0)).alias("_word_after"),
@@ -209,16 +215,20 @@ def reviewed(findings: DataFrame) -> DataFrame:
     """Add ``label`` to findings that two independent signs agree on, null for the rest.
 
     A secret is a token of several kinds of characters that is assigned to a name of secrets,
-    without a placeholder near it. A false positive is a number, or has no digit for every eight
-    characters, or is neither assigned nor named. For use where nobody has labelled findings.
+    without a placeholder near it. A false positive holds a placeholder itself or, unless it is
+    assigned to a name of secrets, is a number, has no digit for every eight characters, has a
+    placeholder near it or is neither assigned nor named. For use where nobody has labelled
+    findings.
     """
+    own = (F.col("_named") == 1) & (F.col("_assigned") == 1)
     secret = (
-        (F.col("_named") == 1) & (F.col("_assigned") == 1) & (F.col("_placeholder") == 0)
+        own & (F.col("_placeholder") == 0) & (F.col("_placeholder_token") == 0)
         & (F.col("_digits") < 0.95) & (F.col("_digits") > 0.1) & (F.col("_covered") < 0.3)
     )
-    harmless = (F.col("_digits") == 1) | (F.col("_digits") < 0.125) | (
+    other = (F.col("_digits") == 1) | (F.col("_digits") < 0.125) | (F.col("_placeholder") == 1) | (
         (F.col("_named") == 0) & (F.col("_assigned") == 0)
-    ) | (F.col("_placeholder") == 1)
+    )
+    harmless = (F.col("_placeholder_token") == 1) | (~own & other)
     return findings.withColumn("label", F.when(secret, 1.0).when(harmless, 0.0))
 
 
