@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib import resources
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,75 @@ EQUIVALENT = (
     ("recognise", "recognize"), ("whilst", "while"), ("wilful", "willful"), ("http", "https"),
 )
 
-#: Public licence notices and short licence texts.
+_BSD = (
+    """Redistribution and use in source and binary forms, with or without modification, are
+    permitted provided that the following conditions are met:
+    """,
+    """Redistributions of source code must retain the above copyright notice, this list of
+    conditions and the following disclaimer.
+    """,
+    """Redistributions in binary form must reproduce the above copyright notice, this list of
+    conditions and the following disclaimer in the documentation and/or other materials provided
+    with the distribution.
+    """,
+)
+_BSD_NAMES = ("the copyright holder", "the copyright holders", "the author", "the organization",
+              "the <organization>", "the University")
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY {0} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+    INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+    PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL {1} BE LIABLE FOR ANY DIRECT, INDIRECT,
+    INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+    PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+    INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+    LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+    THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_BSD_PARTIES = (
+    ("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT HOLDER OR CONTRIBUTORS"),
+    ("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT OWNER OR CONTRIBUTORS"),
+    ("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT HOLDERS OR CONTRIBUTORS"),
+    ("THE REGENTS AND CONTRIBUTORS", "THE REGENTS OR CONTRIBUTORS"),
+    ("THE AUTHOR AND CONTRIBUTORS", "THE AUTHOR OR CONTRIBUTORS"),
+    ("THE AUTHOR", "THE AUTHOR"),
+)
+
+
+def _bsd(names: tuple[str, ...]) -> list[str]:
+    """The usual wordings with numbered and plain points; a third point for each of ``names``."""
+    texts = []
+    for name in names or (None,):
+        points = [*_BSD[1:]]
+        if name:
+            points.append(
+                f"Neither the name of {name} nor the names of its contributors may be used to "
+                "endorse or promote products derived from this software without specific prior "
+                "written permission.\n"
+            )
+        for mark in ("{}. ", "* "):
+            marked = "".join(mark.format(n) + point for n, point in enumerate(points, 1))
+            texts += [_BSD[0] + marked + _BSD_END.format(*p) for p in _BSD_PARTIES]
+    return texts
+
+
+#: Lines that stand before a text or not.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "BSD License",
+                     'BSD 2-Clause "Simplified" License', "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "BSD License",
+                     'BSD 3-Clause "New" or "Revised" License', "New BSD License"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"],
+    "Zlib": ["zlib License", "The zlib License"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+#: The first words of an end that some copies of a text leave out.
+APPENDICES = (
+    "END OF TERMS AND CONDITIONS",
+    "APPENDIX: How to apply", "How to Apply These Terms", "Appendix: How to Apply These Terms",
+    "ADDENDUM: How to use this License",
+)
+
+#: Public licence notices and short licence texts; long ones are in licence_texts.
 KNOWN = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3."],
@@ -55,19 +125,81 @@ KNOWN = {
         OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE
         USE OR PERFORMANCE OF THIS SOFTWARE.""",
     ],
+    "BSD-2-Clause": _bsd(()),
+    "BSD-3-Clause": _bsd(_BSD_NAMES),
+    "0BSD": [
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with
+        or without fee is hereby granted.
+
+        THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO
+        THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT
+        SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR
+        ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION
+        OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE
+        USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    ],
+    "Zlib": [
+        """This software is provided 'as-is', without any express or implied warranty. In no event
+        will the authors be held liable for any damages arising from the use of this software.
+
+        Permission is granted to anyone to use this software for any purpose, including commercial
+        applications, and to alter it and redistribute it freely, subject to the following
+        restrictions:
+
+        1. The origin of this software must not be misrepresented; you must not claim that you
+        wrote the original software. If you use this software in a product, an acknowledgment in
+        the product documentation would be appreciated but is not required.
+        2. Altered source versions must be plainly marked as such, and must not be misrepresented
+        as being the original software.
+        3. This notice may not be removed or altered from any source distribution.""",
+    ],
+    "Unlicense": [
+        f"""This is free and unencumbered software released into the public domain.
+
+        Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software,
+        either in source code form or as a compiled binary, for any purpose, commercial or
+        non-commercial, and by any means.
+
+        In jurisdictions that recognize copyright laws, the author or authors of this software
+        dedicate any and all copyright interest in the software to the public domain. We make this
+        dedication for the benefit of the public at large and to the detriment of our heirs and
+        successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+        all present and future rights to this software under copyright law.
+
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+        INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+        PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES
+        OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+        OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.{more}"""
+        for more in ("", "\n\nFor more information, please refer to <https://unlicense.org>",
+                     "\n\nFor more information, please refer to <https://unlicense.org/>")
+    ],
 }
 
 
 #: A line that states a copyright, with its break.
 COPYRIGHT_LINE = (
-    r"(?m)^[ \t]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4}|by )|\(c\)[ \t]*[0-9]{4}|©"
+    r"(?m)^[ \t]*(?:copyright[ \t]*(?:\(c\)|©|[0-9]{4}|by |[\[<{])|\(c\)[ \t]*[0-9]{4}|©"
     r"|all rights reserved)[^\n]*$"
 )
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
-    """The built-in licence texts as rows (licence, text); a fixed, short list."""
-    rows = [{"licence": name, "text": text} for name, texts in KNOWN.items() for text in texts]
+    """The built-in licence texts as rows (licence, text): a fixed list.
+
+    Those of ``KNOWN`` with and without each title, and the files in licence_texts with and without
+    the appendix that tells how to use them.
+    """
+    rows = []
+    for name, texts in KNOWN.items():
+        for text in texts:
+            titles = TITLES.get(name, []) if len(text) > 200 else []
+            rows += [{"licence": name, "text": f"{t}\n\n{text}"} for t in titles]
+            rows.append({"licence": name, "text": text})
+    for file in resources.files(__package__).joinpath("licence_texts").iterdir():
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        ends = [n for n in map(text.find, APPENDICES) if n > 0]
+        rows += [{"licence": name, "text": text[:end]} for end in [len(text), *ends]]
     return spark.createDataFrame(pa.Table.from_pylist(rows))
 
 
