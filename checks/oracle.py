@@ -273,6 +273,15 @@ ORACLE = {
         "SELECT scoutId, 'station', CAST(rank AS INTEGER), Latitude, Longitude, Name, 'blue' "
         "FROM nearest",
     ),
+    "map_all_features": _with(
+        ["rental", "address", "nearest"],
+        "SELECT 'Feature' AS type, 'Point' AS shape, scoutId, 'rental' AS role, 0 AS rank, "
+        "r.lat, r.lng, address_string AS label, 'red' AS color "
+        "FROM rental r LEFT JOIN (SELECT scoutId, address_string FROM address) USING (scoutId) "
+        "WHERE scoutId IN (SELECT scoutId FROM nearest) UNION ALL "
+        "SELECT 'Feature', 'Point', scoutId, 'station', CAST(rank AS INTEGER), Latitude, "
+        "Longitude, Name, 'blue' FROM nearest",
+    ),
     "scan_rental_csv": _with(
         ["rental_file"], f"SELECT {_typed(schema('RENTAL').names)} FROM rental_file"
     ),

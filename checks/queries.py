@@ -237,6 +237,27 @@ def map_markers(spark, sf):
     return map_features(_addresses(spark, sf), _nearest(spark, sf)).drop("feature")
 
 
+def _all_features(spark, sf):
+    nearest = materialise(_nearest(spark, sf), "nearest")
+    addresses = _addresses(spark, sf).select("scoutId", "address_string")
+    offers = _rentals(spark, sf, heavy=True).select("scoutId", "lat", "lng").join(
+        nearest.select("scoutId"), "scoutId", "left_semi"
+    ).join(addresses, "scoutId", "left")
+    return map_features(offers, nearest)
+
+
+def map_all_features(spark, sf):
+    """The features, read back from their JSON, of all offers with stations, address or not."""
+    kind = (
+        "type string, geometry struct<type: string, coordinates: array<double>>, properties "
+        "struct<scoutId: int, role: string, rank: int, label: string, color: string>"
+    )
+    return _all_features(spark, sf).select(F.from_json("feature", kind).alias("f")).selectExpr(
+        "f.type AS type", "f.geometry.type AS shape", "f.geometry.coordinates[1] AS lat",
+        "f.geometry.coordinates[0] AS lng", "f.properties.*",
+    )
+
+
 def _write_csv(df: DataFrame, label: str, **options: str) -> str:
     path = scratch_path(df.sparkSession, label)
     df.write.options(header=True, **options).csv(path)
@@ -388,6 +409,7 @@ QUERIES = {
     "column_checks": column_checks,
     "row_count_kept": row_count_kept,
     "map_features": map_markers,
+    "map_all_features": map_all_features,
     "scan_rental_csv": scan_rental_csv,
     "scan_station_csv": scan_station_csv,
     "scan_mapping": scan_mapping,

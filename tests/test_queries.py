@@ -28,3 +28,10 @@ def test_every_oracle_has_a_query():
 
 def test_entry(spark):
     assert driver.entry(spark).columns == ["scoutId", "rank", "DHID", "Parent", "Name"]
+
+
+def test_every_offer_with_stations_has_a_marker(spark):
+    rows = QUERIES["map_all_features"](spark, str(FOLDER / SF)).select("scoutId", "role").collect()
+    marked = [r.scoutId for r in rows if r.role == "rental"]
+    assert len(marked) == len(set(marked))
+    assert set(marked) == {r.scoutId for r in rows if r.role == "station"}
