@@ -19,4 +19,15 @@ SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
 FROM page JOIN best USING (payload)
 """
 
-ORACLE = {"op4_warc_archive": OP4}
+OP12 = r"""
+WITH doc AS (
+    SELECT doc_id, length(coalesce(text, '')) AS chars,
+           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body
+    FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY body)
+       AS group_size, row_number() OVER best = 1 AS kept, sha256(body) AS text_sha256
+FROM doc WINDOW best AS (PARTITION BY body ORDER BY chars DESC, doc_id NULLS LAST)
+"""
+
+ORACLE = {"op4_warc_archive": OP4, "op12_exact_dedup": OP12}

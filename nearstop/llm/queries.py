@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nearstop.llm import (
     chat,
+    exact,
     fingerprints,
     jaccard,
     licences,
@@ -79,6 +80,10 @@ def op10_chat_repair(spark, sf):
     return chat.repair_chats(table(spark, sf, "conversations"))
 
 
+def op12_exact_dedup(spark, sf):
+    return exact.exact_groups(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mix_sources": op2_mix_sources,
@@ -90,4 +95,5 @@ QUERIES = {
     "op8_quality_outliers": op8_quality_outliers,
     "op9_pack_sequences": op9_pack_sequences,
     "op10_chat_repair": op10_chat_repair,
+    "op12_exact_dedup": op12_exact_dedup,
 }
