@@ -19,6 +19,44 @@ SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
 FROM page JOIN best USING (payload)
 """
 
+OP11 = r"""
+WITH piece AS (
+    SELECT lang, list_filter(regexp_split_to_array(part, '[\x20\x09]+'), lambda w: w <> '') AS words
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(
+            coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'
+        ), '[.,;:!?\x0A-\x0D]')) AS part FROM documents
+    )
+), start AS (
+    SELECT lang, words, unnest(range(1, len(words) + 1)) AS pos FROM piece
+), found AS (
+    SELECT lang, array_to_string(words[pos:pos + size - 1], ' ') AS phrase, size, count(*) AS f
+    FROM start, range(1, 6) AS sizes(size) WHERE pos + size - 1 <= len(words) GROUP BY ALL
+), total AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM found WHERE size = 1 GROUP BY lang
+), often AS (
+    SELECT lang, phrase, size, f, string_split(phrase, ' ') AS words FROM found WHERE f >= 100
+), covered AS (
+    SELECT DISTINCT long.lang, array_to_string(long.words[pos:pos + part - 1], ' ') AS phrase, f
+    FROM often AS long, range(2, 5) AS parts(part), range(1, 5) AS places(pos)
+    WHERE part < size AND pos + part - 1 <= size
+), cut AS (
+    SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, n,
+           CAST(1000::HUGEINT * c.f * n // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+    FROM often AS c, range(1, 5) AS cuts(k), often AS l, often AS r, total AS t
+    WHERE k < c.size AND t.lang = c.lang
+      AND l.lang = c.lang AND l.phrase = array_to_string(c.words[1:k], ' ')
+      AND r.lang = c.lang AND r.phrase = array_to_string(c.words[k + 1:], ' ')
+      AND NOT EXISTS (SELECT 1 FROM covered AS v
+                      WHERE v.lang = c.lang AND v.phrase = c.phrase AND v.f >= c.f)
+), worst AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM worst QUALIFY rank <= 2000
+"""
+
 OP12 = r"""
 WITH doc AS (
     SELECT doc_id, length(coalesce(text, '')) AS chars,
@@ -30,4 +68,4 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
 FROM doc WINDOW best AS (PARTITION BY body ORDER BY chars DESC, doc_id NULLS LAST)
 """
 
-ORACLE = {"op4_warc_archive": OP4, "op12_exact_dedup": OP12}
+ORACLE = {"op4_warc_archive": OP4, "op11_collocations": OP11, "op12_exact_dedup": OP12}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nearstop.llm import (
     chat,
+    collocations,
     exact,
     fingerprints,
     jaccard,
@@ -80,6 +81,10 @@ def op10_chat_repair(spark, sf):
     return chat.repair_chats(table(spark, sf, "conversations"))
 
 
+def op11_collocations(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents").select("lang", "text"))
+
+
 def op12_exact_dedup(spark, sf):
     return exact.exact_groups(table(spark, sf, "documents").select("doc_id", "text"))
 
@@ -95,5 +100,6 @@ QUERIES = {
     "op8_quality_outliers": op8_quality_outliers,
     "op9_pack_sequences": op9_pack_sequences,
     "op10_chat_repair": op10_chat_repair,
+    "op11_collocations": op11_collocations,
     "op12_exact_dedup": op12_exact_dedup,
 }
