@@ -68,4 +68,58 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
 FROM doc WINDOW best AS (PARTITION BY body ORDER BY chars DESC, doc_id NULLS LAST)
 """
 
-ORACLE = {"op4_warc_archive": OP4, "op11_collocations": OP11, "op12_exact_dedup": OP12}
+OP13 = """
+WITH turn AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS donor, xor(4294967295, list_reduce(list_prepend(
+        4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c))
+    ), lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS lead
+    FROM (SELECT DISTINCT conv_id FROM turn)
+), rebuilt AS (
+    SELECT c.conv_id, 1 AS part, place, role, text
+    FROM conv AS c JOIN turn AS t ON t.conv_id = c.conv_id WHERE place > lead
+    UNION ALL
+    SELECT c.conv_id, 0 AS part, place, role, text
+    FROM conv AS c JOIN turn AS t ON t.conv_id = c.donor WHERE place <= lead
+), path AS (
+    SELECT conv_id, coalesce(turns, []) AS turns FROM conv LEFT JOIN (
+        SELECT conv_id, list({'role': role, 'text': text} ORDER BY part, place) AS turns
+        FROM rebuilt GROUP BY conv_id
+    ) USING (conv_id)
+), prefix AS (
+    SELECT conv_id, len(turns) AS size, depth, list_slice(turns, 1, depth) AS key
+    FROM path, range(0, (SELECT max(len(turns)) FROM path) + 1) AS depths(depth)
+    WHERE depth <= len(turns)
+), node AS (
+    SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                           FILTER (WHERE size = depth), '')) AS ends_sha256
+    FROM prefix GROUP BY key, depth
+), child AS (
+    SELECT list_slice(key, 1, depth - 1) AS key, count(*) AS n_children
+    FROM node WHERE depth > 0 GROUP BY ALL
+), counted AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children,
+           (n_convs - 1) * coalesce(length(n.key[depth].text), 0) AS saved
+    FROM node AS n LEFT JOIN child USING (key)
+), total AS (
+    SELECT list_slice(key, 1, above) AS key, count_if(n_children = 0) AS n_leaves,
+           sum(saved) AS saved_tokens
+    FROM counted, range(0, (SELECT max(depth) FROM node) + 1) AS depths(above)
+    WHERE above <= depth GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       n.ends_sha256
+FROM counted AS n JOIN total USING (key)
+LEFT JOIN node AS p ON n.depth > 0 AND p.key = list_slice(n.key, 1, n.depth - 1)
+"""
+
+ORACLE = {
+    "op4_warc_archive": OP4, "op11_collocations": OP11, "op12_exact_dedup": OP12,
+    "op13_prefix_trie": OP13,
+}

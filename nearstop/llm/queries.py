@@ -15,6 +15,7 @@ from nearstop.llm import (
     mixing,
     outliers,
     packing,
+    prefix_trie,
     secrets,
     toxicity,
     warc,
@@ -89,6 +90,10 @@ def op12_exact_dedup(spark, sf):
     return exact.exact_groups(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def op13_prefix_trie(spark, sf):
+    return prefix_trie.prefix_trie(table(spark, sf, "conversations"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mix_sources": op2_mix_sources,
@@ -102,4 +107,5 @@ QUERIES = {
     "op10_chat_repair": op10_chat_repair,
     "op11_collocations": op11_collocations,
     "op12_exact_dedup": op12_exact_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
