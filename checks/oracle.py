@@ -201,6 +201,20 @@ ORACLE = {
         LEFT JOIN centre c ON a.zip_group = substr(c.PLZ, 1, 3)
         """,
     ),
+    "geocode_fuzzy": _with(
+        ["address", "register"],
+        f"""
+        SELECT scoutId, address_string, match, distance FROM (
+            SELECT o.scoutId, o.address_string, g.address_string AS match,
+                   CAST(levenshtein(o.address_string, g.address_string) AS INTEGER) AS distance,
+                   row_number() OVER (PARTITION BY o.scoutId ORDER BY distance, match) AS n
+            FROM (SELECT scoutId, zip_group, {views.SLIPPED_ADDRESS} AS address_string FROM address
+                  WHERE address_string IS NOT NULL) AS o
+            JOIN (SELECT DISTINCT address_string, zip_group FROM address
+                  JOIN register USING (address_string)) AS g ON o.zip_group = g.zip_group
+        ) WHERE n = 1 AND distance <= 2
+        """,
+    ),
     "resolve_residual": _with(
         ["near_zip"],
         """

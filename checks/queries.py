@@ -10,6 +10,7 @@ from checks import views
 from nearstop.functions.text import zip_group
 from nearstop.operators import geocode, match, quality, rentals, split, stations
 from nearstop.operators.lookup import call_lookup
+from nearstop.operators.spelling import SLIPS
 from nearstop.schemas import (
     RENTAL_FEATURE,
     RENTAL_LOCATION,
@@ -128,6 +129,21 @@ def geocode_forward(spark, sf):
     )
 
 
+def geocode_fuzzy(spark, sf):
+    """Addresses with slips in them, and the most similar ones of the register."""
+    written = materialise(_addresses(spark, sf).select("scoutId", "address_string"), "addresses")
+    offers = written.where("address_string IS NOT NULL").selectExpr(
+        "scoutId", f"{views.SLIPPED_ADDRESS} AS address_string"
+    )
+    register = rentals.with_address(
+        rentals.with_repaired_zip(views.known_places(spark, sf))
+    ).select("address_string")
+    found = geocode.nearest_addresses(offers, register, SLIPS)
+    return offers.join(found, "address_string").select(
+        "scoutId", "address_string", "match", "distance"
+    )
+
+
 def resolve_residual(spark, sf):
     return geocode.resolve_zips(_stations(spark, sf, heavy=True), views.centres(spark, sf))
 
@@ -395,6 +411,7 @@ QUERIES = {
     "inherit_from_parent": inherit_from_parent,
     "geocode_reverse": geocode_reverse,
     "geocode_forward": geocode_forward,
+    "geocode_fuzzy": geocode_fuzzy,
     "resolve_residual": resolve_residual,
     "stations_zip_final": stations_zip_final,
     "station_candidates": station_candidates,

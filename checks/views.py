@@ -91,6 +91,14 @@ RENTAL = {
     "lng": "CAST(6000 + (c_custkey * 104729) % 9000 AS DOUBLE) / 1000",
 }
 
+# An address as somebody writes it: a letter left out, one too many, two changed places, four wrong.
+SLIPPED_ADDRESS = (
+    "CASE scoutId % 5 WHEN 0 THEN concat(substr(address_string, 1, 3), substr(address_string, 5)) "
+    "WHEN 1 THEN concat(substr(address_string, 1, 6), 'x', substr(address_string, 7)) "
+    "WHEN 2 THEN replace(address_string, ' Str ', ' Srt ') "
+    "WHEN 3 THEN concat('yyyy', substr(address_string, 5)) ELSE address_string END"
+)
+
 # Offers with a balance act as the places an address register knows.
 KNOWN_PLACE = "c_acctbal >= 0"
 

@@ -110,3 +110,8 @@ def address(street: Column, number: Column, plz: Column, district: Column, state
     """``street number, zip, district, state``; null if any part is."""
     comma = F.lit(", ")
     return F.concat(street, F.lit(" "), number, comma, plz, comma, district, comma, state)
+
+
+def address_zip_group(text: Column) -> Column:
+    """The zip group of an address as ``address`` writes it; null if it has too few parts."""
+    return zip_group(F.try_element_at(F.split(text, ", "), F.lit(-3)))

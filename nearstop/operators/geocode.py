@@ -9,19 +9,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearstop.functions.geo import distance2, is_located
+from nearstop.functions.text import address_zip_group
 from nearstop.operators.lookup import lookup_join, one_per_key
 from nearstop.operators.nearest import Limits, nearest_join
+from nearstop.operators.spelling import best_spellings
 from nearstop.scratch import materialise
 
+
+def nearest_addresses(addresses: DataFrame, gazetteer: DataFrame, slips: int) -> DataFrame:
+    """For each distinct address_string the most similar one of the same zip group.
+
+    Returns address_string, match and distance, see ``best_spellings``. The zip group is read from
+    the address, which ends in zip code, district and state.
+    """
+    def grouped(table: DataFrame) -> DataFrame:
+        text = F.col("address_string")
+        return table.select("address_string", address_zip_group(text).alias("zip_group"))
+
+    found = best_spellings(
+        grouped(addresses), grouped(gazetteer), "zip_group", "address_string", slips
+    )
+    return found.select("address_string", "match", "distance")
+
+
 def coordinates_of(
-    rentals: DataFrame, gazetteer: DataFrame, centres: DataFrame, zip_column: str = "geo_plz"
+    rentals: DataFrame, gazetteer: DataFrame, centres: DataFrame, zip_column: str = "geo_plz",
+    slips: int = 0,
 ) -> DataFrame:
     """Add ``coords`` (struct of Lat and Lng) and ``tier`` to the offers.
 
     The address is looked up in ``gazetteer`` (address_string, lat, lng), where the first point of
-    an address counts. Offers not found there, or without an address, get the centre of their zip
-    code from ``centres`` (PLZ, lat, lng). Tier is 1, 2, or null if neither has the offer.
+    an address counts. With ``slips`` an address that is not there is taken for the most similar
+    one of its zip group that differs in so many characters at most. Offers still not found, or
+    without an address, get the centre of their zip code from ``centres`` (PLZ, lat, lng). Tier is
+    1 for the address, 3 for a similar one, 2 for the centre, or null if none has the offer.
     """
+    if slips:
+        known = gazetteer.where(is_located(F.col("lat"), F.col("lng")))
+        open_addresses = rentals.select("address_string").join(
+            known.select("address_string"), "address_string", "left_anti"
+        )
+        respelt = nearest_addresses(open_addresses, known, slips).select(
+            F.col("address_string").alias("_asked"), F.col("match").alias("_match")
+        )
+        rentals = lookup_join(
+            rentals, materialise(respelt, "respelt"), {"address_string": "_asked"}, "scoutId"
+        ).withColumn("_spelt", F.coalesce("_match", "address_string"))
+    else:
+        rentals = rentals.withColumns({
+            "_spelt": F.col("address_string"), "_match": F.lit(None).cast("string"),
+            "_asked": F.lit(None).cast("string"),
+        })
 
     def points(table: DataFrame, key: str, prefix: str) -> DataFrame:
         located = table.where(F.col(key).isNotNull() & is_located(F.col("lat"), F.col("lng")))
@@ -32,17 +70,20 @@ def coordinates_of(
 
     found = lookup_join(
         rentals, points(gazetteer, "address_string", "_exact"),
-        {"address_string": "_exact_key"}, "scoutId",
+        {"_spelt": "_exact_key"}, "scoutId",
     )
     # Only offers still open ask for a centre; the others get no key.
     found = found.withColumn("_open_zip", F.when(F.col("_exact").isNull(), F.col(zip_column)))
     found = lookup_join(
         found, points(centres, "PLZ", "_centre"), {"_open_zip": "_centre_key"}, "scoutId"
     )
-    tier = F.when(F.col("_exact").isNotNull(), 1).when(F.col("_centre").isNotNull(), 2)
+    in_register = F.when(F.col("_match").isNull(), 1).otherwise(3)
+    tier = F.when(F.col("_exact").isNotNull(), in_register).when(F.col("_centre").isNotNull(), 2)
     return found.withColumns(
         {"coords": F.coalesce("_exact", "_centre"), "tier": tier}
-    ).drop("_exact", "_exact_key", "_centre", "_centre_key", "_open_zip")
+    ).drop(
+        "_exact", "_exact_key", "_centre", "_centre_key", "_open_zip", "_spelt", "_match", "_asked"
+    )
 
 
 def nearest_zip(

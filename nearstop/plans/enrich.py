@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from nearstop.operators.geocode import coordinates_of, resolve_zips
 from nearstop.operators.match import group_stations
 from nearstop.operators.rentals import with_address, with_zip_group, zip_groups
+from nearstop.operators.spelling import SLIPS
 from nearstop.operators.stations import missing_zip, with_municipal_zip, with_resolved_zip
 from nearstop.sinks.tables import extract_table, write_table
 from nearstop.sources.tables import read_table
@@ -16,14 +17,18 @@ COORDS = "table_rental_location_coords"
 _ADDRESS = ["scoutId", "streetPlain", "houseNumber", "geo_plz", "geo_krs", "geo_bln"]
 
 
-def geocode_rentals(spark: SparkSession, root: str, gazetteer: DataFrame) -> None:
+def geocode_rentals(
+    spark: SparkSession, root: str, gazetteer: DataFrame, slips: int = SLIPS
+) -> None:
     """Store the address and coordinates of the offers with a known street.
 
-    ``gazetteer`` has address_string, lat and lng; the centre of the zip code is the fallback.
+    ``gazetteer`` has address_string, lat and lng. An address that is not there is taken for the
+    most similar one of its zip group that differs in ``slips`` characters at most; the centre of
+    the zip code is the fallback.
     """
     offers = with_address(read_table(spark, "table_rental_location", root).select(*_ADDRESS))
     centres = read_table(spark, "table_mapping_zip_to_coor", root)
-    located = coordinates_of(offers, gazetteer, centres).select(
+    located = coordinates_of(offers, gazetteer, centres, slips=slips).select(
         *_ADDRESS, "address_string",
         F.col("coords.Lat").alias("lat"), F.col("coords.Lng").alias("lng"),
     )
