@@ -15,6 +15,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ SPARE = 8
 FEW = (2, 1)
 #: Signatures that one task sorts, on average, and the bytes of each that are sent.
 SIGNATURES, SENT = 4_000_000, 5
+#: Signatures that a task gathers before it sends them.
+GATHERED = 1_000_000
 #: Least open signatures of a set, by which a pair that shares several is told from a new one.
 LEAST = 8
 #: Numbers of a sketch that a row of the join carries at most, as the row repeats per signature.
@@ -209,52 +212,69 @@ def document_sets(documents: DataFrame) -> DataFrame:
 
 
 def _signature_rows(documents: DataFrame, parts: int) -> DataFrame:
-    """(part, key, signatures): the signatures of each set, by the part of the space they lie in.
+    """(part, batch, keys, counts, found): signatures of sets, by the part of the space they lie in.
 
-    Equal sets of a task are sent once.
+    A task gathers the signatures of many sets and sends one row for each part: the keys of the
+    sets, rising, how many signatures each has there, and these. Equal sets of a task are sent once.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held: list[tuple[int, np.ndarray]] = []
+        waiting, number = 0, TaskContext.get().partitionId() << 32
         for batch in batches:
-            rows: list[tuple[int, int, bytes]] = []
             for text in batch.column("text"):
                 elements = shingle_set(text.as_py())
                 key = set_key(elements)
                 if key is None or key in seen:
                     continue
                 seen.add(key)
-                found = signatures(elements)
-                part = (found % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                found, part = found[order], part[order]
-                # The bits that do not choose the part, in a few bytes.
-                sent = found.view(np.uint8).reshape(-1, 8)[:, 8 - SENT:]
-                cuts = np.flatnonzero(np.diff(part)) + 1
-                starts = np.r_[0, cuts] if len(part) else []
-                for a, b in zip(starts, [*cuts, len(part)], strict=True) if len(part) else ():
-                    rows.append((int(part[a]), key, sent[a:b].tobytes()))
-                if len(rows) > 20_000:
-                    yield _rows(rows)
-                    rows = []
-            if rows:
-                yield _rows(rows)
-
-    def _rows(rows: list[tuple]) -> pa.RecordBatch:
-        part, key, found = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays([
-            pa.array(part, pa.int32()), pa.array(key, pa.int64()), pa.array(found, pa.binary()),
-        ], names=["part", "key", "found"])
-
-    return documents.select("text").mapInArrow(emit, "part int, key long, found binary")
+                held.append((key, signatures(elements)))
+                waiting += len(held[-1][1])
+                if waiting > GATHERED:
+                    yield _rows(held, number)
+                    held, waiting, number = [], 0, number + 1
+        if waiting:
+            yield _rows(held, number)
+
+    def _rows(held: list[tuple[int, np.ndarray]], number: int) -> pa.RecordBatch:
+        held.sort(key=lambda h: h[0])
+        found = np.concatenate([f for _, f in held])
+        owner = np.repeat(np.arange(len(held)), [len(f) for _, f in held])
+        keys = np.array([key for key, _ in held], dtype=np.int64)
+        part = (found % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        part, owner = part[order], owner[order]
+        # The bits that do not choose the part, in a few bytes.
+        sent = found[order].view(np.uint8).reshape(-1, 8)[:, 8 - SENT:]
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        rows = []
+        for a, b in zip(starts, np.r_[starts[1:], len(part)], strict=True):
+            first = np.flatnonzero(np.r_[True, owner[a + 1:b] != owner[a:b - 1]])
+            counts = np.diff(np.r_[first, b - a]).astype(np.uint32)
+            rows.append((
+                int(part[a]), number, keys[owner[a + first]].tobytes(), counts.tobytes(),
+                sent[a:b].tobytes(),
+            ))
+        columns = [pa.array(column, kind) for column, kind in zip(
+            zip(*rows, strict=True),
+            (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True,
+        )]
+        return pa.RecordBatch.from_arrays(
+            columns, names=["part", "batch", "keys", "counts", "found"]
+        )
+
+    return documents.select("text").mapInArrow(
+        emit, "part int, batch long, keys binary, counts binary, found binary"
+    )
 
 
 def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each signature of a part pair its least key with each other key that has it.
+    """For each signature of a part pair its first key with each other key that has it.
 
-    Rows come by rising key, so the first key of a signature is its least. Memory holds the
-    distinct signatures of the part, not the rows of a frequent one. A pair comes with the
-    signatures it was met by.
+    Keys come by batch and rising in it, the same order in every part, so similar sets tend to have
+    one leader. Memory holds the distinct signatures of the part, not the rows of a frequent one.
+    A pair comes with the signatures it was met by.
     """
     known, leaders = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -265,7 +285,7 @@ def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = np.concatenate([k for k, _ in held])
         found = np.concatenate([f for _, f in held])
         held, waiting = [], 0
-        order = np.lexsort((keys, found))
+        order = np.argsort(found, kind="stable")
         keys, found = keys[order], found[order]
         first = np.r_[True, found[1:] != found[:-1]]
         distinct, lead = found[first], keys[first]
@@ -296,13 +316,16 @@ def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        rows = [batch.column("part").to_pylist(), batch.column("key").to_pylist()]
-        for part, key, found in zip(*rows, batch.column("found"), strict=True):
-            sent = np.frombuffer(found.as_py(), dtype=np.uint8).reshape(-1, SENT)
+        columns = [batch.column(c).to_pylist() for c in ("part", "keys", "counts", "found")]
+        for part, keys, counts, found in zip(*columns, strict=True):
+            sent = np.frombuffer(found, dtype=np.uint8).reshape(-1, SENT)
             wide = np.zeros((len(sent), 8), dtype=np.uint8)
             wide[:, :SENT] = sent
             values = wide.view(np.uint64).ravel() + np.uint64(part << 8 * SENT)
-            held.append((np.full(len(values), key, dtype=np.int64), values))
+            owners = np.repeat(
+                np.frombuffer(keys, dtype=np.int64), np.frombuffer(counts, dtype=np.uint32)
+            )
+            held.append((owners, values))
             waiting += len(values)
             if waiting > 500_000:
                 made = settle()
@@ -315,14 +338,14 @@ def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidate_stars(documents: DataFrame, total: int) -> DataFrame:
-    """(leader, member, found): candidate pairs, as a star around the least key of a signature.
+    """(leader, member, found): candidate pairs, as a star around the first key of a signature.
 
     ``total`` is the number of shingles of all documents, to choose the number of parts.
     """
     parts = shards_for(total, SIGNATURES)
     rows = _signature_rows(documents, parts)
-    return rows.repartitionById(parts, "part").sortWithinPartitions("part", "key").select(
-        "part", "key", "found"
+    return rows.repartitionById(parts, "part").sortWithinPartitions("part", "batch").select(
+        "part", "keys", "counts", "found"
     ).mapInArrow(_star_pairs, "leader long, member long, found array<bigint>")
 
 
