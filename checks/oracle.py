@@ -78,6 +78,9 @@ TABLES = {
         FROM with_zip c LEFT JOIN with_zip p
             ON c.Parent = p.DHID AND p.MunicipalityCode <> '00000000'
         WHERE c.MunicipalityCode = '00000000' OR c.MunicipalityCode IS NULL""",
+    "dense_rental": _select(views.DENSE_RENTAL, "customer"),
+    "dense_station": _select(views.DENSE_STATION, "orders"),
+    "dense_centre": _select(views.DENSE_CENTRE, "orders"),
     "near_zip": f"""
         SELECT SeqNo, Q_PLZ, d FROM (
             SELECT s.SeqNo, c.PLZ AS Q_PLZ, {TO_CENTRE} AS d,
@@ -159,6 +162,26 @@ _STATION_CELLS = ", ".join(
 
 ORACLE = {
     "knn_stations": _with(["nearest"], "SELECT scoutId, rank, DHID, Parent, Name FROM nearest"),
+    "knn_stations_dense": _with(
+        ["dense_rental", "dense_station"],
+        f"""
+        SELECT scoutId, rank, DHID FROM (
+            SELECT r.scoutId, s.DHID,
+                   row_number() OVER (PARTITION BY r.scoutId ORDER BY {TO_STATION}, s.DHID) AS rank
+            FROM dense_rental r JOIN dense_station s ON r.zip_group = s.ZIP_Group_Station
+        ) WHERE rank <= 10
+        """,
+    ),
+    "geocode_reverse_dense": _with(
+        ["dense_rental", "dense_centre"],
+        f"""
+        SELECT SeqNo, least.p AS Q_PLZ FROM (
+            SELECT r.scoutId AS SeqNo, min({{'d': {AWAY.format(a="r.lat", b="r.lng", c="c.lat", d="c.lng")},
+                                             'p': c.PLZ}}) AS least
+            FROM dense_rental r, dense_centre c GROUP BY r.scoutId
+        )
+        """,
+    ),
     "nearest_for_one": _with(
         ["nearest"], f"SELECT scoutId, rank, DHID FROM nearest WHERE scoutId = {ONE_OFFER}"
     ),

@@ -60,6 +60,20 @@ def knn_stations(spark, sf):
     return _nearest(spark, sf).select("scoutId", "rank", "DHID", "Parent", "Name")
 
 
+def knn_stations_dense(spark, sf):
+    """Groups beyond the size up to which candidates travel as one row: the grid answers."""
+    found = match.nearest_stations(views.dense_rentals(spark, sf), views.dense_stations(spark, sf))
+    return found.select("scoutId", "rank", "DHID")
+
+
+def geocode_reverse_dense(spark, sf):
+    places = views.dense_rentals(spark, sf).selectExpr(
+        "scoutId AS SeqNo", "lat AS Latitude", "lng AS Longitude"
+    )
+    found = geocode.nearest_zip(places, views.dense_centres(spark, sf))
+    return found.select("SeqNo", "Q_PLZ")
+
+
 def nearest_for_one(spark, sf):
     found = match.nearest_for(_rentals(spark, sf), _stations_final(spark, sf), ONE_OFFER)
     return found.select("scoutId", "rank", "DHID")
@@ -399,6 +413,8 @@ def lookup_retry(spark, sf):
 
 QUERIES = {
     "knn_stations": knn_stations,
+    "knn_stations_dense": knn_stations_dense,
+    "geocode_reverse_dense": geocode_reverse_dense,
     "nearest_for_one": nearest_for_one,
     "rental_station_keys": rental_station_keys,
     "zip_repair": zip_repair,

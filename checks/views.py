@@ -50,6 +50,32 @@ STATION = {
     "Municipality": "CASE WHEN p_partkey % 4 = 0 THEN p_brand ELSE NULL END",
 }
 
+def _crowded(number: str, shift: int) -> dict[str, str]:
+    """Places half of which lie within some 100 metres, in four groups of which one has a half."""
+    return {
+        "lat": f"CASE WHEN {number} % 2 = 0 THEN CAST(5100000 + ({number} * 7919) % 1000 AS DOUBLE) "
+               f"/ 100000 ELSE CAST(47000 + ({number} * 7919 + {shift}) % 8000 AS DOUBLE) / 1000 END",
+        "lng": f"CASE WHEN {number} % 2 = 0 THEN CAST(900000 + ({number} * 104729) % 1000 AS DOUBLE) "
+               f"/ 100000 ELSE CAST(6000 + ({number} * 104729) % 9000 AS DOUBLE) / 1000 END",
+        "zip_group": f"CASE WHEN {number} % 6 < 3 THEN '010' ELSE {text(f'100 + {number} % 3')} END",
+    }
+
+
+# Orders act as stations and zip code centres of dense groups, customers as offers among them.
+DENSE_RENTAL = {"scoutId": "c_custkey", **_crowded("c_custkey", 3)}
+_DENSE = _crowded("o_orderkey", 0)
+DENSE_STATION = {
+    "DHID": f"concat('de:', {text('o_orderkey')})",
+    "Parent": f"concat('de:', {text('o_orderkey - o_orderkey % 4')})",
+    "Name": "o_orderpriority",
+    "Latitude": _DENSE["lat"],
+    "Longitude": _DENSE["lng"],
+    "ZIP_Group_Station": _DENSE["zip_group"],
+}
+DENSE_CENTRE = {
+    "PLZ": f"lpad({text('o_orderkey')}, 10, '0')", "lat": _DENSE["lat"], "lng": _DENSE["lng"],
+}
+
 # The columns of the station file that no step uses.
 STATION_FILE = STATION | {
     "DistrictCode": "CAST(NULL AS VARCHAR(12))",
@@ -158,6 +184,18 @@ def rentals(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     return _view(spark, sf_dir, "customer", RENTAL, heavy)
 
 
+def dense_rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, "customer", DENSE_RENTAL, heavy=True)
+
+
+def dense_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, "orders", DENSE_STATION, heavy=True)
+
+
+def dense_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, "orders", DENSE_CENTRE, heavy=True)
+
+
 def known_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet").where(KNOWN_PLACE)
     return customers.selectExpr(*select_list(RENTAL))

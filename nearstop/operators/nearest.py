@@ -5,13 +5,14 @@ and its number of points. Every query row picks its k nearest from that list, lo
 chunks whose gap to it is at most the distance within which k candidates are certain. No pair of
 points is ever a row, and nothing is shuffled after the join.
 
-Large groups are split by a grid that gets finer level by level. Query places are handled by
-cell, not one by one: a query cell keeps the candidate cells that may hold one of its k nearest,
-by the same rule of gap and certain distance. If those hold few candidates the cell is settled and
-they are the chunks its places pick from; otherwise its child cells go on with the children of
-what it kept. The work grows with the number of query cells that lie close to many candidates,
-whatever share of the rows a single group, cell or place holds, and the result equals a
-comparison of all pairs.
+Large groups are split by a grid that gets finer level by level. Candidates form a tree of cells
+whose leaves hold few of them. Query places are handled by cell, not one by one: a query cell keeps
+the candidate cells that may hold one of its k nearest, by the same rule of gap and certain
+distance. If those are leaves that hold few candidates the cell is settled, and they are the chunks
+its places pick from; otherwise its child cells go on with the leaves and the children of the other
+cells that it kept. The work grows with the number of query cells that lie close to many candidates,
+whatever share of the rows a single group, cell or place holds, and the result equals a comparison
+of all pairs.
 """
 
 from __future__ import annotations
@@ -79,6 +80,7 @@ def nearest_join(
     ).first()
     rest = points
     if measured.large_groups:
+        asked = materialise(asked, "asked")
         large = sizes.where(is_large).select("_group")
         large = _broadcast_if(measured.large_groups * KEY_BYTES, large, limits)
         rest = points.join(large, "_group", "left_anti")
@@ -232,77 +234,116 @@ def _answers_by_grid(asked, points, groups, k, limits) -> DataFrame:
         .withColumns({"_x": grid(F.col("_qlat")), "_y": grid(F.col("_qlng"))}),
         "places",
     )
-    tiles, levels = _settle(points, places, groups, k, limits)
-
-    # Settled cells lie on several levels, so both sides of a join by cell are listed per level.
-    level = F.explode(F.lit(levels)).alias("_level")
-    leaf = ["_group", "_level", "_cx", "_cy"]
-    wanted = tiles.select("_group", "_level", F.inline("_cells"))
-    leaves = (
-        points.select("_group", "_x", "_y", *_POINT, level)
-        .withColumns({"_cx": cell("_x", "_level"), "_cy": cell("_y", "_level")})
-        .join(wanted.distinct(), leaf, "left_semi")
-        .groupBy(*leaf)
-        .agg(
-            F.count("*").alias("_n"), *box("_lat", "_lng"),
-            F.collect_list(F.struct(*_POINT)).alias("_points"),
-        )
-        .select(*leaf, F.struct("_n", *SIDES, "_points").alias("_chunk"))
-    )
-    tile = ["_group", "_level", "_qx", "_qy"]
+    first = _first_level(points)
+    cells, leaves = _tree(points, first, limits)
+    tiles, located = _settle(cells, places, first, groups, k, limits)
     near = (
-        tiles.select(*tile, F.inline("_cells")).join(leaves, leaf)
-        .groupBy(*tile).agg(F.collect_list("_chunk").alias("_chunks"))
+        tiles.select(*_TILE, F.inline("_cells")).join(leaves, _LEAF)
+        .groupBy(*_TILE).agg(F.collect_list("_chunk").alias("_chunks"))
     )
-    located = places.select("_group", "_qlat", "_qlng", "_x", "_y", level).withColumns(
-        {"_qx": cell("_x", "_level"), "_qy": cell("_y", "_level")}
-    )
-    return located.join(near, tile).select("_group", "_qlat", "_qlng", _picked(k).alias("_picks"))
+    return located.join(near, _TILE).select("_group", "_qlat", "_qlng", _picked(k).alias("_picks"))
+
+
+_LEAF = ["_group", "_depth", "_cx", "_cy"]
+_TILE = ["_group", "_level", "_qx", "_qy"]
 
 
-def _settle(points, places, groups, k, limits) -> tuple[DataFrame, list[int]]:
-    """Cover all query places with settled query cells.
+def _cell_of(level: int) -> dict[str, Column]:
+    return {"_cx": cell("_x", level), "_cy": cell("_y", level)}
 
-    Returns these cells with the candidate cells they kept, and the levels they lie on.
+
+def _tree(points: DataFrame, first: int, limits: Limits) -> tuple[list[DataFrame], DataFrame]:
+    """The candidates as a tree of cells whose leaves hold few of them.
+
+    A cell with more than ``limits.settled`` candidates is divided, any other is a leaf. Returns the
+    cells of each level (group, place, number, box, whether they are leaves) and the leaves with
+    their candidates. Each candidate is in one leaf, and only cells known to be leaves are gathered.
     """
-    settled, levels = [], []
-    first = _first_level(points)
+    levels, leaves, crowd = [], [], None
+    for level in range(first, MAX_LEVEL + 1):
+        at_level = points.withColumns(_cell_of(level))
+        if crowd is not None:
+            # Only what lies in a divided cell of the level above goes on.
+            above = crowd.withColumnsRenamed({"_cx": "_px", "_cy": "_py"})
+            at_level = at_level.withColumns({"_px": parent_cell("_cx"), "_py": parent_cell("_cy")})
+            at_level = at_level.join(
+                _broadcast_if(crowds * KEY_BYTES, above, limits), ["_group", "_px", "_py"],
+                "left_semi",
+            ).drop("_px", "_py")
+        is_leaf = (F.col("_n") <= limits.settled) | F.lit(level == MAX_LEVEL)
+        counted = materialise(at_level.groupBy("_group", "_cx", "_cy").agg(
+            F.count("*").alias("_n"), *box("_lat", "_lng")
+        ).withColumn("_leaf", is_leaf).withColumn("_depth", F.lit(level)), "cells")
+        levels.append(counted)
+        found = counted.agg(
+            F.count_if(~F.col("_leaf")).alias("crowds"), F.count_if("_leaf").alias("leaves")
+        ).first()
+        crowds = found["crowds"]
+        if found["leaves"]:
+            # Points of divided cells are left out before anything is gathered.
+            few = at_level
+            if crowds:
+                divided = counted.where("NOT _leaf").select("_group", "_cx", "_cy")
+                few = at_level.join(
+                    _broadcast_if(crowds * KEY_BYTES, divided, limits),
+                    ["_group", "_cx", "_cy"], "left_anti",
+                )
+            gathered = few.groupBy("_group", "_cx", "_cy").agg(
+                F.count("*").alias("_n"), *box("_lat", "_lng"),
+                F.collect_list(F.struct(*_POINT)).alias("_points"),
+            )
+            leaves.append(materialise(gathered.select(
+                "_group", F.lit(level).alias("_depth"), "_cx", "_cy",
+                F.struct("_n", *SIDES, "_points").alias("_chunk"),
+            ), "leaves"))
+        if not crowds:
+            break
+        crowd = counted.where("NOT _leaf").select("_group", "_cx", "_cy")
+    return levels, reduce(DataFrame.unionByName, leaves)
+
+
+def _settle(cells, places, first, groups, k, limits) -> tuple[DataFrame, DataFrame]:
+    """Cover all query places with settled query cells, all of whose candidate cells are leaves.
+
+    Returns these cells with the leaves they kept, and the places with the cell each lies in.
+    """
+    settled, located = [], []
     offered = _broadcast_if(
-        groups * FIRST_CELLS * KEY_BYTES, _first_offer(_cells(points, first)), limits
+        groups * FIRST_CELLS * KEY_BYTES, _first_offer(cells[0]), limits
     )
-    open_points, open_places = points, places
+    open_places = places
     for level in range(first, MAX_LEVEL + 1):
+        at_level = open_places.withColumns({"_qx": cell("_x", level), "_qy": cell("_y", level)})
         if level > first:
-            offered = _offer(unsettled, _cells(open_points, level))
-        kept = materialise(_keep(offered, _tiles(open_places, level), k), "kept")
-        is_open = (F.col("_total") > limits.settled) & F.lit(level < MAX_LEVEL)
-        unsettled = kept.where(is_open)
-        left = kept.agg(
-            F.count_if(~is_open).alias("settled"), F.count_if(is_open).alias("tiles"),
-            F.coalesce(F.sum(F.when(is_open, F.size("_cells"))), F.lit(0)).alias("cells"),
+            offered = _offer(unsettled, cells[level - first] if level - first < len(cells) else None)
+            # Places in settled cells are done; the others are met by the cell above.
+            above = unsettled.select(
+                "_group", F.col("_qx").alias("_ox"), F.col("_qy").alias("_oy")
+            )
+            at_level = at_level.withColumns({"_ox": parent_cell("_qx"), "_oy": parent_cell("_qy")})
+            at_level = at_level.join(
+                _broadcast_if(tiles * KEY_BYTES, above, limits), ["_group", "_ox", "_oy"],
+                "left_semi",
+            ).drop("_ox", "_oy")
+        kept = materialise(_keep(offered, _tiles(at_level), k), "kept")
+        # What is open only because it kept many leaves gets smaller boxes, unless it is one place.
+        many = (F.col("_total") > limits.settled) & ~F.col("_spot")
+        is_open = (F.exists("_cells", lambda c: ~c["_leaf"]) | many) & F.lit(level < MAX_LEVEL)
+        found = kept.agg(
+            F.count_if(~is_open).alias("settled"), F.count_if(is_open).alias("tiles")
         ).first()
-        if left.settled or not (left.tiles or settled):
-            levels.append(level)
-            settled.append(kept.where(~is_open).withColumn("_level", F.lit(level)))
-        if not left.tiles:
+        tiles = found["tiles"]
+        done = kept.where(~is_open).withColumn("_level", F.lit(level))
+        if found["settled"] or not (tiles or settled):
+            settled.append(done)
+            located.append(materialise(at_level.withColumn("_level", F.lit(level)).join(
+                _broadcast_if(found["settled"] * KEY_BYTES, done.select(*_TILE), limits), _TILE,
+                "left_semi",
+            ).select(*_TILE, "_qlat", "_qlng"), "located"))
+        if not tiles:
             break
-        # While many cells are open, counting all points costs less than looking for the open ones.
-        open_places, open_points = places, points
-        if left.tiles * KEY_BYTES <= limits.broadcast_bytes:
-            open_places = _inside(places, unsettled.select("_group", "_qx", "_qy"), level)
-        if left.cells * KEY_BYTES <= limits.broadcast_bytes:
-            open_cells = unsettled.select("_group", F.inline("_cells")).distinct()
-            open_points = _inside(points, open_cells, level)
-    return reduce(DataFrame.unionByName, settled), levels
-
-
-def _inside(points: DataFrame, cells: DataFrame, level: int) -> DataFrame:
-    """The points in any of a broadcast list of cells (group, x and y) at ``level``."""
-    cells = cells.toDF("_group", "_inx", "_iny")
-    marked = points.withColumns({"_inx": cell("_x", level), "_iny": cell("_y", level)})
-    return marked.join(
-        F.broadcast(cells), ["_group", "_inx", "_iny"], "left_semi"
-    ).drop("_inx", "_iny")
+        unsettled = kept.where(is_open)
+    return reduce(DataFrame.unionByName, settled), reduce(DataFrame.unionByName, located)
 
 
 def _first_level(points: DataFrame) -> int:
@@ -315,21 +356,12 @@ def _first_level(points: DataFrame) -> int:
     return max(fine, default=0)
 
 
-def _cells(points: DataFrame, level: int) -> DataFrame:
-    """Candidate cells at ``level`` with the number of candidates and their box."""
-    return points.groupBy(
-        "_group", cell("_x", level).alias("_cx"), cell("_y", level).alias("_cy")
-    ).agg(F.count("*").alias("_n"), *box("_lat", "_lng"))
-
+def _tiles(places: DataFrame) -> DataFrame:
+    """Query cells with the box of their query places."""
+    return places.groupBy("_group", "_qx", "_qy").agg(*box("_qlat", "_qlng"))
 
-def _tiles(places: DataFrame, level: int) -> DataFrame:
-    """Query cells at ``level`` with the box of their query places."""
-    return places.groupBy(
-        "_group", cell("_x", level).alias("_qx"), cell("_y", level).alias("_qy")
-    ).agg(*box("_qlat", "_qlng"))
 
-
-_CELL = ["_cx", "_cy", "_n", *SIDES]
+_CELL = ["_depth", "_cx", "_cy", "_n", "_leaf", *SIDES]
 
 
 def _first_offer(cells: DataFrame) -> DataFrame:
@@ -337,18 +369,22 @@ def _first_offer(cells: DataFrame) -> DataFrame:
     return cells.groupBy("_group").agg(F.collect_list(F.struct(*_CELL)).alias("_cells"))
 
 
-def _offer(kept: DataFrame, cells: DataFrame) -> DataFrame:
-    """The candidate cells each query cell hands down: the children of those it kept."""
-    children = cells.groupBy(
-        "_group", parent_cell("_cx").alias("_px"), parent_cell("_cy").alias("_py")
-    ).agg(F.collect_list(F.struct(*_CELL)).alias("_children"))
-    parents = kept.select(
-        "_group", F.col("_qx").alias("_ox"), F.col("_qy").alias("_oy"), F.inline("_cells")
-    ).withColumnsRenamed({"_cx": "_px", "_cy": "_py"})
-    return (
-        parents.join(children, ["_group", "_px", "_py"])
-        .groupBy("_group", "_ox", "_oy")
-        .agg(F.flatten(F.collect_list("_children")).alias("_cells"))
+def _offer(kept: DataFrame, cells: DataFrame | None) -> DataFrame:
+    """The candidate cells each query cell hands down: its leaves and the children of the others."""
+    tile = ["_group", F.col("_qx").alias("_ox"), F.col("_qy").alias("_oy")]
+    handed = kept.select(*tile, F.filter("_cells", lambda c: c["_leaf"]).alias("_cells"))
+    if cells is not None:
+        children = cells.groupBy(
+            "_group", parent_cell("_cx").alias("_px"), parent_cell("_cy").alias("_py")
+        ).agg(F.collect_list(F.struct(*_CELL)).alias("_children"))
+        divided = kept.select(
+            *tile, F.explode(F.filter("_cells", lambda c: ~c["_leaf"])).alias("_cell")
+        ).select("_group", "_ox", "_oy", F.col("_cell._cx").alias("_px"), F.col("_cell._cy").alias("_py"))
+        handed = handed.unionByName(divided.join(children, ["_group", "_px", "_py"]).select(
+            "_group", "_ox", "_oy", F.col("_children").alias("_cells")
+        ))
+    return handed.groupBy("_group", "_ox", "_oy").agg(
+        F.flatten(F.collect_list("_cells")).alias("_cells")
     )
 
 
@@ -360,9 +396,11 @@ def _keep(offered: DataFrame, tiles: DataFrame, k: int) -> DataFrame:
     else:
         paired = tiles.join(offered, "_group")
     own = {side: F.col(side) for side in SIDES}
-    close = paired.select("_group", "_qx", "_qy", _in_reach("_cells", own, k).alias("_close"))
+    spot = (own["_south"] == own["_north"]) & (own["_west"] == own["_east"])
+    close = paired.select(
+        "_group", "_qx", "_qy", spot.alias("_spot"), _in_reach("_cells", own, k).alias("_close")
+    )
     return close.select(
-        "_group", "_qx", "_qy",
-        F.transform("_close", lambda c: F.struct(c["_cx"], c["_cy"])).alias("_cells"),
+        "_group", "_qx", "_qy", "_spot", F.col("_close").alias("_cells"),
         F.aggregate("_close", F.lit(0).cast("long"), lambda n, c: n + c["_n"]).alias("_total"),
     )

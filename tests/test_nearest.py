@@ -7,7 +7,12 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from nearstop.operators.nearest import Limits, _candidate_points, nearest_join
+from pyspark.sql import functions as F
+
+from nearstop.functions.geo import grid
+from nearstop.operators.nearest import (
+    Limits, _candidate_points, _first_level, _tree, nearest_join,
+)
 
 QUERY = "id string, g string, lat double, lng double"
 CANDIDATE = "pid string, g string, lat double, lng double"
@@ -139,3 +144,19 @@ def test_no_pair_rows(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     above_join = plan[:plan.index("HashJoin")]
     assert "Exchange" not in above_join and "Window" not in above_join
+
+
+def test_each_candidate_is_in_one_small_leaf(spark):
+    rows = cloud(11, 3000, "p", hot=0.7, tight=0.0005)
+    points = _candidate_points(
+        spark.createDataFrame(rows, CANDIDATE), len(rows), ["pid"], "g", ("lat", "lng")
+    ).withColumns({"_x": grid(F.col("_lat")), "_y": grid(F.col("_lng"))})
+    levels, leaves = _tree(points, _first_level(points), SPLIT)
+    found = leaves.selectExpr("_depth", "_chunk._n AS n", "explode(_chunk._points._match.pid) AS pid")
+    found = found.collect()
+    assert sorted(r.pid for r in found) == sorted(r[0] for r in rows)
+    assert max(r.n for r in found) <= SPLIT.settled and len({r._depth for r in found}) > 2
+    # The cells of a level are what lies in divided cells of the level above, however crowded.
+    sizes = [level.groupBy().agg(F.sum("_n")).first()[0] for level in levels]
+    divided = [level.where("NOT _leaf").groupBy().agg(F.sum("_n")).first()[0] for level in levels]
+    assert sizes[0] == len(rows) and sizes[1:] == divided[:-1] and divided[-1] is None
