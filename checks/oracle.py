@@ -354,4 +354,12 @@ ORACLE = {
         WHERE n IS NOT NULL
         """,
     ),
+    "lookup_stored": _with(
+        ["station"],
+        """
+        SELECT SeqNo, CASE WHEN n % 3 = 0 THEN 'later ' ELSE '' END || CAST(n AS VARCHAR) AS Q_PLZ
+        FROM (SELECT SeqNo, CAST(floor(Latitude) AS INTEGER) * 1000
+                     + CAST(floor(Longitude) AS INTEGER) AS n FROM station)
+        """,
+    ),
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import views
 from nearstop.functions.text import zip_group
 from nearstop.operators import geocode, match, quality, rentals, split, stations
-from nearstop.operators.lookup import call_lookup
+from nearstop.operators.lookup import ERROR, call_lookup, stored_lookup
 from nearstop.operators.spelling import SLIPS
 from nearstop.schemas import (
     RENTAL_FEATURE,
@@ -411,6 +411,31 @@ def lookup_retry(spark, sf):
     ])
 
 
+def lookup_stored(spark, sf):
+    """Two runs share their answers: the second one asks for the keys that failed in the first."""
+    def whole(keys: pd.DataFrame) -> pd.Series:
+        return keys["Latitude"].astype(int) * 1000 + keys["Longitude"].astype(int)
+
+    def first(keys: pd.DataFrame) -> pd.DataFrame:
+        number = whole(keys)
+        fails = number % 3 == 0
+        return pd.DataFrame({
+            "Q_PLZ": number.astype(str).where(~fails, None),
+            ERROR: fails.map({True: "no answer", False: None}),
+        })
+
+    def second(keys: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"Q_PLZ": "later " + whole(keys).astype(str)})
+
+    located = _stations(spark, sf).select("SeqNo", "Latitude", "Longitude")
+    keys, root = ["Latitude", "Longitude"], scratch_path(spark, "answers")
+    for service in (first, second):
+        found = stored_lookup(
+            located, keys, service, "Q_PLZ string", "SeqNo", root, "answers", pieces=2
+        )
+    return found.select("SeqNo", "Q_PLZ")
+
+
 QUERIES = {
     "knn_stations": knn_stations,
     "knn_stations_dense": knn_stations_dense,
@@ -456,4 +481,5 @@ QUERIES = {
     "lookup_hook_forward": lookup_hook_forward,
     "lookup_hook_reverse": lookup_hook_reverse,
     "lookup_retry": lookup_retry,
+    "lookup_stored": lookup_stored,
 }

@@ -14,6 +14,9 @@ from nearstop.operators.lookup import lookup_join, one_per_key
 from nearstop.operators.nearest import Limits, nearest_join
 from nearstop.operators.spelling import best_spellings
 from nearstop.scratch import materialise
+from nearstop.sinks.tables import write_table
+from nearstop.sources.files import SourceNotFound
+from nearstop.sources.tables import read_table
 
 
 def nearest_addresses(addresses: DataFrame, gazetteer: DataFrame, slips: int) -> DataFrame:
@@ -105,16 +108,31 @@ def resolve_residual(
     keys: list[str],
     result: str,
     attempts: list[Callable[[DataFrame], DataFrame]],
+    state: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Try ``attempts`` in turn, each on the rows the earlier ones left open.
 
     An attempt takes rows and returns them with column ``result``, null or blank where it found
     nothing. Returns one row per key with ``result`` and the number of the attempt, for resolved
     rows only. Attempts end early once nothing is open.
+
+    ``state`` (root, name) keeps what each attempt returned as table ``name``_1, ``name``_2 and so
+    on below root. A call that finds the table of an attempt there reads it and does not try again,
+    so work that broke off goes on where it ended; take another name for other rows.
     """
+    def tried_by(number: int, attempt, residual: DataFrame) -> DataFrame:
+        if state is None:
+            return materialise(attempt(residual), "attempt")
+        root, name = state[0], f"{state[1]}_{number}"
+        try:
+            return read_table(rows.sparkSession, name, root)
+        except SourceNotFound:
+            write_table(attempt(residual), name, root)
+            return read_table(rows.sparkSession, name, root)
+
     resolved, residual = [], rows
     for number, attempt in enumerate(attempts, 1):
-        tried = materialise(attempt(residual), "attempt")
+        tried = tried_by(number, attempt, residual)
         is_open = F.col(result).isNull() | (F.col(result) == "")
         resolved.append(
             tried.where(~is_open).select(*keys, result, F.lit(number).alias("attempt"))

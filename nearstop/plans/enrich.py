@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearstop.operators.geocode import coordinates_of, resolve_zips
+from nearstop.operators.geocode import coordinates_of, resolve_residual, resolve_zips
+from nearstop.operators.lookup import stored_answers, stored_lookup
 from nearstop.operators.match import group_stations
 from nearstop.operators.rentals import with_address, with_zip_group, zip_groups
 from nearstop.operators.spelling import SLIPS
@@ -14,20 +18,37 @@ from nearstop.sinks.tables import extract_table, write_table
 from nearstop.sources.tables import read_table
 
 COORDS = "table_rental_location_coords"
+ADDRESS_ANSWERS, ZIP_ANSWERS = "table_answers_addresses", "table_answers_zips"
+#: Answers a frame of keys with a frame of results.
+Service = Callable[[pd.DataFrame], pd.DataFrame]
 _ADDRESS = ["scoutId", "streetPlain", "houseNumber", "geo_plz", "geo_krs", "geo_bln"]
 
 
 def geocode_rentals(
-    spark: SparkSession, root: str, gazetteer: DataFrame, slips: int = SLIPS
+    spark: SparkSession, root: str, gazetteer: DataFrame, slips: int = SLIPS,
+    service: Service | None = None, parallelism: int | None = None,
 ) -> None:
     """Store the address and coordinates of the offers with a known street.
 
-    ``gazetteer`` has address_string, lat and lng. An address that is not there is taken for the
-    most similar one of its zip group that differs in ``slips`` characters at most; the centre of
-    the zip code is the fallback.
+    ``gazetteer`` has address_string, lat and lng. ``service`` is asked for addresses that are not
+    there: it gets frames of address_string and returns lat and lng, see ``ask``; its answers are
+    kept, and later runs ask for new and failed addresses only. An address still open is taken for
+    the most similar known one of its zip group that differs in ``slips`` characters at most; the
+    centre of the zip code is the fallback.
     """
     offers = with_address(read_table(spark, "table_rental_location", root).select(*_ADDRESS))
     centres = read_table(spark, "table_mapping_zip_to_coor", root)
+    if service is not None:
+        asked = offers.select("address_string").join(
+            gazetteer.select("address_string"), "address_string", "left_anti"
+        )
+        answers = stored_answers(
+            asked, ["address_string"], service, "lat double, lng double", root, ADDRESS_ANSWERS,
+            parallelism,
+        )
+        gazetteer = gazetteer.select("address_string", "lat", "lng").unionByName(
+            answers.select("address_string", "lat", "lng")
+        )
     located = coordinates_of(offers, gazetteer, centres, slips=slips).select(
         *_ADDRESS, "address_string",
         F.col("coords.Lat").alias("lat"), F.col("coords.Lng").alias("lng"),
@@ -45,10 +66,15 @@ def load_rental_coordinates(
     return with_zip_group(offers)
 
 
-def add_zipcode_to_stations(spark: SparkSession, root: str) -> None:
+def add_zipcode_to_stations(
+    spark: SparkSession, root: str, service: Service | None = None,
+    parallelism: int | None = None,
+) -> None:
     """Store the stations with zip code and zip group.
 
-    The zip code comes from the municipality, else from the nearest zip code centre.
+    The zip code comes from the municipality, else from ``service`` if there is one, else from the
+    nearest zip code centre. The service gets frames of Latitude and Longitude and returns Q_PLZ,
+    see ``ask``; its answers are kept, and later runs ask for new and failed places only.
     """
     stations = with_municipal_zip(
         read_table(spark, "table_stations", root),
@@ -57,7 +83,16 @@ def add_zipcode_to_stations(spark: SparkSession, root: str) -> None:
     extract_table(stations, stations.columns, "table_stations_with_zip", root)
     stored = read_table(spark, "table_stations_with_zip", root)
     centres = read_table(spark, "table_mapping_zip_to_coor", root)
-    final = with_resolved_zip(stored, resolve_zips(missing_zip(stored), centres))
+    attempts = [lambda rows: rows.join(
+        resolve_zips(rows, centres).select("SeqNo", "Q_PLZ"), "SeqNo", "left"
+    )]
+    if service is not None:
+        attempts.insert(0, lambda rows: stored_lookup(
+            rows, ["Latitude", "Longitude"], service, "Q_PLZ string", "SeqNo", root, ZIP_ANSWERS,
+            parallelism,
+        ))
+    resolved = resolve_residual(missing_zip(stored), ["SeqNo"], "Q_PLZ", attempts)
+    final = with_resolved_zip(stored, resolved)
     extract_table(final, final.columns, "table_stations_with_zip_final", root)
 
 
