@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 
 from nearstop.functions.text import null_token_to_null
 from nearstop.schemas import RENTAL_DROPPED, require_columns, require_same_columns, schema
+from nearstop.sources.records import read_records
 
 
 class SourceNotFound(FileNotFoundError):
@@ -28,27 +31,41 @@ def read_rentals(spark: SparkSession, path: str) -> DataFrame:
     """Rental offers from comma-separated files with a header and quoted multi-line texts.
 
     Cells are read as text by header name; null tokens become null, and so does a cell that does
-    not read as the type of its column. A quoted text may hold line breaks, so a file is the unit
-    of reading: deliver large inputs as a folder of files. All files need the same header; one
-    with another order of columns raises.
+    not read as the type of its column. A quoted text may hold line breaks; quotes in it are
+    doubled, and there are none outside of quoted texts. A file is read by many tasks, see
+    ``read_records``. All files need the same header; one with another order of columns raises.
     """
-    raw = _load(
-        spark.read.format("csv").option("header", True).option("multiLine", True)
-        .option("quote", '"').option("escape", '"').option("enforceSchema", False),
-        path,
+    csv = {"quote": '"', "escape": '"'}
+    # Only the header of the first file is read here.
+    head = _load(
+        spark.read.format("csv").options(header=True, multiLine=True, **csv), path
     )
-    require_columns(raw, RENTAL_DROPPED)
-    raw = raw.drop(*RENTAL_DROPPED)
+    require_columns(head, RENTAL_DROPPED)
+    names = head.columns
     expected = schema("RENTAL")
-    require_same_columns(raw, expected)
+    require_same_columns(head.drop(*RENTAL_DROPPED), expected)
+    lines = _load(spark.read.format("text").option("lineSep", "\n"), path)
+    cells = T.StructType([T.StructField(f"_{n}", T.StringType()) for n in range(len(names))])
+    records = read_records(lines).select("is_first", "file", F.from_csv(
+        # The first record may begin with a byte order mark.
+        F.when(F.col("is_first"), F.ltrim(F.col("text"), F.lit("\ufeff"))).otherwise(F.col("text")),
+        cells.simpleString()[len("struct<"):-1].replace(":", " "), csv,
+    ).alias("_row"))
+    same = reduce(lambda a, b: a & b, [
+        F.lower(F.col(f"_row._{n}")).eqNullSafe(F.lit(name.lower())) for n, name in enumerate(names)
+    ])
+    other = F.raise_error(F.concat(F.lit("another header than the first file: "), F.col("file")))
+    rows = records.where(F.when(
+        F.col("is_first"), F.when(same, F.lit(False)).otherwise(other.cast("boolean"))
+    ).otherwise(F.lit(True)))
 
     def typed(field: T.StructField):
-        text = null_token_to_null(F.col(field.name))
+        text = null_token_to_null(F.col(f"_row._{names.index(field.name)}"))
         if field.dataType == T.StringType():
             return text.alias(field.name)
         return F.trim(text).try_cast(field.dataType).alias(field.name)
 
-    return raw.select(*[typed(field) for field in expected.fields])
+    return rows.select(*[typed(field) for field in expected.fields])
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
