@@ -32,10 +32,10 @@ THIRDS = 3
 SPARE = 8
 #: Signatures with fewer elements than this are left out; if too many parts have one, the next.
 FEW = (2, 1)
-#: Signatures that one task sorts, on average, and the bytes of each that are sent.
-SIGNATURES, SENT = 4_000_000, 5
+#: Shingles for each part of the space, on average, and the bytes of a signature that are sent.
+SIGNATURES, SENT = 2_000_000, 5
 #: Signatures that a task gathers before it sends them.
-GATHERED = 1_000_000
+GATHERED = 400_000
 #: Least open signatures of a set, by which a pair that shares several is told from a new one.
 LEAST = 8
 #: Numbers of a sketch that a row of the join carries at most, as the row repeats per signature.
@@ -316,8 +316,9 @@ def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("part", "keys", "counts", "found")]
-        for part, keys, counts, found in zip(*columns, strict=True):
+        columns = [batch.column(c) for c in ("keys", "counts", "found")]
+        for n, part in enumerate(batch.column("part").to_pylist()):
+            keys, counts, found = (column[n].as_buffer() for column in columns)
             sent = np.frombuffer(found, dtype=np.uint8).reshape(-1, SENT)
             wide = np.zeros((len(sent), 8), dtype=np.uint8)
             wide[:, :SENT] = sent
