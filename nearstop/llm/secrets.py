@@ -20,7 +20,7 @@ from nearstop.scratch import materialise
 RUN = r"[A-Za-z0-9+/_-]"
 LONG = rf"(?=[+/_-]*+[A-Za-z0-9]){RUN}{{16,}}+(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
 SECRET_NAME = (
-    r"(?i:token|secret|api[_-]?key|access[_-]?key|passw(?:or)?d|pwd|auth(?!or(?!i[sz]))|credential"
+    r"(?i:token|secret|(?:api|access|private)[_-]?key|passw(?:or)?d|pwd|auth(?!or(?!i[sz]))|credential"
     r"|bearer)"
 )
 SCHEME = r"(?:(?i:bearer|basic)[ \t]+)?+"
@@ -28,12 +28,15 @@ SCHEME = r"(?:(?i:bearer|basic)[ \t]+)?+"
 LEAD = (
     rf"{RUN}*{SECRET_NAME}[\w-]*+[\"'`\])]*+[ \t]*+(?::=|={{1,3}}>?|:)[ \t]*+[\"'`]?+{SCHEME}"
 )
-#: A quoted value ends with its quote, another one at a space, the next parameter or a tag.
+#: What ends no value: a mark after it belongs to the text around.
+MARKS = r",;.:!?)\]}\"'`"
+#: A quoted value ends with its quote, another one at a space, the next parameter or a tag. All
+#: repetitions are possessive, so neither the length of a value nor its escapes are bounded.
 VALUE = "(?:" + "|".join(
-    rf"(?<={q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+){{0,99}}+(?<!{q})" for q in "\"'`"
+    rf"(?<={q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+)*+(?<!{q})" for q in "\"'`"
 ) + (
-    r"|(?<![\"'`])[^\s&<=\"'`][^\s&<]*(?:(?:&(?![\w.%-]+=)|<(?!/?[A-Za-z][\w-]*[\s/>]))[^\s&<]*){0,99}"
-    r"(?<![,;.:!?)\]}\"'`]))"
+    rf"|(?<![\"'`])(?=[^\s&<=\"'`])(?:[{MARKS}]*+"
+    rf"(?:[^\s&<{MARKS}]++|&(?![\w.%-]+=)|<(?!/?[A-Za-z][\w-]*[\s/>])))++)"
 )
 #: Any value assigned to a name of secrets, else a run of 16 or more characters.
 CANDIDATE = rf"(?<!{RUN})(?:{LEAD}{VALUE}|{LONG})"
@@ -115,10 +118,10 @@ def find_candidates(documents: DataFrame, path: str) -> DataFrame:
 
 
 def corpus_words(documents: DataFrame) -> DataFrame:
-    """All lower-case runs of letters and digits of all texts with their number of uses."""
+    """All lower-case runs of two or more letters and digits of all texts with their uses."""
     parts = F.split(F.lower(F.col("text")), "[^a-z0-9]+")
     return documents.select(F.explode(parts).alias("word")).where(
-        F.length("word").between(2, 64)
+        F.length("word") >= 2
     ).groupBy("word").agg(F.count(F.lit(1)).alias("uses"))
 
 
@@ -276,9 +279,9 @@ def scan_secrets(
     is a path of its own; rows that share an id are scanned one by one. An empty table gives an
     empty result. All words of all documents make up the dictionary.
     """
-    findings = materialise(find_candidates(documents, path), "candidates").withColumn(
+    findings = materialise(find_candidates(documents, path).withColumn(
         "_nr", F.monotonically_increasing_id()
-    )
+    ), "candidates")
     words = materialise(corpus_words(documents), "words")
     rows = materialise(with_features(findings, words), "features")
     if labelled is None:
@@ -293,37 +296,59 @@ def scan_secrets(
     )
 
 
+def _masked(text: Column, found: Column) -> Column:
+    """The text with the found places masked; places that overlap get one mask.
+
+    The pieces between the places are cut out of the text once each.
+    """
+    def step(seen: Column, place: Column) -> Column:
+        end = (place.start + F.length(place.token)).cast("int")
+        piece = F.substring(text, seen.end + 1, place.start.cast("int") - seen.end)
+        return F.struct(
+            F.greatest(seen.end, end).alias("end"),
+            F.when(place.start >= seen.end, F.concat(seen.pieces, F.array(piece)))
+            .otherwise(seen.pieces).alias("pieces"),
+        )
+
+    # Another row of the same id may have another text.
+    here = F.filter(found, lambda p: F.substring(
+        text, p.start.cast("int") + 1, F.length(p.token)
+    ) == p.token)
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("pieces"))
+    return F.aggregate(here, start, step, lambda seen: F.array_join(F.concat(
+        seen.pieces, F.array(F.substring(text, seen.end + 1, F.length(text)))
+    ), MASK))
+
+
 def redact_secrets(documents: DataFrame, findings: DataFrame) -> DataFrame:
     """The documents with every confirmed secret replaced by a mask; n_chars follows the text.
 
-    A secret of ``LEAST_EVERYWHERE`` characters goes wherever it stands in its document.
+    A secret of ``LEAST_EVERYWHERE`` characters goes wherever it stands in its document. All columns
+    of the documents come back, whatever their names.
     """
     secrets = findings.where("is_secret").groupBy(F.col("doc_id").alias("_id")).agg(
-        F.sort_array(F.collect_set(F.struct("start", "token")), asc=False).alias("_found")
+        F.sort_array(F.collect_set(F.struct("start", "token"))).alias("_found")
     )
     secrets = materialise(secrets, "secrets")
-    joined = documents.join(secrets, documents["doc_id"].eqNullSafe(secrets["_id"]), "left")
-
-    def at_place(text: Column, found: Column) -> Column:
-        start, end = found.start.cast("int"), (found.start + F.length(found.token)).cast("int")
-        here = F.substring(text, start + 1, F.length(found.token)) == found.token
-        return F.when(here, F.concat(
-            F.substring(text, F.lit(1), start), F.lit(MASK),
-            F.substring(text, end + 1, F.length(text)),
-        )).otherwise(text)
-
-    # From the last place on, so that places stay; a short value is masked at its place only.
-    placed = F.aggregate("_found", F.col("text"), at_place)
+    # The document travels as one column, so no name of its columns can clash.
+    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_doc"))
+    joined = whole.join(secrets, F.col("_doc.doc_id").eqNullSafe(F.col("_id")), "left")
     long = F.array_sort(F.array_distinct(F.filter(
         F.col("_found.token"), lambda t: F.length(t) >= LEAST_EVERYWHERE
     )), lambda a, b: F.length(b) - F.length(a))
-    clean = F.when(F.col("_found").isNull(), F.col("text")).otherwise(F.aggregate(
-        long, placed, lambda text, token: F.replace(text, token, F.lit(MASK))
+    # A text is only written anew for secrets that it still holds.
+    clean = F.aggregate(long, _masked(F.col("_doc.text"), F.col("_found")), lambda text, token: (
+        F.when(F.contains(text, token), F.replace(text, token, F.lit(MASK))).otherwise(text)
     ))
-    rows = joined.withColumn("text", clean)
+    rows = joined.withColumn(
+        "_text", F.when(F.col("_found").isNull(), F.col("_doc.text")).otherwise(clean)
+    )
+    changed = {"text": F.col("_text")}
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(
-            F.col("_found").isNull(), F.col("n_chars")
-        ).otherwise(F.length("text").cast(kind)))
-    return rows.select(*[F.col(f"`{c}`") for c in documents.columns])
+        changed["n_chars"] = F.when(
+            F.col("_found").isNull(), F.col("_doc.n_chars")
+        ).otherwise(F.length("_text").cast(kind))
+    return rows.select(*[
+        changed.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in documents.columns
+    ])

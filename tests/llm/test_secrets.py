@@ -72,3 +72,43 @@ def test_named_values_are_no_false_positives(spark):
     assert {r.doc_id: r.label for r in rows.collect()} == {
         0: None, 1: None, 2: 0.0, 3: 0.0, 4: 0.0, 5: 0.0, 6: 1.0, 7: None, 8: 1.0,
     }
+
+
+def test_long_values_go_whole(spark):
+    escaped = "".join(f"line{n}\\n" for n in range(3000))
+    pairs = "a&b<1" * 4000
+    texts = [f'private_key = "{escaped}end" after', f"token={pairs}, then", "pwd=" + "x.y," * 5000 + "z!"]
+    docs = _docs(spark, texts).withColumns({
+        "_id": F.lit(1), "_found": F.lit("f"), "_words": F.lit(2), "_x": F.lit(None), "_doc": F.lit(3),
+        "_text": F.lit("t"), "toxic": F.lit("no"),
+    })
+    found = secrets.find_candidates(docs, "source").withColumn("is_secret", F.lit(True))
+    rows = secrets.redact_secrets(docs, found).orderBy("doc_id")
+    assert rows.columns == docs.columns
+    assert [r.text for r in rows.collect()] == [
+        'private_key = "[SECRET]" after', "token=[SECRET], then", "pwd=[SECRET]!",
+    ]
+    assert {tuple(r)[4:] for r in rows.collect()} == {(1, "f", 2, None, 3, "t", "no")}
+
+
+def test_overlapping_places_get_one_mask(spark):
+    docs = spark.createDataFrame([(1, "üab1234cd ab12"), (1, "other")], "doc_id long, text string")
+    found = spark.createDataFrame(
+        [(1, 1, "ab12"), (1, 3, "1234c"), (1, 10, "ab12"), (1, 40, "none")],
+        "doc_id long, start long, token string",
+    ).withColumn("is_secret", F.lit(True))
+    rows = secrets.redact_secrets(docs, found).collect()
+    assert sorted(r.text for r in rows) == ["other", "ü[SECRET]d [SECRET]"]
+
+
+def test_given_labels_train_the_forest(spark):
+    # Labels that no rule of the scan would give: keys with a q are secrets.
+    texts = [
+        f"key {'q' * (n % 2)}{n * 7919 % 997:03}abcdef{n:04}ABCDEF tail" for n in range(400)
+    ]
+    docs = _docs(spark, texts)
+    found = secrets.find_candidates(docs, "source").select("doc_id", "start")
+    labelled = found.where("doc_id < 300").withColumn("label", F.col("doc_id") % 2)
+    rows = secrets.scan_secrets(docs, labelled=labelled).where("doc_id >= 300").collect()
+    right = sum(r.is_secret == bool(r.doc_id % 2) for r in rows)
+    assert len(rows) == 100 and right >= 95
