@@ -75,15 +75,20 @@ def sample_labels(labels: DataFrame, categories: list[str], rows: int) -> DataFr
 
 
 def _vocabulary(examples: DataFrame, categories: list[str], size: int) -> list[str]:
-    """The words with the highest chi-squared statistic for any category, at most ``size`` each."""
-    totals = examples.agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in categories]
-    ).first()
-    counts = materialise(examples.select(F.explode("_words").alias("word"), *categories).groupBy(
-        "word"
-    ).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in categories]
-    ).where("n >= 3"), "words")
+    """The words with the highest chi-squared statistic for any category, at most ``size`` each.
+
+    Rows count by their weight, which is scaled so that all together count as many as there are.
+    """
+    scale = examples.agg(F.avg(WEIGHT)).first()[0] or 1.0
+    weight = F.col(WEIGHT) / scale
+    met_by = [F.sum(F.col(c) * F.col("_w")).alias(c) for c in categories]
+    rows = examples.withColumn("_w", weight)
+    totals = rows.agg(F.sum("_w").alias("n"), *met_by).first()
+    counts = materialise(rows.select(
+        F.explode("_words").alias("word"), "_w", *categories
+    ).groupBy("word").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("_w").alias("n"), *met_by
+    ).where("rows >= 3"), "words")
     chosen: set[str] = set()
     for c in categories:
         all_, met = float(totals["n"] or 0), float(totals[c] or 0)
@@ -145,32 +150,50 @@ def train_chain(
         "doc_id", _words(F.col("text")).alias("_words"),
         F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).alias("_fold"), WEIGHT, *categories,
     )
-    examples = materialise(examples, "examples")
-    vocabulary = _vocabulary(examples, categories, VOCABULARY)
-    table = materialise(_features(examples, vocabulary).drop("_words").coalesce(8), "features")
+    table = materialise(examples.coalesce(8), "examples")
+    vocabulary = _vocabulary(table, categories, VOCABULARY)
+    others = [table.where(F.col("_fold") != fold) for fold in range(FOLDS)]
+    # What a fold is held out from does not choose its words either.
+    words = [_vocabulary(rows, categories, VOCABULARY) for rows in others] if len(categories) > 1 else []
     links: list[Link] = []
     for n, category in enumerate(categories):
         earlier = categories[:n]
-        links.append(_fit(table, category, earlier))
+        links.append(_fit(_features(table, vocabulary), category, earlier))
         if category == categories[-1]:
             break
         held_out = None
         for fold in range(FOLDS):
-            link = _fit(table.where(F.col("_fold") != fold), category, earlier)
-            part = _predicted(table.where(F.col("_fold") == fold), link, earlier)
+            seen = _features(table.where(F.col("_fold") != fold), words[fold])
+            link = _fit(seen, category, earlier)
+            unseen = _features(table.where(F.col("_fold") == fold), words[fold])
+            part = _predicted(unseen, link, earlier).drop("_x")
             held_out = part if held_out is None else held_out.unionByName(part)
         table = materialise(held_out.coalesce(8), f"fold{n}")
     return Chain(vocabulary, links)
 
 
 def apply_chain(documents: DataFrame, chain: Chain) -> DataFrame:
-    """All columns of ``documents`` with the probability ``p_<category>`` of every category."""
-    rows = _features(documents.withColumn("_words", _words(F.col("text"))), chain.vocabulary)
+    """All columns of ``documents`` with the probability ``p_<category>`` of every category.
+
+    A column of ``documents`` that has such a name comes back as ``given_<name>``.
+    """
+    # The document travels as one column, so no name of its columns can clash.
+    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_doc"))
+    rows = _features(whole.withColumn("_words", _words(F.col("_doc.text"))), chain.vocabulary)
     earlier: list[str] = []
     for link in chain.links:
         rows = _predicted(rows, link, earlier)
         earlier.append(link.category)
-    return rows.drop("_words", "_x")
+    added = [f"p_{category}" for category in earlier]
+    return rows.select(*_apart("_doc", documents.columns, added), *added)
+
+
+def _apart(struct: str, names: list[str], added: list[str]) -> list[Column]:
+    """The fields of a struct; those with the name of an added column as ``given_<name>``."""
+    return [
+        F.col(f"{struct}.`{name}`").alias(f"given_{name}" if name in added else name)
+        for name in names
+    ]
 
 
 def toxic_documents(
@@ -178,11 +201,15 @@ def toxic_documents(
 ) -> DataFrame:
     """Add p_<category> per category and ``toxic``, whether the last category is likely.
 
-    ``documents`` has doc_id and text, ``labels`` doc_id and the categories. A null or empty text
-    has no words and is judged by what the models make of that. Without labelled documents, or if
-    all are of one kind, the probability is their share (0 without any). Rows that share an id are
-    judged one by one. An empty table gives an empty result.
+    ``documents`` has doc_id and text, ``labels`` doc_id and the categories. Other columns come back
+    as they are; one that has the name of an added column comes back as ``given_<name>``. A null or
+    empty text has no words and is judged by what the models make of that. Without labelled
+    documents, or if all are of one kind, the probability is their share (0 without any). Rows that
+    share an id are judged one by one. An empty table gives an empty result.
     """
     chain = train_chain(documents, labels, categories)
+    verdict = "toxic"
+    if verdict in documents.columns:
+        documents = documents.withColumnRenamed(verdict, f"given_{verdict}")
     scored = apply_chain(documents, chain)
-    return scored.withColumn("toxic", F.col(f"p_{categories[-1]}") >= threshold)
+    return scored.withColumn(verdict, F.col(f"p_{categories[-1]}") >= threshold)

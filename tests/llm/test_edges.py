@@ -271,3 +271,20 @@ def test_long_chat_is_cut_without_loss(spark, monkeypatch):
     found = chat.repair_chats(turns).orderBy("place").collect()
     assert [r.place for r in found] == list(range(300))
     assert {r.total_cost for r in found} == {total} and len(whole) == 300
+
+
+def test_toxicity_leaves_columns_alone(spark):
+    rows = [(n, f"plain text {n}" + " awful" * (n % 3 == 0), n, "w", "t", 0.5) for n in range(120)]
+    df = spark.createDataFrame(
+        rows, "doc_id long, text string, _x long, _words string, toxic string, p_toxic double"
+    ).withColumn("_doc", F.lit(7))
+    labels = df.selectExpr("doc_id", "doc_id % 2 AS odd", "int(doc_id % 3 = 0) AS toxic")
+    found = toxicity.toxic_documents(df, labels, ["odd", "toxic"])
+    assert found.columns == [
+        "doc_id", "text", "_x", "_words", "given_toxic", "given_p_toxic", "_doc", "p_odd", "p_toxic",
+        "toxic",
+    ]
+    kept = found.where("toxic").collect()
+    assert {r.doc_id for r in kept} == set(range(0, 120, 3))
+    assert {(r._words, r.given_toxic, r.given_p_toxic, r._doc) for r in kept} == {("w", "t", 0.5, 7)}
+    assert all(r._x == r.doc_id for r in kept)
