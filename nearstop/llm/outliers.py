@@ -2,8 +2,12 @@
 
 Per language and source, the minimum covariance determinant is estimated by concentration steps:
 keep the three quarters of rows nearest to the centre, estimate centre and covariance from them,
-measure again. A row is rejected by its Mahalanobis distance from the last estimate. The vectors
-are whole numbers (thousandths), so every sum is exact and reruns agree.
+measure again. Several fixed starts are taken; the one that leads to the least determinant goes on
+until the determinant falls no more. A row is rejected by its Mahalanobis distance from the last
+estimate. Estimates lean on those of the level above (a source's on its language's, a language's on
+all documents') as if that had so many rows of its own, so small groups are judged too, and a group
+is judged no differently because it has one row more. The vectors are whole numbers (thousandths),
+so every sum is exact and reruns agree.
 """
 
 from __future__ import annotations
@@ -20,11 +24,14 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 SCALE = 1000
 FEATURES = ("_f0", "_f1", "_f2", "_f3")
-#: Share of a group's rows that the estimate rests on, and the number of concentration steps.
+#: Share of a group's rows that the estimate rests on.
 SUPPORT = 0.75
-STEPS = 5
-#: Rows a group must have for estimates of its own; below, those of its language apply.
-LEAST_ROWS = 100
+#: Steps from every start, and at most from the best one; it has ended long before in practice.
+FIRST_STEPS, MOST_STEPS = 2, 20
+#: Rows that the estimate of the level above counts for.
+PRIOR = 100
+#: The starts: no correlation, and that of three transforms of the scaled vectors.
+STARTS = ("none", "tanh", "sign", "log")
 #: Standard deviations (thousandths) added to each axis, so that a constant statistic has a scale.
 FLOORS = (250, 40, 300, 100)
 #: Rejected beyond this quantile of the chi-squared distribution. The tails of texts are heavier
@@ -153,41 +160,118 @@ def chi_squared_4(share: float) -> float:
     return low
 
 
-def _estimate(kept: DataFrame) -> DataFrame:
-    """Per group the centre _c* and the Cholesky factor _l* of the covariance of its kept rows."""
-    size = len(FEATURES)
-    pairs = [(i, j) for i in range(size) for j in range(i + 1)]
-    sums = kept.groupBy("_group").agg(
+SIZE = len(FEATURES)
+PAIRS = [(i, j) for i in range(SIZE) for j in range(i + 1)]
+
+
+def _factored(frame: DataFrame) -> DataFrame:
+    """Add the Cholesky factor _l* of the matrix _v* and the logarithm of its determinant."""
+    for i, j in PAIRS:
+        rest = F.col(f"_v{i}{j}")
+        for k in range(j):
+            rest = rest - F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}")
+        frame = frame.withColumn(
+            f"_l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1.0))) if i == j else rest / F.col(f"_l{j}{j}")
+        )
+    sides = [F.log(f"_l{i}{i}") for i in range(SIZE)]
+    return frame.withColumn("_logdet", 2 * (sides[0] + sides[1] + sides[2] + sides[3]))
+
+
+def _starts(vectors: DataFrame) -> DataFrame:
+    """_group, _start, centre and factor of each start: medians, and scales from median deviations."""
+    middle = materialise(_medians(vectors, [F.col(f) for f in FEATURES]), "medians")
+    spread = materialise(_medians(
+        vectors.join(middle, "_group"),
+        [F.abs(F.col(f) - F.col(f"_m{i}")) for i, f in enumerate(FEATURES)],
+    ).toDF("_group", *[f"_d{i}" for i in range(SIZE)]), "spreads")
+    frame = middle.join(spread, "_group").select("_group", *[
+        F.col(f"_m{i}").cast("double").alias(f"_c{i}") for i in range(SIZE)
+    ], *[
+        F.sqrt((1.4826 * F.col(f"_d{i}")) ** 2 + FLOORS[i] ** 2).alias(f"_s{i}") for i in range(SIZE)
+    ])
+    frame = materialise(frame, "scales")
+    scaled = vectors.join(frame, "_group").select("_group", *[
+        ((F.col(f) - F.col(f"_c{i}")) / F.col(f"_s{i}")).alias(f"_z{i}")
+        for i, f in enumerate(FEATURES)
+    ])
+    z = [F.col(f"_z{i}") for i in range(SIZE)]
+    norm = F.sqrt(z[0] * z[0] + z[1] * z[1] + z[2] * z[2] + z[3] * z[3])
+    transforms = {
+        "tanh": [F.tanh(x) for x in z],
+        "sign": [F.when(norm > 0, x / norm).otherwise(0.0) for x in z],
+        "log": [F.signum(x) * F.log1p(F.abs(x)) for x in z],
+    }
+    # Thousandths again, for sums that do not depend on the order.
+    whole = scaled.select("_group", *[
+        _thousandths(x).alias(f"_{name}{i}")
+        for name, values in transforms.items() for i, x in enumerate(values)
+    ])
+    sums = whole.groupBy("_group").agg(*[
+        F.sum(F.col(f"_{name}{i}").cast("decimal(19,0)") * F.col(f"_{name}{j}")).cast("double")
+        .alias(f"_{name}{i}{j}") for name in transforms for i, j in PAIRS
+    ])
+
+    def scatter(name: str) -> list[Column]:
+        def entry(i: int, j: int) -> Column:
+            scale = F.col(f"_s{i}") * F.col(f"_s{j}")
+            if i == j:
+                return scale
+            if name == "none":
+                return F.lit(0.0)
+            power = F.sqrt(F.col(f"_{name}{i}{i}") * F.col(f"_{name}{j}{j}"))
+            # Less than full correlation, so that the matrix has a factor.
+            return F.when(power > 0, 0.99 * F.col(f"_{name}{i}{j}") / power).otherwise(0.0) * scale
+
+        return [entry(i, j).alias(f"v{i}{j}") for i, j in PAIRS]
+
+    rows = frame.join(sums, "_group").select("_group", *[f"_c{i}" for i in range(SIZE)], F.explode(
+        F.array(*[
+            F.struct(F.lit(n).alias("start"), *scatter(name)) for n, name in enumerate(STARTS)
+        ])
+    ).alias("_m"))
+    return _factored(rows.select(
+        "_group", F.col("_m.start").alias("_start"), *[f"_c{i}" for i in range(SIZE)],
+        *[F.col(f"_m.v{i}{j}").alias(f"_v{i}{j}") for i, j in PAIRS],
+    ))
+
+
+def _moments(kept: DataFrame) -> DataFrame:
+    """Per group and start the number _n, centre _c* and covariance _v* of its kept rows."""
+    sums = kept.groupBy("_group", "_start").agg(
         F.count(F.lit(1)).cast("double").alias("_n"),
         *[F.sum(f).cast("double").alias(f"_s{i}") for i, f in enumerate(FEATURES)],
         *[
             F.sum(F.col(FEATURES[i]).cast("decimal(19,0)") * F.col(FEATURES[j])).cast("double")
-            .alias(f"_s{i}{j}") for i, j in pairs
+            .alias(f"_s{i}{j}") for i, j in PAIRS
         ],
     )
-    frame = sums.select("_group", "_n", *[
-        (F.col(f"_s{i}") / F.col("_n")).alias(f"_c{i}") for i in range(size)
+    return sums.select("_group", "_start", "_n", *[
+        (F.col(f"_s{i}") / F.col("_n")).alias(f"_c{i}") for i in range(SIZE)
     ], *[
         (F.lit(_consistency(SUPPORT)) * (
             F.col(f"_s{i}{j}") / F.col("_n")
             - F.col(f"_s{i}") / F.col("_n") * (F.col(f"_s{j}") / F.col("_n"))
-        ) + F.lit(float(FLOORS[i] ** 2 if i == j else 0))).alias(f"_v{i}{j}") for i, j in pairs
+        ) + F.lit(float(FLOORS[i] ** 2 if i == j else 0))).alias(f"_v{i}{j}") for i, j in PAIRS
+    ])
+
+
+NUMBERS = [*[f"_c{i}" for i in range(SIZE)], *[f"_v{i}{j}" for i, j in PAIRS]]
+
+
+def _shrunk(moments: DataFrame, above: DataFrame | None) -> DataFrame:
+    """The moments with those of the level above (_group, _a*) as ``PRIOR`` further rows."""
+    if above is None:
+        return moments
+    share = F.lit(float(PRIOR)) / (F.col("_n") + PRIOR)
+    return moments.join(above, "_group").select("_group", "_start", "_n", *[
+        ((1 - share) * F.col(c) + share * F.col(f"_a{c}")).alias(c) for c in NUMBERS
     ])
-    for i, j in pairs:
-        rest = F.col(f"_v{i}{j}")
-        for k in range(j):
-            rest = rest - F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}")
-        frame = frame.withColumn(
-            f"_l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1.0))) if i == j else rest / F.col(f"_l{j}{j}")
-        )
-    return frame.select(
-        "_group", *[f"_c{i}" for i in range(size)], *[f"_l{i}{j}" for i, j in pairs]
-    )
 
 
 def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Add ``_d2``, the squared Mahalanobis distance; null where a group has no estimate."""
-    joined = rows.join(estimates, "_group", "left")
+    """Add ``_start`` and ``_d2``, the squared Mahalanobis distance; null without an estimate."""
+    columns = [*[f"_c{i}" for i in range(SIZE)], *[f"_l{i}{j}" for i, j in PAIRS]]
+    joined = rows.join(estimates.select("_group", "_start", *columns), "_group", "left")
     total = None
     for i, feature in enumerate(FEATURES):
         rest = F.col(feature) - F.col(f"_c{i}")
@@ -196,71 +280,96 @@ def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
         joined = joined.withColumn(f"_y{i}", rest / F.col(f"_l{i}{i}"))
         square = F.col(f"_y{i}") * F.col(f"_y{i}")
         total = square if total is None else total + square
-    return joined.withColumn("_d2", total).select(*[f"`{c}`" for c in rows.columns], "_d2")
+    return joined.withColumn("_d2", total).select(
+        *[f"`{c}`" for c in rows.columns], "_start", "_d2"
+    )
 
 
 def _nearest_share(measured: DataFrame) -> DataFrame:
-    """The rows of each group that lie in its nearest ``SUPPORT``, whole steps of distance."""
+    """The rows of each group and start in its nearest ``SUPPORT``, whole steps of distance."""
     step = F.when(F.col("_d2") <= 0, F.lit(-500)).otherwise(
         F.greatest(F.lit(-500), F.floor(F.log("_d2") * 32))
     ).cast("int")
     binned = measured.withColumn("_bin", step)
-    counts = binned.groupBy("_group", "_bin").count()
-    edge = materialise(_at_share(counts, ["_group"], "_bin", SUPPORT, "_edge"), "edges")
-    return binned.join(edge, "_group").where(F.col("_bin") <= F.col("_edge"))
+    counts = binned.groupBy("_group", "_start", "_bin").count()
+    edge = materialise(
+        _at_share(counts, ["_group", "_start"], "_bin", SUPPORT, "_edge"), "edges"
+    )
+    return binned.join(edge, ["_group", "_start"]).where(F.col("_bin") <= F.col("_edge"))
 
 
-def estimate_groups(vectors: DataFrame) -> DataFrame:
-    """Centre and Cholesky factor per ``_group``, by concentration steps from the medians."""
-    size = range(len(FEATURES))
-    middle = materialise(_medians(vectors, [F.col(f) for f in FEATURES]), "medians")
-    spread = materialise(_medians(
-        vectors.join(middle, "_group"),
-        [F.abs(F.col(f) - F.col(f"_m{i}")) for i, f in enumerate(FEATURES)],
-    ).toDF("_group", *[f"_d{i}" for i in size]), "spreads")
-    start = middle.join(spread, "_group").select(
-        "_group", *[F.col(f"_m{i}").cast("double").alias(f"_c{i}") for i in size],
-        *[
-            (F.sqrt((1.4826 * F.col(f"_d{i}")) ** 2 + FLOORS[i] ** 2) if i == j else F.lit(0.0))
-            .alias(f"_l{i}{j}") for i in size for j in range(i + 1)
-        ],
-    )
-    estimates = start
-    for step in range(STEPS):
+def estimate_groups(vectors: DataFrame, above: DataFrame | None = None) -> DataFrame:
+    """Per ``_group`` of ``vectors`` the centre _c*, covariance _v* and its factor _l*.
+
+    Two concentration steps from every start; the start with the least determinant goes on until it
+    falls no more. ``above`` has the estimate of the level above, as _a_c* and _a_v*.
+    """
+    def stepped(estimates: DataFrame) -> DataFrame:
         near = _nearest_share(_with_distance(vectors, estimates))
-        estimates = materialise(_estimate(near), f"estimate{step}")
-    return estimates
+        return _factored(_shrunk(_moments(near), above))
+
+    tried = _starts(vectors)
+    for step in range(FIRST_STEPS):
+        tried = materialise(stepped(tried), f"step{step}")
+    names = ["_start", "_n", *NUMBERS, *[f"_l{i}{j}" for i, j in PAIRS]]
+    least = F.min(F.struct("_logdet", *names)).alias("_least")
+    best = tried.groupBy("_group").agg(least).select("_group", "_least.*")
+    for step in range(MOST_STEPS):
+        fresh = materialise(stepped(best).withColumn("_fresh", F.lit(True)), "fresh")
+        was = best.select("_group", F.col("_logdet").alias("_was"))
+        lower = materialise(
+            fresh.join(was, "_group").where(F.col("_logdet") < F.col("_was") - 1e-9)
+            .select("_group", "_logdet", *names), "lower",
+        )
+        if lower.isEmpty():
+            break
+        best = materialise(
+            best.join(lower.select("_group"), "_group", "left_anti").select(lower.columns)
+            .unionByName(lower), "best",
+        )
+    return best
 
 
 def robust_outliers(statistics: DataFrame) -> DataFrame:
-    """Add base_failed, distance (squared, null where nothing was estimated) and kept.
+    """Add base_failed, distance (squared) and kept.
 
     Input is the output of ``text_statistics``. Documents that fail the base rules (under 20
-    words, or over 30 % of them repeated) take no part in the estimates. A language and source
-    with fewer than ``LEAST_ROWS`` documents uses the estimate of its language; a language with
-    fewer has none and its documents keep the verdict of the base rules. Null languages and
-    sources are groups of their own.
+    words, or over 30 % of them repeated) take no part in the estimates. Every document is measured
+    by the estimate of its language and source; one that fails the base rules, in a language or with
+    a source where all do, by that of the level above. The distance is null only if no document
+    passes the base rules. Null languages and sources are groups of their own. An empty table gives
+    an empty result.
     """
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     rows = materialise(with_vector(statistics).withColumns({
         "base_failed": failed,
         "_pair": F.concat(F.lit("2"), group_key("lang", "source")),
-        "_lang": F.concat(F.lit("1"), group_key("lang")),
+        "_lang": F.concat(F.lit("1"), group_key("lang")), "_every": F.lit("0"),
     }), "statistics")
     passed = rows.where(~F.col("base_failed"))
-    counts = passed.groupBy("_pair", "_lang").count()
-    sizes = materialise(counts.select(F.col("_pair").alias("_group"), "count").unionByName(
-        counts.groupBy(F.col("_lang").alias("_group")).agg(F.sum("count").alias("count"))
-    ).where(F.col("count") >= LEAST_ROWS).select("_group"), "groups")
-    vectors = materialise(
-        passed.select(F.explode(F.array("_pair", "_lang")).alias("_group"), *FEATURES)
-        .join(sizes, "_group", "left_semi"), "vectors",
+    known, above, estimates = None, None, []
+    for level, over in (("_every", None), ("_lang", "_every"), ("_pair", "_lang")):
+        vectors = passed.select(F.col(level).alias("_group"), *FEATURES)
+        if over is not None:
+            kin = passed.select(F.col(level).alias("_group"), F.col(over).alias("_over")).distinct()
+            given = known.select(F.col("_group").alias("_over"), *[
+                F.col(c).alias(f"_a{c}") for c in NUMBERS
+            ])
+            above = materialise(kin.join(given, "_over").drop("_over"), "above")
+        known = estimate_groups(vectors, above)
+        estimates.append(known)
+    found = materialise(
+        estimates[0].unionByName(estimates[1]).unionByName(estimates[2]), "estimates"
     )
-    estimates = estimate_groups(vectors)
-    chosen = rows.join(
-        sizes.select(F.col("_group").alias("_pair"), F.lit(True).alias("_own")), "_pair", "left"
-    ).withColumn("_group", F.when(F.col("_own"), F.col("_pair")).otherwise(F.col("_lang")))
-    measured = _with_distance(chosen, estimates)
+    levels = {
+        name: found.select(F.col("_group").alias(name), F.lit(True).alias(f"_has{name}"))
+        for name in ("_pair", "_lang")
+    }
+    chosen = rows.join(levels["_pair"], "_pair", "left").join(levels["_lang"], "_lang", "left")
+    chosen = chosen.withColumn("_group", F.when(F.col("_has_pair"), F.col("_pair")).when(
+        F.col("_has_lang"), F.col("_lang")
+    ).otherwise(F.col("_every")))
+    measured = _with_distance(chosen, found)
     near = F.coalesce(F.col("_d2") <= chi_squared_4(QUANTILE), F.lit(True))
     return measured.select(
         "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines",
