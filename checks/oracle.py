@@ -125,6 +125,10 @@ USES = {
 }
 
 
+# What some queries read twice.
+STORED = {"nearest"}
+
+
 def _with(tables: list[str], query: str) -> str:
     wanted: list[str] = []
 
@@ -136,7 +140,10 @@ def _with(tables: list[str], query: str) -> str:
 
     for name in tables:
         want(name)
-    return f"WITH {', '.join(f'{name} AS ({TABLES[name]})' for name in wanted)} {query}"
+    parts = [
+        f"{name} AS {'MATERIALIZED ' if name in STORED else ''}({TABLES[name]})" for name in wanted
+    ]
+    return f"WITH {', '.join(parts)} {query}"
 
 
 def _typed(columns: list[str]) -> str:
@@ -162,6 +169,7 @@ _STATION_CELLS = ", ".join(
 
 ORACLE = {
     "knn_stations": _with(["nearest"], "SELECT scoutId, rank, DHID, Parent, Name FROM nearest"),
+    "knn_refresh": _with(["nearest"], "SELECT scoutId, rank, DHID, Parent, Name FROM nearest"),
     "knn_stations_dense": _with(
         ["dense_rental", "dense_station"],
         f"""

@@ -60,6 +60,23 @@ def knn_stations(spark, sf):
     return _nearest(spark, sf).select("scoutId", "rank", "DHID", "Parent", "Name")
 
 
+def knn_refresh(spark, sf):
+    """The last result brought up to date: some stations are new since, and some have moved."""
+    after = materialise(_stations_final(spark, sf), "stations")
+    size = F.pmod(F.xxhash64("DHID"), F.lit(50))
+    before = after.where(size >= 4).withColumn(
+        "Latitude", F.when(size > 46, F.col("Latitude") + F.lit(0.25).cast("float"))
+        .otherwise(F.col("Latitude"))
+    )
+    offers = materialise(_rentals(spark, sf, heavy=True), "offers")
+    previous = materialise(match.nearest_stations(offers, before), "previous")
+    added, removed = match.station_changes(before, after)
+    found = match.refresh_nearest(
+        previous, offers, after, materialise(added, "added"), materialise(removed, "removed")
+    )
+    return found.select("scoutId", "rank", "DHID", "Parent", "Name")
+
+
 def knn_stations_dense(spark, sf):
     """Groups beyond the size up to which candidates travel as one row: the grid answers."""
     found = match.nearest_stations(views.dense_rentals(spark, sf), views.dense_stations(spark, sf))
@@ -438,6 +455,7 @@ def lookup_stored(spark, sf):
 
 QUERIES = {
     "knn_stations": knn_stations,
+    "knn_refresh": knn_refresh,
     "knn_stations_dense": knn_stations_dense,
     "geocode_reverse_dense": geocode_reverse_dense,
     "nearest_for_one": nearest_for_one,

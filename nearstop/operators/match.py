@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nearstop.functions.geo import distance2, is_located
 from nearstop.operators.nearest import Limits, nearest_join
+from nearstop.scratch import materialise
 
 CANDIDATE = ["Latitude", "Longitude", "Parent", "DHID", "Name"]
 _ORDER = ["DHID", "Parent", "Name", "Latitude", "Longitude"]  # of stations at one distance
@@ -63,6 +64,64 @@ def nearest_stations(
     )
 
 
+def station_changes(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The stations that only ``after`` has, and those that only ``before`` has.
+
+    A station that moved, or got another name or zip group, is in both. Rows that lack what a
+    candidate needs are in neither.
+    """
+    columns = [*CANDIDATE, "ZIP_Group_Station"]
+
+    def usable(stations: DataFrame) -> DataFrame:
+        return stations.select(*columns).dropna(how="any").distinct()
+
+    a, b = usable(after), usable(before)
+    return a.join(b, columns, "left_anti"), b.join(a, columns, "left_anti")
+
+
+def refresh_nearest(
+    previous: DataFrame, rentals: DataFrame, stations: DataFrame, added: DataFrame,
+    removed: DataFrame, k: int = 10, limits: Limits = Limits(),
+) -> DataFrame:
+    """What ``nearest_stations`` gives for ``rentals`` and ``stations``, from its last result.
+
+    ``previous`` is that result with the stations before ``added`` came and ``removed`` went, see
+    ``station_changes``. Offers that lost one of their stations, are new or have moved are answered
+    anew, and only those meet all stations. The others keep their rows; where some of ``added`` are
+    nearer than their last station these are put in place. ``scoutId`` differs between offers.
+    """
+    offers = rentals.select("scoutId", "zip_group", "lat", "lng")
+    place = ["scoutId", "zip_group", "lat", "lng"]
+    same = [F.col(f"_n.{c}").eqNullSafe(F.col(f"_p.{c}")) for c in place]
+    gone = removed.select(*[F.col(c).alias(f"_{c}") for c in [*_ORDER, "ZIP_Group_Station"]])
+    lost = previous.join(
+        gone, [F.col(c) == F.col(f"_{c}") for c in _ORDER]
+        + [F.col("zip_group") == F.col("_ZIP_Group_Station")], "left_semi",
+    )
+    kept = previous.select(*place).distinct().join(
+        lost.select(*place).distinct().alias("_l"), place, "left_anti"
+    )
+    # An offer without stations has no rows; it is answered anew, like a new one.
+    settled = materialise(
+        offers.alias("_n").join(kept.alias("_p"), same, "left_semi").distinct(), "settled"
+    )
+    anew = offers.join(settled.select("scoutId"), "scoutId", "left_anti")
+    fresh = nearest_stations(anew, stations, k, limits)
+
+    near = materialise(nearest_stations(settled, added, k, limits).drop("rank"), "added")
+    touched = near.select("scoutId").distinct()
+    old = previous.join(settled.select("scoutId"), "scoutId", "left_semi")
+    away = distance2(F.col("lat"), F.col("lng"), F.col("Latitude"), F.col("Longitude"))
+    both = old.drop("rank").join(touched, "scoutId", "left_semi").select(near.columns).unionByName(near)
+    # At most k rows of each kind for an offer.
+    ranked = both.groupBy(*place).agg(F.slice(F.array_sort(F.collect_set(
+        F.struct(away.alias("_away"), *_ORDER)
+    )), 1, k).alias("_found")).select(*place, F.posexplode("_found").alias("_pos", "_found"))
+    merged = ranked.select(*place, (F.col("_pos") + 1).alias("rank"), *[f"_found.{c}" for c in _ORDER])
+    untouched = old.join(touched, "scoutId", "left_anti").select(merged.columns)
+    return fresh.select(merged.columns).unionByName(merged).unionByName(untouched)
+
+
 def nearest_for(
     rentals: DataFrame, stations: DataFrame, scout_id: int, k: int = 10
 ) -> DataFrame:
