@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -36,6 +36,22 @@ def require_same_count(before: DataFrame, after: DataFrame) -> None:
         raise RowCountChanged(f"{counts[0]} rows before, {counts[1]} after")
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and its number of rows, known once a query that reads all of it has ended.
+
+    The rows are counted as they pass, so no second query runs over them.
+    """
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
+
+
+def require_same_rows(before: Observation, after: Observation, step: str) -> None:
+    """Raise if the rows counted before and after a step differ; its query must have ended."""
+    counts = before.get["n_rows"], after.get["n_rows"]
+    if counts[0] != counts[1]:
+        raise RowCountChanged(f"{step}: {counts[0]} rows before, {counts[1]} after")
+
+
 def zip_group_stats(rental_groups: DataFrame, stations: DataFrame) -> DataFrame:
     """One row: distinct groups with offers, and those of them that have stations."""
     offered = rental_groups.select(F.col("ZIP_Group_Rental").alias("zip_group"))

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from nearstop.operators.geocode import coordinates_of, resolve_residual, resolve_zips
 from nearstop.operators.lookup import stored_answers, stored_lookup
 from nearstop.operators.match import group_stations
+from nearstop.operators.quality import counted, require_same_rows
 from nearstop.operators.rentals import with_address, with_zip_group, zip_groups
 from nearstop.operators.spelling import SLIPS
 from nearstop.operators.stations import missing_zip, with_municipal_zip, with_resolved_zip
+from nearstop.scratch import stage
 from nearstop.sinks.tables import extract_table, write_table
 from nearstop.sources.tables import read_table
 
@@ -24,6 +26,7 @@ Service = Callable[[pd.DataFrame], pd.DataFrame]
 _ADDRESS = ["scoutId", "streetPlain", "houseNumber", "geo_plz", "geo_krs", "geo_bln"]
 
 
+@stage
 def geocode_rentals(
     spark: SparkSession, root: str, gazetteer: DataFrame, slips: int = SLIPS,
     service: Service | None = None, parallelism: int | None = None,
@@ -66,6 +69,7 @@ def load_rental_coordinates(
     return with_zip_group(offers)
 
 
+@stage
 def add_zipcode_to_stations(
     spark: SparkSession, root: str, service: Service | None = None,
     parallelism: int | None = None,
@@ -74,13 +78,16 @@ def add_zipcode_to_stations(
 
     The zip code comes from the municipality, else from ``service`` if there is one, else from the
     nearest zip code centre. The service gets frames of Latitude and Longitude and returns Q_PLZ,
-    see ``ask``; its answers are kept, and later runs ask for new and failed places only.
+    see ``ask``; its answers are kept, and later runs ask for new and failed places only. A step
+    that changes the number of stations, as a municipality that is listed twice would, raises
+    ``RowCountChanged``; the rows are counted while they are written.
     """
-    stations = with_municipal_zip(
-        read_table(spark, "table_stations", root),
-        read_table(spark, "table_mapping_municipal_to_zip", root),
-    )
+    given, before = counted(read_table(spark, "table_stations", root))
+    stations, after = counted(with_municipal_zip(
+        given, read_table(spark, "table_mapping_municipal_to_zip", root)
+    ))
     extract_table(stations, stations.columns, "table_stations_with_zip", root)
+    require_same_rows(before, after, "zip code of the municipality")
     stored = read_table(spark, "table_stations_with_zip", root)
     centres = read_table(spark, "table_mapping_zip_to_coor", root)
     attempts = [lambda rows: rows.join(
@@ -92,10 +99,13 @@ def add_zipcode_to_stations(
             parallelism,
         ))
     resolved = resolve_residual(missing_zip(stored), ["SeqNo"], "Q_PLZ", attempts)
-    final = with_resolved_zip(stored, resolved)
+    given, before = counted(stored)
+    final, after = counted(with_resolved_zip(given, resolved))
     extract_table(final, final.columns, "table_stations_with_zip_final", root)
+    require_same_rows(before, after, "zip code of the nearest centre")
 
 
+@stage
 def group_stations_by_zipcode(spark: SparkSession, root: str) -> None:
     """Store the stations of each zip group that has offers, one folder per group."""
     grouped = group_stations(

@@ -9,13 +9,14 @@ from nearstop.operators.stations import with_coordinates
 from nearstop.schemas import (
     RENTAL_FEATURE, RENTAL_LOCATION, RENTAL_PRICE_AND_COST, STATIONS, schema,
 )
-from nearstop.scratch import materialise
+from nearstop.scratch import materialise, stage
 from nearstop.sinks.tables import extract_table
 from nearstop.sources.files import (
     read_municipal_zips, read_rentals, read_stations, read_zip_coordinates,
 )
 
 
+@stage
 def ingest_rentals(spark: SparkSession, path: str, root: str) -> None:
     """Read the offers, complete their zip codes and store them as three tables.
 
@@ -28,12 +29,14 @@ def ingest_rentals(spark: SparkSession, path: str, root: str) -> None:
     extract_table(rentals, RENTAL_FEATURE, "table_rental_feature", root)
 
 
+@stage
 def ingest_stations(spark: SparkSession, path: str, root: str) -> None:
     """Read the stations, turn their coordinates into numbers and store them."""
     stations = with_coordinates(read_stations(spark, path))
     extract_table(stations, STATIONS, "table_stations", root)
 
 
+@stage
 def ingest_mappings(
     spark: SparkSession, municipal_path: str, zip_path: str, root: str,
     municipal_format: str = "csv", **municipal_options: str,

@@ -10,7 +10,7 @@ from nearstop.operators.match import (
     CANDIDATE, nearest_for, nearest_stations, refresh_nearest, station_changes,
 )
 from nearstop.plans.enrich import load_rental_coordinates
-from nearstop.scratch import materialise
+from nearstop.scratch import materialise, stage
 from nearstop.sinks.features import map_features
 from nearstop.sinks.tables import write_table
 from nearstop.sources.files import SourceNotFound
@@ -29,6 +29,7 @@ def all_nearest_stations(spark: SparkSession, root: str, k: int = 10) -> DataFra
     return nearest_stations(load_rental_coordinates(spark, root), _grouped_stations(spark, root), k)
 
 
+@stage
 def update_nearest_stations(spark: SparkSession, root: str, k: int = 10) -> None:
     """Store the nearest stations of every located offer, from the last result if there is one.
 

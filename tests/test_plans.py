@@ -1,9 +1,14 @@
 """The stages from files to nearest stations."""
 
+from pathlib import Path
+
 import pytest
 
 from checks import views
+from nearstop.operators.quality import RowCountChanged
 from nearstop.plans import enrich, ingest, match
+from nearstop.scratch import materialise, scratch_run, stage
+from nearstop.sinks.tables import write_table
 from nearstop.sources.tables import read_table
 from tests.compare import FOLDER
 
@@ -63,3 +68,60 @@ def test_offers_from_several_parts(spark, tmp_path):
         spark.createDataFrame([row], columns).write.parquet(f"{root}/{name}.parquet")
     both = enrich.load_rental_coordinates(spark, root, ("a", "b"))
     assert sorted((r.scoutId, r.zip_group) for r in both.collect()) == [(1, "101"), (2, "042")]
+
+
+def _station_tables(spark, root, mapping):
+    write_table(spark.createDataFrame(
+        [(n, "S", f"d{n}", "d", "n", 1.0, float(n), f"0{n % 2}", "m") for n in range(10)],
+        "SeqNo int, Type string, DHID string, Parent string, Name string, Latitude double,"
+        " Longitude double, MunicipalityCode string, Municipality string",
+    ), "table_stations", root)
+    write_table(spark.createDataFrame(
+        mapping, "MunicipalityCode string, Name string, PLZ string"
+    ), "table_mapping_municipal_to_zip", root)
+    write_table(spark.createDataFrame(
+        [("02000", 1.0, 1.0)], "PLZ string, lat double, lng double"
+    ), "table_mapping_zip_to_coor", root)
+
+
+def test_a_stage_raises_if_it_doubles_stations(spark, tmp_path):
+    root = str(tmp_path)
+    _station_tables(spark, root, [("00", "a", "01000"), ("00", "b", "01001")])
+    with pytest.raises(RowCountChanged, match="10 rows before, 15 after"):
+        enrich.add_zipcode_to_stations(spark, root)
+
+
+def test_rows_are_counted_without_a_query_of_their_own(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    _station_tables(spark, root, [("00", "a", "01000")])
+
+    def jobs(group):
+        spark.sparkContext.setJobGroup(group, group)
+        enrich.add_zipcode_to_stations(spark, root)
+        spark.sparkContext.setJobGroup("", "")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    jobs("first")
+    counting = jobs("counting")
+    monkeypatch.setattr(enrich, "counted", lambda df: (df, None))
+    monkeypatch.setattr(enrich, "require_same_rows", lambda *_: None)
+    assert counting == jobs("plain")
+    assert read_table(spark, "table_stations_with_zip_final", root).count() == 10
+
+
+def test_intermediate_tables_go_with_the_stage(spark, tmp_path):
+    seen = []
+
+    @stage
+    def some(spark, n):
+        table = materialise(spark.range(n), "numbers")
+        seen.extend(table.inputFiles())
+        with scratch_run(spark):
+            inner = materialise(spark.range(3), "inner").inputFiles()
+        assert not Path(inner[0].removeprefix("file:").replace("//", "/")).exists()
+        return table.count()
+
+    assert some(spark, 7) == 7
+    assert seen and not any(Path(f.removeprefix("file:").replace("//", "/")).exists() for f in seen)
+    kept = materialise(spark.range(2), "kept")
+    assert "run-" not in kept.inputFiles()[0] and kept.count() == 2
