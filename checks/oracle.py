@@ -170,6 +170,7 @@ _STATION_CELLS = ", ".join(
 ORACLE = {
     "knn_stations": _with(["nearest"], "SELECT scoutId, rank, DHID, Parent, Name FROM nearest"),
     "knn_refresh": _with(["nearest"], "SELECT scoutId, rank, DHID, Parent, Name FROM nearest"),
+    "knn_stream": _with(["nearest"], "SELECT scoutId, rank, DHID, Parent, Name FROM nearest"),
     "knn_stations_dense": _with(
         ["dense_rental", "dense_station"],
         f"""
@@ -300,6 +301,10 @@ ORACLE = {
         "(SELECT quantile_disc(c_custkey, 0.5) FROM customer) THEN 'A' ELSE 'B' END AS part "
         "FROM customer"
     ),
+    "quantile_merged": (
+        "SELECT CAST(quantile AS DOUBLE) AS quantile, n_rows, true AS is_close "
+        "FROM unnest([0.1, 0.25, 0.5, 0.9]) AS q(quantile), (SELECT count(*) AS n_rows FROM orders)"
+    ),
     "surrogate_id": "SELECT count(*) AS n_rows, count(*) AS n_ids FROM customer",
     "source_exists": "SELECT count(*) AS n_rows, false AS before, true AS after FROM part",
     "column_checks": (

@@ -25,6 +25,7 @@ from nearstop.sinks.features import map_features
 from nearstop.sinks.tables import append_run, extract_table, write_table
 from nearstop.sources import files
 from nearstop.sources.tables import read_table, table_path
+from nearstop.streaming.offers import stream_nearest_stations
 
 ONE_OFFER = 100
 
@@ -77,6 +78,23 @@ def knn_refresh(spark, sf):
     return found.select("scoutId", "rank", "DHID", "Parent", "Name")
 
 
+def knn_stream(spark, sf):
+    """The nearest stations of offers that come as a stream of files, one batch for each."""
+    offers, root = scratch_path(spark, "offers"), scratch_path(spark, "tables")
+    rows = _rentals(spark, sf).select(
+        F.col("scoutId").cast("int").alias("scoutId"), "zip_group", "lat", "lng"
+    )
+    rows.repartition(2).write.parquet(offers)
+    stations_ = materialise(_stations_final(spark, sf), "stations")
+    query = stream_nearest_stations(
+        spark, offers, stations_, root, scratch_path(spark, "progress"), files_per_batch=1
+    )
+    query.awaitTermination()
+    return read_table(spark, "table_nearest_stream", root).select(
+        "scoutId", "rank", "DHID", "Parent", "Name"
+    )
+
+
 def knn_stations_dense(spark, sf):
     """Groups beyond the size up to which candidates travel as one row: the grid answers."""
     found = match.nearest_stations(views.dense_rentals(spark, sf), views.dense_stations(spark, sf))
@@ -225,6 +243,24 @@ def quantile_split(spark, sf):
     )
 
 
+def quantile_merged(spark, sf):
+    """Quantiles of a table that grew by runs, from sketches of the runs, and whether they are close."""
+    root, shares = scratch_path(spark, "tables"), [0.1, 0.25, 0.5, 0.9]
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderstatus", "o_totalprice")
+    for status in ("O", "F", "P"):
+        run = orders.where(F.col("o_orderstatus") == status)
+        split.append_with_sketch(run, "orders", root, status, ["o_totalprice"])
+    found = split.stored_quantiles(spark, "orders", root, "o_totalprice", shares).collect()
+    below = orders.agg(F.count("*").alias("n"), *[
+        F.count_if(F.col("o_totalprice") <= row["value"]).alias(f"n{i}")
+        for i, row in enumerate(found)
+    ])
+    return below.select(F.inline(F.array(*[F.struct(
+        F.lit(row["quantile"]).alias("quantile"), F.lit(row["n_rows"]).alias("n_rows"),
+        (F.abs(F.col(f"n{i}") / F.col("n") - row["quantile"]) <= split.SKETCH_ERROR).alias("is_close"),
+    ) for i, row in enumerate(found)])))
+
+
 def surrogate_id(spark, sf):
     """One row: the rows that got an id, and the distinct ids."""
     customers = spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey")
@@ -456,6 +492,7 @@ def lookup_stored(spark, sf):
 QUERIES = {
     "knn_stations": knn_stations,
     "knn_refresh": knn_refresh,
+    "knn_stream": knn_stream,
     "knn_stations_dense": knn_stations_dense,
     "geocode_reverse_dense": geocode_reverse_dense,
     "nearest_for_one": nearest_for_one,
@@ -480,6 +517,7 @@ QUERIES = {
     "duplicate_keys": duplicate_keys,
     "rentals_without_station": rentals_without_station,
     "quantile_split": quantile_split,
+    "quantile_merged": quantile_merged,
     "surrogate_id": surrogate_id,
     "source_exists": source_exists,
     "column_checks": column_checks,

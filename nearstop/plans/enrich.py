@@ -56,7 +56,8 @@ def geocode_rentals(
         *_ADDRESS, "address_string",
         F.col("coords.Lat").alias("lat"), F.col("coords.Lng").alias("lng"),
     )
-    extract_table(located, located.columns, COORDS, root)
+    # By offer, so that a query for one of them reads one part of one file.
+    extract_table(located, located.columns, COORDS, root, sort_by="scoutId")
 
 
 def load_rental_coordinates(

@@ -13,7 +13,8 @@ BASE_RUN = "base"
 
 
 def write_table(
-    df: DataFrame, name: str, root: str, *, partition_by: str | None = None
+    df: DataFrame, name: str, root: str, *, partition_by: str | None = None,
+    sort_by: str | None = None,
 ) -> str:
     """Write ``df`` over table ``name`` and return its path.
 
@@ -21,9 +22,17 @@ def write_table(
     one file, and a partition value with very many rows is spread over several tasks and files.
     Without a partition column the rows are the base run, to which ``append_run`` adds others. A
     blank partition value becomes null, as a folder name cannot tell the two apart.
+
+    With ``sort_by`` each file holds a range of the values of that column, in order. A filter on it
+    then skips all files and row groups but those whose range has the value.
     """
     path = table_path(root, name)
-    if partition_by is None:
+    if sort_by is not None:
+        require_columns(df, [sort_by])
+        # Without a number of parts adaptive execution merges small ones.
+        ranges = df.repartitionByRange(sort_by).sortWithinPartitions(sort_by)
+        dealt, folder = ranges.withColumn(RUN, F.lit(BASE_RUN)), RUN
+    elif partition_by is None:
         dealt, folder = df.withColumn(RUN, F.lit(BASE_RUN)).hint("rebalance"), RUN
     else:
         require_columns(df, [partition_by])
@@ -37,12 +46,14 @@ def write_table(
 
 
 def extract_table(
-    df: DataFrame, columns: list[str], name: str, root: str, *, partition_by: str | None = None
+    df: DataFrame, columns: list[str], name: str, root: str, *, partition_by: str | None = None,
+    sort_by: str | None = None,
 ) -> str:
     """Write the distinct rows of the given columns as table ``name``."""
     require_columns(df, columns)
     return write_table(
-        df.select(*columns).dropDuplicates(), name, root, partition_by=partition_by
+        df.select(*columns).dropDuplicates(), name, root, partition_by=partition_by,
+        sort_by=sort_by,
     )
 
 
