@@ -21,8 +21,9 @@ from nearstop.scratch import materialise, scratch_path
 BREAK = "\r\n"
 END = b"\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Records that one archive file holds at most. A reader holds one compressed file at a time.
-FILE_RECORDS = 20_000
+#: Bytes of records that an archive file holds at most, before compression; a larger record has a
+#: file of its own. A reader holds one compressed file at a time.
+FILE_BYTES = 32 << 20
 
 RECORD = pa.schema([
     ("header", pa.binary()), ("packed", pa.binary()), ("body_digest", pa.string()),
@@ -105,15 +106,31 @@ def page_records(pages: DataFrame) -> DataFrame:
     return joined.select(F.encode(header, "UTF-8").alias("header"), body.alias("body"))
 
 
-def write_warc(records: DataFrame, path: str) -> None:
-    """Write records (header, body) as gzipped WARC files of at most ``FILE_RECORDS`` records.
+def write_warc(records: DataFrame, path: str, most: int = FILE_BYTES) -> None:
+    """Write records (header, body) as gzipped WARC files of at most ``most`` bytes.
 
-    The line writer ends every record with the two line breaks that the format asks for. Each task
-    writes what it has; nothing is shuffled.
+    The line writer ends every row with the two line breaks that the format asks for; a row is a
+    file. Each task writes what it has; nothing is shuffled.
     """
-    whole = F.concat("header", "body").cast("string").alias("value")
-    records.select(whole).write.options(
-        lineSep=END.decode(), compression="gzip", maxRecordsPerFile=FILE_RECORDS
+    def content(held: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([END.join(held)], pa.binary())], ["value"])
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for header, body in zip(batch.column("header"), batch.column("body"), strict=True):
+                record = header.as_py() + body.as_py()
+                if held and size + len(record) > most:
+                    yield content(held)
+                    held, size = [], 0
+                held.append(record)
+                size += len(record) + len(END)
+        if held:
+            yield content(held)
+
+    files = records.select("header", "body").mapInArrow(gathered, "value binary")
+    files.select(F.col("value").cast("string")).write.options(
+        lineSep=END.decode(), compression="gzip", maxRecordsPerFile=1
     ).text(path)
 
 

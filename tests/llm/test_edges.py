@@ -288,3 +288,36 @@ def test_toxicity_leaves_columns_alone(spark):
     assert {r.doc_id for r in kept} == set(range(0, 120, 3))
     assert {(r._words, r.given_toxic, r.given_p_toxic, r._doc) for r in kept} == {("w", "t", 0.5, 7)}
     assert all(r._x == r.doc_id for r in kept)
+
+
+@pytest.mark.parametrize("bound", [1, 4000, 1 << 20])
+def test_archive_files_are_bounded_by_bytes(spark, tmp_path, bound):
+    import gzip
+
+    pages = spark.createDataFrame(
+        [(n, f"u{n}", "é\r\n\r\n" * (n % 40 * 30)) for n in range(200)] + [(500, "u", "x" * 90_000)],
+        "page_id long, url string, html string",
+    ).coalesce(2)
+    records = warc.page_records(pages)
+    warc.write_warc(records, str(tmp_path / "w"), bound)
+    sizes = [len(gzip.open(f).read()) for f in (tmp_path / "w").glob("*.gz")]
+    largest = max(len(r.header) + len(r.body) for r in records.collect()) + 4
+    assert max(sizes) <= max(bound + 4, largest) and len(sizes) >= sum(sizes) // max(bound, largest)
+    back = warc.read_warc(spark, str(tmp_path / "w")).select("header").collect()
+    assert sorted(r.header for r in back) == sorted(r.header for r in records.collect())
+    assert warc.archive_pages(pages).count() == 201
+
+
+def test_buckets_on_several_levels_change_nothing(spark, monkeypatch):
+    rows = [(n if n % 5 else None, "w " * (n % 17), f"s{n % 3}") for n in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def plan():
+        found = mixing.plan_mix(df, mixing.ranked_schedule())
+        return sorted(map(str, found.select("doc_id", "size", "target", "taken", "copies").collect()))
+
+    wanted = plan()
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 2)
+    for digits in (1, 2):
+        monkeypatch.setattr(mixing, "LEVEL_DIGITS", digits)
+        assert plan() == wanted
