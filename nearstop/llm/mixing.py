@@ -15,6 +15,8 @@ from nearstop.scratch import materialise
 
 #: Documents of one source that a window sorts together, on average.
 BUCKET_ROWS = 1024
+#: Digits of a bucket that are summed at once: so many hex digits make a window of 4,096 rows.
+LEVEL_DIGITS = 3
 
 
 def with_schedule(sources: DataFrame, knots: Column) -> DataFrame:
@@ -76,6 +78,28 @@ def _bucket_digits(rows: int) -> int:
     return digits
 
 
+def _bases(buckets: DataFrame, digits: int) -> DataFrame:
+    """_source, _bucket and _base, the sizes of all buckets of the source before this one.
+
+    Buckets are summed level by level of ``LEVEL_DIGITS`` digits, so a window holds few of them
+    however large the source is.
+    """
+    out = buckets.select("_source", "_bucket", F.lit(0).cast("long").alias("_base"))
+    for begin in range(0, digits, LEVEL_DIGITS):
+        end = min(digits, begin + LEVEL_DIGITS)
+        prefix = F.substring("_bucket", 1, end)
+        before = Window.partitionBy("_source", F.substring("_prefix", 1, begin)).orderBy(
+            "_prefix"
+        ).rowsBetween(Window.unboundedPreceding, -1)
+        level = buckets.groupBy("_source", prefix.alias("_prefix")).agg(
+            F.sum("_sum").alias("_sum")
+        ).select("_source", "_prefix", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_less"))
+        out = out.withColumn("_prefix", prefix).join(level, ["_source", "_prefix"]).select(
+            "_source", "_bucket", (F.col("_base") + F.col("_less")).alias("_base")
+        )
+    return out
+
+
 def _position(at: Column) -> Column:
     """The time at which a source has supplied the part ``at`` (0 to 1) of its words."""
     return F.element_at(F.transform(F.array(at * F.col("weight")), lambda area: F.element_at(
@@ -106,11 +130,15 @@ def plan_mix(
     are documents of their own. An empty table gives an empty result.
     """
     # The texts are measured before anything is shuffled.
-    sized = materialise(with_row_number(documents.select(
+    numbered = with_row_number(documents.select(
         "doc_id", "source", row_hash(documents).alias("_row"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit("~")).alias("_order"),
-    )).withColumn("_source", group_key("source")), "sized")
+    ))
+    # Rows without an id have an order too, by what they hold.
+    named = F.coalesce(F.col("doc_id").cast("string"), F.concat_ws("-", F.lit(""), "_row", "_nth"))
+    sized = materialise(numbered.withColumns({
+        "_order": F.md5(named.cast("binary")), "_source": group_key("source"),
+    }), "sized")
     digits = _bucket_digits(sized.count())
     sized = sized.withColumn("_bucket", F.substring("_order", 1, digits) if digits else F.lit(""))
 
@@ -125,12 +153,7 @@ def plan_mix(
         materialise(schedule(sources), "sources"), share, most
     ), "targets").drop("source").withColumnRenamed("size", "source_size")
 
-    before = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = buckets.select(
-        "_source", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base")
-    ).join(targets, "_source")
+    offsets = _bases(buckets, digits).join(targets, "_source")
     inside = Window.partitionBy("_source", "_bucket").orderBy("_order", "_row", "_nth").rowsBetween(
         Window.unboundedPreceding, -1
     )

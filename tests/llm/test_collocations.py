@@ -3,6 +3,8 @@
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,9 +53,8 @@ def rows(spark):
 
 
 @pytest.mark.parametrize("budget", [1_000_000, 300, 20])
-def test_equals_plain_python(spark, rows, budget, monkeypatch):
-    # With the small ones pairs, triples and fours of words are extended, and tasks send early.
-    monkeypatch.setattr(collocations, "STRETCH", 1000 if budget == 20 else 250_000)
+def test_equals_plain_python(spark, rows, budget):
+    # With the small ones pairs, triples and fours of words are extended.
     odd = [
         (None, "And so on. And so on" * 20), ("und", "and so\ton, AND so on" * 9), ("", "a b " * 40),
         ("xx", None), ("xx", ""), ("xx", " \n\t.,"), ("yy", "é\x1cü É\x1cü " * 30), ("yy", "x " * 30_000),
@@ -75,3 +76,30 @@ def test_scores_are_exact(spark):
     rows = spark.createDataFrame(big, "a long, n long, l long, r long")
     found = [r[0] for r in rows.select(collocations.score("a", "n", "l", "r")).collect()]
     assert sorted(found) == sorted(1000 * a * n // (left * right) for a, n, left, right in big)
+
+
+@pytest.mark.parametrize("stretch", [1, 2, 7, 1000])
+def test_stretches_and_early_sums_lose_nothing(monkeypatch, stretch):
+    monkeypatch.setattr(collocations, "STRETCH", stretch)
+    monkeypatch.setattr(collocations, "PENDING", stretch)
+    texts = ["a b c d e f a b c d e f. a b", "", "a b c d e", "x", "a b c d e f"] * 3
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"]
+    )
+    every = collocations.Filter(np.full(64, -1, dtype=np.int64).view(np.uint64))
+    tally, sent = collocations.Tally(5), []
+    for words, starts in collocations._hashes(batch, {}, 0):
+        sent += tally.add(np.stack(collocations._runs(words, starts, every, 3), axis=1))
+    sent += tally.out()
+    found = Counter()
+    for part in sent:
+        for *key, n in zip(*[c.to_pylist() for c in part.columns], strict=True):
+            found[tuple(key)] += n
+    ids, wanted = collocations.Ids("en", 0), Counter()
+    for text in texts:
+        for piece in text.split("."):
+            words = [np.uint64(ids[w.encode()]).astype(np.int64) for w in piece.split()]
+            for n in range(len(words) - 2):
+                suffix = words[n:n + 5]
+                wanted[tuple(int(w) for w in suffix) + (0,) * (5 - len(suffix))] += 1
+    assert found == wanted

@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,10 +63,9 @@ def made(seed, convs, long=0):
     return rows
 
 
-@pytest.mark.parametrize(("budget", "together"), [(50_000, 200_000), (60, 5), (0, 1)])
-def test_equals_plain_python(spark, budget, together, monkeypatch):
+@pytest.mark.parametrize("budget", [50_000, 60, 0])
+def test_equals_plain_python(spark, budget, monkeypatch):
     # The small ones cut the trie into many subtrees; chunks of ids are short then.
-    monkeypatch.setattr(prefix_trie, "TOGETHER", together)
     monkeypatch.setattr(prefix_trie, "CHUNK", 4 if budget == 0 else 1 << 16)
     rows = made(7, 250, long=700)
     docs = spark.createDataFrame(rows, SCHEMA).withColumns(
@@ -95,3 +95,22 @@ def test_perfect_hash():
     same.levels, same.size, same.rest = [], 0, np.sort(keys[:9])
     assert np.array_equal(np.sort(same.slots(keys[:9])), np.arange(9))
     assert (same.slots(keys[9:20]) == -1).all()
+
+
+@pytest.mark.parametrize("together", [1, 3, 10, 1000])
+def test_shards_keep_subtrees_whole(monkeypatch, together):
+    # Chains of different length, each a subtree, in batches that cut them.
+    monkeypatch.setattr(prefix_trie, "TOGETHER", together)
+    rows, wanted = [], {}
+    for top in range(1, 12):
+        for depth in range(top % 4 + 1):
+            key = (depth + 5, top * 100 + depth, 7)
+            rows.append((*key, top * 100 + depth - 1, 7, int(depth == top % 4), depth, top, 0))
+            wanted[key] = (1, sum(range(depth, top % 4 + 1)))
+    names = ["depth", "h1", "h2", "q1", "q2", "leaves", "saved", "c1", "c2"]
+    table = pa.table([pa.array(c) for c in zip(*rows)], names=names)
+    found = {}
+    for batch in prefix_trie._solve_shard(iter(table.to_batches(max_chunksize=2))):
+        for *key, leaves, saved in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            found[tuple(key)] = (leaves, saved)
+    assert found == wanted
