@@ -179,20 +179,31 @@ def plan_mix(
     )
 
 
+def _numbered(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``with_row_number`` of whole documents; only those that repeat are shuffled for it."""
+    repeated = materialise(plan.where("_nth > 1").select("_row").distinct(), "repeated")
+    if repeated.isEmpty():
+        return rows.withColumn("_nth", F.lit(1))
+    single = rows.join(repeated, "_row", "left_anti").withColumn("_nth", F.lit(1))
+    return single.unionByName(with_row_number(rows.join(repeated, "_row", "left_semi")))
+
+
 def mix(documents: DataFrame, schedule, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The mixed documents, range-sorted by training position, with the columns of ``documents``.
 
     A document is repeated as often as the mix takes it. A copy at the end of its source's target
     holds only the words taken, each gap as one space, and its n_chars (if there is one) is new.
     """
-    plan = plan_mix(documents, schedule, share, most).where("taken > 0").select(
-        "_row", "_nth", F.col("size").alias("_size"), F.explode("copies").alias("_copy")
-    )
+    whole = materialise(plan_mix(documents, schedule, share, most).select(
+        "_row", "_nth", F.col("size").alias("_size"), "copies"
+    ), "plan")
+    plan = whole.select("_row", "_nth", "_size", F.explode("copies").alias("_copy"))
     # The document travels as one column, so no name of its columns can clash.
-    keyed = with_row_number(documents.select(
+    rows = documents.select(
         F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_doc"),
         row_hash(documents).alias("_row"), "doc_id",
-    )).drop("doc_id")
+    )
+    keyed = _numbered(rows, whole).drop("doc_id")
     taken = keyed.join(plan, ["_row", "_nth"])
     cut = F.col("_copy.words") < F.col("_size")
     words = F.filter(F.split("_doc.text", GAP), lambda w: w != "")
