@@ -4,12 +4,52 @@ from __future__ import annotations
 
 from checks import views
 from checks.queries import ONE_OFFER
-from nearstop.functions.text import (
-    LEADING_ZERO_DISTRICTS, NULL_TOKENS, PADDED_DISTRICTS, PADDED_STATES, UNKNOWN_STREET_MARKS,
-)
-from nearstop.schemas import (
-    RENTAL_FEATURE, RENTAL_LOCATION, RENTAL_PRICE_AND_COST, schema,
-)
+
+# Fixed values, written out here so that the SQL does not take them from what it checks.
+LEADING_ZERO_DISTRICTS = ["Bautzen_Kreis", "Vogtlandkreis", "Zwickau"]
+PADDED_STATES = ["Niedersachsen", "Nordrhein_Westfalen", "Baden_Württemberg"]
+PADDED_DISTRICTS = ["Plauen", "Dortmund"]
+UNKNOWN_STREET_MARKS = ["None", "NULL", "no_information"]
+NULL_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null",
+]
+
+# The columns of the rental file by the type they are read as, and those of the stored extracts.
+INTEGERS = [
+    "picturecount", "scoutId", "baseRentRange", "noRoomsRange", "livingSpaceRange",
+]
+DOUBLES = [
+    "serviceCharge", "pricetrend", "totalRent", "yearConstructed", "yearConstructedRange", "baseRent",
+    "numberOfFloors", "heatingCosts", "lastRefurbish", "electricityBasePrice", "electricityKwhPrice",
+]
+BOOLEANS = ["newlyConst", "balcony", "hasKitchen", "cellar", "lift", "garden"]
+TEXTS = [
+    "regio1", "heatingType", "telekomTvOffer", "telekomHybridUploadSpeed", "telekomUploadSpeed",
+    "noParkSpaces", "firingTypes", "geo_bln", "houseNumber", "livingSpace", "geo_krs", "condition",
+    "interiorQual", "petsAllowed", "street", "streetPlain", "typeOfFlat", "geo_plz", "noRooms",
+    "thermalChar", "floor", "regio2", "regio3", "energyEfficiencyClass", "date",
+]
+LOCATION = [
+    "scoutId", "date", "regio1", "regio2", "regio3", "geo_bln", "geo_krs", "geo_plz", "street",
+    "streetPlain", "houseNumber",
+]
+PRICE_AND_COST = [
+    "scoutId", "date", "serviceCharge", "newlyConst", "pricetrend", "totalRent", "baseRent",
+    "baseRentRange", "heatingCosts", "electricityBasePrice", "electricityKwhPrice",
+]
+FEATURE = [
+    "scoutId", "date", "heatingType", "telekomTvOffer", "telekomHybridUploadSpeed",
+    "telekomUploadSpeed", "balcony", "yearConstructed", "yearConstructedRange", "noParkSpaces",
+    "firingTypes", "hasKitchen", "cellar", "livingSpace", "condition", "interiorQual", "petsAllowed",
+    "lift", "typeOfFlat", "noRooms", "thermalChar", "floor", "numberOfFloors", "noRoomsRange",
+    "garden", "livingSpaceRange", "energyEfficiencyClass", "lastRefurbish",
+]
+STATION_TEXTS = [
+    "Type", "DHID", "Parent", "Name", "Latitude", "Longitude", "MunicipalityCode", "Municipality",
+    "DistrictCode", "District", "Condition", "State", "Description", "Authority", "DelfiName",
+    "TariffDHID", "TariffName",
+]
 
 
 def _select(columns: dict[str, str], table: str) -> str:
@@ -148,12 +188,12 @@ def _with(tables: list[str], query: str) -> str:
 
 def _typed(columns: list[str]) -> str:
     tokens = ", ".join(map(_text, NULL_TOKENS))
-    kinds = {"string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
-    fields = schema("RENTAL")
+    kinds = {name: kind for kind, names in (
+        ("VARCHAR", TEXTS), ("INTEGER", INTEGERS), ("DOUBLE", DOUBLES), ("BOOLEAN", BOOLEANS),
+    ) for name in names}
     return ", ".join(
-        f"TRY_CAST(CASE WHEN {name} IN ({tokens}) THEN NULL ELSE {name} END AS "
-        f"{kinds[fields[name].dataType.simpleString()]}) AS {name}"
-        for name in columns
+        f"TRY_CAST(CASE WHEN {name} IN ({tokens}) THEN NULL ELSE {name} END AS {kinds[name]}) "
+        f"AS {name}" for name in columns
     )
 
 
@@ -161,11 +201,9 @@ def _extract(columns: list[str]) -> str:
     return _with(["rental_file"], f"SELECT DISTINCT {_typed(columns)} FROM rental_file")
 
 
-_STATION_CELLS = ", ".join(
-    f"CAST({f.name} AS INTEGER) AS {f.name}" if f.name == "SeqNo"
-    else f"nullif({f.name}, '') AS {f.name}"
-    for f in schema("STATION").fields
-)
+_STATION_CELLS = ", ".join([
+    "CAST(SeqNo AS INTEGER) AS SeqNo", *[f"nullif({name}, '') AS {name}" for name in STATION_TEXTS]
+])
 
 ORACLE = {
     "knn_stations": _with(["nearest"], "SELECT scoutId, rank, DHID, Parent, Name FROM nearest"),
@@ -333,7 +371,7 @@ ORACLE = {
         "Longitude, Name, 'blue' FROM nearest",
     ),
     "scan_rental_csv": _with(
-        ["rental_file"], f"SELECT {_typed(schema('RENTAL').names)} FROM rental_file"
+        ["rental_file"], f"SELECT {_typed([*TEXTS, *INTEGERS, *DOUBLES, *BOOLEANS])} FROM rental_file"
     ),
     "scan_station_csv": _with(["station_file"], f"SELECT {_STATION_CELLS} FROM station_file"),
     "scan_mapping": _with(["mapping"], "SELECT * FROM mapping"),
@@ -343,9 +381,9 @@ ORACLE = {
         ["final"], "SELECT SeqNo, DHID, PLZ, ZIP_Group_Station FROM final"
     ),
     "append_roundtrip": _select(views.STATION, "part"),
-    "extract_location": _extract(RENTAL_LOCATION),
-    "extract_price_cost": _extract(RENTAL_PRICE_AND_COST),
-    "extract_feature": _extract(RENTAL_FEATURE),
+    "extract_location": _extract(LOCATION),
+    "extract_price_cost": _extract(PRICE_AND_COST),
+    "extract_feature": _extract(FEATURE),
     "lookup_hook_forward": _with(
         ["address"],
         "SELECT scoutId, address_string, CAST(length(address_string) AS DOUBLE) AS lat, CAST("
