@@ -8,6 +8,7 @@ rows that the model behind them has seen.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
@@ -74,31 +75,57 @@ def sample_labels(labels: DataFrame, categories: list[str], rows: int) -> DataFr
     return sample_by_label(single, categories, rows, ["doc_id"])
 
 
-def _vocabulary(examples: DataFrame, categories: list[str], size: int) -> list[str]:
+def _sums(categories: list[str]) -> list[Column]:
+    """For each fold the rows, their weight and the weight of those that meet each category."""
+    def fold(n: int, value: Column, name: str) -> Column:
+        return F.sum(F.when(F.col("_fold") == n, value).otherwise(0)).alias(f"{name}_{n}")
+
+    return [column for n in range(FOLDS) for column in (
+        fold(n, F.lit(1), "rows"), fold(n, F.col(WEIGHT), "n"),
+        *[fold(n, F.col(c) * F.col(WEIGHT), c) for c in categories],
+    )]
+
+
+def _vocabularies(
+    examples: DataFrame, categories: list[str], size: int, without: list[int | None]
+) -> list[list[str]]:
     """The words with the highest chi-squared statistic for any category, at most ``size`` each.
 
-    Rows count by their weight, which is scaled so that all together count as many as there are.
+    One list for each of ``without``, from the rows outside that fold, or from all rows. Rows count
+    by their weight, which is scaled so that all together count as many as there are. Words are
+    counted once, by fold.
     """
-    scale = examples.agg(F.avg(WEIGHT)).first()[0] or 1.0
-    weight = F.col(WEIGHT) / scale
-    met_by = [F.sum(F.col(c) * F.col("_w")).alias(c) for c in categories]
-    rows = examples.withColumn("_w", weight)
-    totals = rows.agg(F.sum("_w").alias("n"), *met_by).first()
-    counts = materialise(rows.select(
-        F.explode("_words").alias("word"), "_w", *categories
-    ).groupBy("word").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("_w").alias("n"), *met_by
-    ).where("rows >= 3"), "words")
-    chosen: set[str] = set()
-    for c in categories:
-        all_, met = float(totals["n"] or 0), float(totals[c] or 0)
-        expected = F.col("n") * met / all_ if all_ else F.lit(0.0)
-        score = (F.col(c) - expected) ** 2 / (expected * (1 - F.col("n") / (all_ + 1)))
-        if 0 < met < all_:
-            linked = counts.withColumn("_score", score).where(F.col("_score") >= LEAST_LINK)
+    totals = examples.agg(*_sums(categories)).first()
+    counts = materialise(examples.select(
+        F.explode("_words").alias("word"), WEIGHT, "_fold", *categories
+    ).groupBy("word").agg(*_sums(categories)), "words")
+
+    def best_words(left_out: int | None) -> list[str]:
+        folds = [n for n in range(FOLDS) if n != left_out]
+
+        def total(name: str) -> float:
+            return float(sum(totals[f"{name}_{n}"] or 0 for n in folds))
+
+        def held(name: str) -> Column:
+            return reduce(lambda a, b: a + b, [F.col(f"{name}_{n}") for n in folds])
+
+        scale = total("n") / total("rows") if total("rows") else 1.0
+        all_, chosen = total("rows"), set()
+        for c in categories:
+            met = total(c) / scale
+            if not 0 < met < all_:
+                continue
+            n = held("n") / scale
+            expected = n * met / all_
+            score = (held(c) / scale - expected) ** 2 / (expected * (1 - n / (all_ + 1)))
+            linked = counts.where(held("rows") >= 3).withColumn("_score", score).where(
+                F.col("_score") >= LEAST_LINK
+            )
             best = linked.orderBy(F.col("_score").desc(), "word").limit(size)
             chosen.update(row["word"] for row in best.select("word").collect())
-    return sorted(chosen)
+        return sorted(chosen)
+
+    return [best_words(left_out) for left_out in without]
 
 
 def _features(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -151,10 +178,9 @@ def train_chain(
         F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).alias("_fold"), WEIGHT, *categories,
     )
     table = materialise(examples.coalesce(8), "examples")
-    vocabulary = _vocabulary(table, categories, VOCABULARY)
-    others = [table.where(F.col("_fold") != fold) for fold in range(FOLDS)]
     # What a fold is held out from does not choose its words either.
-    words = [_vocabulary(rows, categories, VOCABULARY) for rows in others] if len(categories) > 1 else []
+    folds = list(range(FOLDS)) if len(categories) > 1 else []
+    vocabulary, *words = _vocabularies(table, categories, VOCABULARY, [None, *folds])
     links: list[Link] = []
     for n, category in enumerate(categories):
         earlier = categories[:n]
