@@ -41,7 +41,7 @@ def _stations_with_zip(spark: SparkSession, sf: str, heavy: bool = False) -> Dat
 
 def _stations_final(spark: SparkSession, sf: str) -> DataFrame:
     with_zip = _stations_with_zip(spark, sf, heavy=True)
-    found = geocode.nearest_zip(stations.missing_zip(with_zip), views.centres(spark, sf))
+    found = geocode.resolve_zips(stations.missing_zip(with_zip), views.centres(spark, sf))
     return stations.with_resolved_zip(with_zip, found)
 
 

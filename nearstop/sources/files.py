@@ -112,9 +112,11 @@ def read_zip_coordinates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def source_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on any file system the session can reach."""
-    try:
-        _load(spark.read.format("binaryFile"), path)
-        return True
-    except SourceNotFound:
-        return False
+    """Whether ``path``, or anything a pattern names, exists on a file system the session reaches.
+
+    The file system is asked for the path alone; what lies below it is not listed.
+    """
+    wanted = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = wanted.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = system.globStatus(wanted)
+    return found is not None and len(found) > 0
