@@ -229,10 +229,11 @@ def _starts(vectors: DataFrame) -> DataFrame:
             F.struct(F.lit(n).alias("start"), *scatter(name)) for n, name in enumerate(STARTS)
         ])
     ).alias("_m"))
-    return _factored(rows.select(
+    # Stored, so that Spark knows how small it is and does not deal all vectors by group to join it.
+    return materialise(_factored(rows.select(
         "_group", F.col("_m.start").alias("_start"), *[f"_c{i}" for i in range(SIZE)],
         *[F.col(f"_m.v{i}{j}").alias(f"_v{i}{j}") for i, j in PAIRS],
-    ))
+    )), "starts")
 
 
 def _moments(kept: DataFrame) -> DataFrame:
