@@ -349,6 +349,10 @@ ORACLE = {
         "SELECT count(*) AS n_rows, false AS whole_misses, true AS short_misses, "
         "false AS whole_differs, true AS short_differs FROM nation"
     ),
+    "station_column_checks": (
+        "SELECT count(*) AS n_rows, false AS whole_misses, true AS short_misses, "
+        "false AS whole_differs, true AS short_differs FROM part"
+    ),
     "row_count_kept": _with(
         ["station"],
         "SELECT count(*) AS n_rows, count(Latitude) AS n_located, false AS whole_differs, "

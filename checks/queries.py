@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from checks import views
 from nearstop.functions.text import zip_group
@@ -289,10 +290,9 @@ def source_exists(spark, sf):
     )
 
 
-def column_checks(spark, sf):
+def _column_checks(table: DataFrame, expected: StructType, left_out: str) -> DataFrame:
     """One row: which checks raise on a table, with all its columns and without one."""
-    table = views.centres(spark, sf)
-    expected, short = schema("MAPPING_ZIP_COOR"), table.drop("lng")
+    short = table.drop(left_out)
     raised = {
         "whole_misses": _raises(SchemaMismatch, require_columns, table, expected.names),
         "short_misses": _raises(SchemaMismatch, require_columns, short, expected.names),
@@ -304,6 +304,14 @@ def column_checks(spark, sf):
     )
 
 
+def column_checks(spark, sf):
+    return _column_checks(views.centres(spark, sf), schema("MAPPING_ZIP_COOR"), "lng")
+
+
+def station_column_checks(spark, sf):
+    return _column_checks(views.station_file(spark, sf), schema("STATION"), "TariffName")
+
+
 def row_count_kept(spark, sf):
     """One row: whether the count check raises for a step that keeps rows, and for one that drops."""
     before, after = views.stations(spark, sf), _stations(spark, sf)
@@ -521,6 +529,7 @@ QUERIES = {
     "surrogate_id": surrogate_id,
     "source_exists": source_exists,
     "column_checks": column_checks,
+    "station_column_checks": station_column_checks,
     "row_count_kept": row_count_kept,
     "map_features": map_markers,
     "map_all_features": map_all_features,

@@ -9,9 +9,9 @@ from nearstop.sinks.tables import append_run
 from nearstop.sources.tables import RUN, read_table, table_path
 
 QUANTILE_ERROR = 0.00001
-#: Items on a level of a sketch, and the share of rows that a quantile from it may be off by: a
-#: bound met with 99 % certainty, for one run or for many that were merged.
-SKETCH_ITEMS, SKETCH_ERROR = 4096, 0.002
+#: Size of a sketch, and the share of rows that a quantile from it may be off by: three times the
+#: bound that holds with 99 % certainty, for one run or for many that were merged.
+SKETCH_ITEMS, SKETCH_ERROR = 8192, 0.002
 
 
 def with_row_id(df: DataFrame, name: str = "_id") -> DataFrame:
