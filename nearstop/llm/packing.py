@@ -12,6 +12,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +23,11 @@ from nearstop.scratch import materialise
 SHARD = 20_000
 #: Emptiest sequences of each shard that are packed once more, with those of other shards.
 LOOSE, MEETING = 32, 256
-#: Entries a worker remembers of what it has tokenised.
-CACHE = 1_000_000
+#: Entries a worker remembers of what it has tokenised. An entry takes some 250 bytes, and each core
+#: of an executor has a worker of its own.
+CACHE = 500_000
+#: Texts that the tokenizer gets at once.
+BATCH = 8192
 #: Bytes of UTF-8 texts of plain ASCII and the letters U+00C0 to U+00FF only.
 COMMON = bytes([*range(9, 14), *range(32, 127), 0xC3, *range(0x80, 0xC0)])
 #: Anything but ASCII and Latin letters: such texts go through the tokenizer whole.
@@ -45,14 +49,18 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.by_word = by_word
-        self.words = Tokenizer.from_str(spec)
-        self.words.normalizer = None
+        # A tokenizer made from the model of another shares its vocabulary in memory.
+        self.words = Tokenizer(self.tokenizer.model)
         self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.cache: dict[str, bytes] = {}
 
     @staticmethod
     def _ids(tokenizer, texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        # What the tokenizer returns takes far more room than the ids.
+        found = (
+            e for n in range(0, len(texts), BATCH)
+            for e in tokenizer.encode_batch_fast(texts[n:n + BATCH], add_special_tokens=False)
+        )
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def _usual(self, text: str) -> bool:
@@ -81,13 +89,15 @@ class Encoder:
             cache[stretch] = cache[stretch[:-1]] + cache[stretch[-1]]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.cache) > CACHE:
-            self.cache.clear()
         cache, new, parts = self.cache, set(), []
         for text in texts:
             stretches = text.lower().split() if self._usual(text) else None
             new.update([s for s in stretches or () if s not in cache])
             parts.append(stretches)
+        if len(cache) + len(new) > CACHE:
+            # Frequent stretches are among those of these texts; the others may come again or not.
+            used = {s for stretches in parts for s in stretches or () if s not in new}
+            cache = self.cache = {s: cache[s] for s in used}
         self._learn(new)
         for text, stretches in zip(texts, parts, strict=True):
             if stretches is None:
@@ -107,16 +117,17 @@ def _encoder(spec: str, by_word: bool) -> Encoder:
     return _ENCODERS[key]
 
 
-def _groups(texts: list[str], size: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about ``size`` characters, so that little is tokenised at once."""
+def _groups(texts: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts of about ``size`` bytes with the number of their first, a null as an empty text.
+
+    Only one run at a time is held as Python texts and tokenised, whatever a batch holds.
+    """
     begin = held = 0
-    for n, text in enumerate(texts):
-        held += len(text)
-        if held >= size:
-            yield begin, n + 1
+    for n, length in enumerate(pc.binary_length(texts).to_pylist()):
+        held += length or 0
+        if held >= size or n + 1 == len(texts):
+            yield begin, [t or "" for t in texts.slice(begin, n + 1 - begin).to_pylist()]
             begin, held = n + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
 
 
 def tokenise(
@@ -131,11 +142,10 @@ def tokenise(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(spec.value, by_word)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = batch.column("doc_id")
-            for a, b in _groups(texts):
+            for first, texts in _groups(batch.column("text")):
                 rows, pieces, starts, lengths, sums, kept = [], [], [], [], [], []
-                for n, found in enumerate(encoder.encode(texts[a:b]), a):
+                for n, found in enumerate(encoder.encode(texts), first):
                     found += end
                     total = len(found) // 4
                     for piece, start in enumerate(range(0, total, length)):
