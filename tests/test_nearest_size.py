@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from nearstop.functions.geo import grid
 from nearstop.operators.nearest import (
-    Limits, _candidate_points, _first_level, _query_points, _settle, _tree, nearest_join,
+    Limits, _candidate_points, _first_level, _near, _query_points, _settle, _tree, nearest_join,
 )
 from tests.test_nearest import CANDIDATE, QUERY, brute, cloud, run
 
@@ -23,14 +23,18 @@ def test_places_share_the_candidates_of_a_query_cell(spark):
     ).select("_group", "_qlat", "_qlng").distinct()
     places = places.withColumns({name: grid(F.col(f"_q{of[1:]}")) for name, of in xy.items()})
     first = _first_level(points)
-    tiles, located = _settle(_tree(points, first, limits)[0], places, first, 1, 5, limits)
-    assert located.count() == places.count()
-    # Place by place the cells would hold some 80 candidates for each.
-    assert tiles.agg(F.sum("_total")).first()[0] < 30 * places.count()
+    cells, leaves = _tree(points, first, limits)
+    tiles, located = _settle(cells, places, first, 1, 5, limits)
+    near, homes = _near(tiles, leaves, located, limits)
+    assert homes.count() == places.count()
+    copied = near.select(F.inline("_chunks")).agg(F.sum("_n")).first()[0]
+    # Each settled cell with a copy of its own would take several times as many.
+    assert 4 * copied < tiles.agg(F.sum("_total")).first()[0]
+    assert copied < 10 * places.count()
 
 
 @pytest.mark.parametrize("limits", [
-    Limits(group=50, settled=40, shared=300), Limits(group=50, settled=4, per_place=3),
+    Limits(group=50, settled=40, shared=300), Limits(group=50, settled=4, shared=0),
 ])
 def test_shared_cells_give_the_nearest(spark, limits):
     queries, candidates = cloud(23, 400, "q"), cloud(24, 900, "p", tight=0.0005)
