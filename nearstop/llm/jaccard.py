@@ -274,7 +274,8 @@ def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Keys come by batch and rising in it, the same order in every part, so similar sets tend to have
     one leader. Memory holds the distinct signatures of the part, not the rows of a frequent one.
-    A pair comes with the signatures it was met by.
+    A pair comes once for each signature it was met by, so the rows are as many as the signatures
+    that sets have after their first keys, however many parts these lie in.
     """
     known, leaders = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -301,18 +302,12 @@ def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leaders = np.insert(leaders, at[~old], lead[~old])
         return per_row[pairs], keys[pairs], found[pairs]
 
-    def packed(leader, member, found) -> pa.RecordBatch:
-        order = np.lexsort((found, member, leader))
-        leader, member, found = leader[order], member[order], found[order]
-        first = np.r_[True, (leader[1:] != leader[:-1]) | (member[1:] != member[:-1])]
-        starts = np.flatnonzero(first)
-        offsets = np.r_[starts, len(found)].astype(np.int32)
-        lists = pa.ListArray.from_arrays(
-            pa.array(offsets), pa.array(found.astype(np.int64))
-        )
+    def rows(leader, member, found) -> pa.RecordBatch:
+        # In this order the keys repeat, so a stored table has little but the signatures.
+        order = np.lexsort((member, leader))
         return pa.RecordBatch.from_arrays(
-            [pa.array(leader[starts]), pa.array(member[starts]), lists],
-            names=["leader", "member", "found"],
+            [pa.array(x[order]) for x in (leader, member, found.astype(np.int64))],
+            names=["leader", "member", "signature"],
         )
 
     for batch in batches:
@@ -331,15 +326,15 @@ def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if waiting > 500_000:
                 made = settle()
                 if len(made[0]):
-                    yield packed(*made)
+                    yield rows(*made)
     if held:
         made = settle()
         if len(made[0]):
-            yield packed(*made)
+            yield rows(*made)
 
 
 def candidate_stars(documents: DataFrame, total: int) -> DataFrame:
-    """(leader, member, found): candidate pairs, as a star around the first key of a signature.
+    """(leader, member, signature): candidate pairs, as a star around the first key of a signature.
 
     ``total`` is the number of shingles of all documents, to choose the number of parts.
     """
@@ -347,7 +342,7 @@ def candidate_stars(documents: DataFrame, total: int) -> DataFrame:
     rows = _signature_rows(documents, parts)
     return rows.repartitionById(parts, "part").sortWithinPartitions("part", "batch").select(
         "part", "keys", "counts", "found"
-    ).mapInArrow(_star_pairs, "leader long, member long, found array<bigint>")
+    ).mapInArrow(_star_pairs, "leader long, member long, signature long")
 
 
 def _sketched(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -446,8 +441,9 @@ def similar_components(documents: DataFrame) -> DataFrame:
     ), "nodes")
     total = sets.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0
     stars = materialise(candidate_stars(documents, total), "stars")
-    votes = stars.groupBy("leader", "member").agg(F.sum(F.size("found")).alias("votes"))
-    pairs = votes.select(F.col("leader").alias("a"), F.col("member").alias("b"), "votes")
+    pairs = materialise(stars.groupBy(
+        F.col("leader").alias("a"), F.col("member").alias("b")
+    ).agg(F.count(F.lit(1)).alias("votes")), "pairs")
     near = _sketched(pairs, nodes).join(pairs, ["a", "b"])
     near = materialise(near, "near")
 
@@ -469,7 +465,7 @@ def similar_components(documents: DataFrame) -> DataFrame:
         links = materialise(links.unionByName(more), "links")
         labels = connected(links)
 
-    across = materialise(_pairs_across(stars, labels, nodes), "across")
+    across = materialise(_pairs_across(stars, pairs, labels, nodes), "across")
     if not across.isEmpty():
         left = across.select("a").unionByName(across.select(F.col("b").alias("a"))).distinct()
         missing = left.join(elements, left["a"] == elements["key"], "left_anti")
@@ -482,24 +478,24 @@ def similar_components(documents: DataFrame) -> DataFrame:
     return _numbered(sets, labels)
 
 
-def _pairs_across(stars: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+def _pairs_across(
+    stars: DataFrame, pairs: DataFrame, labels: DataFrame, nodes: DataFrame
+) -> DataFrame:
     """Pairs (a, b) that share a signature but no component, and that sketches allow.
 
-    Only signatures with a star pair that is still apart can have any; pairs with the leader were
-    tested before.
+    Only signatures with a star pair that is still apart can have any; ``pairs`` has the star pairs
+    (a, b), each once. Pairs with the leader were tested before.
     """
-    pairs = stars.select(F.col("leader").alias("a"), F.col("member").alias("b"))
-    apart = _apart(pairs.distinct(), labels)
-    open_rows = stars.join(
-        apart.select(F.col("a").alias("leader"), F.col("b").alias("member")),
-        ["leader", "member"], "left_semi",
-    )
+    apart = _apart(pairs.select("a", "b"), labels)
     open_found = materialise(
-        open_rows.select(F.explode("found").alias("signature"), "leader").distinct(), "open"
+        stars.join(
+            apart.select(F.col("a").alias("leader"), F.col("b").alias("member")),
+            ["leader", "member"], "left_semi",
+        ).select("signature", "leader").distinct(), "open"
     )
     leaders = open_found.select("leader").distinct()
     members = stars.join(leaders, "leader", "left_semi").select(
-        F.explode("found").alias("signature"), F.col("member").alias("key")
+        "signature", F.col("member").alias("key")
     ).join(open_found.select("signature"), "signature", "left_semi")
     # One row per set until the join: its open signatures are no more than its text gives.
     members = members.groupBy("key").agg(F.sort_array(F.collect_list("signature")).alias("found"))

@@ -135,6 +135,27 @@ def test_linked_sets_share_a_signature(size):
             assert len(np.intersect1d(jaccard.signatures(a), jaccard.signatures(b)))
 
 
+def test_star_rows_do_not_grow_with_the_parts(spark):
+    rng = np.random.default_rng(11)
+    texts = []
+    for group in range(6):
+        words = [f"w{group}x{n}" for n in range(400)]
+        for _ in range(5):
+            copy = list(words)
+            for n in rng.integers(0, len(copy), 4):
+                copy[n] = f"y{rng.integers(10**9)}"
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    runs = [
+        [(r[0], r[1]) for r in jaccard.candidate_stars(docs, n * jaccard.SIGNATURES).collect()]
+        for n in (1, 40)
+    ]
+    found = [jaccard.signatures(jaccard.shingle_set(text)) for text in texts]
+    matched = sum(map(len, found)) - len(np.unique(np.concatenate(found)))
+    assert len(runs[0]) == len(runs[1]) == matched > 5000
+    assert sorted(runs[0]) == sorted(runs[1])
+
+
 def test_test_within_the_join_turns_no_link_down(spark):
     rng = np.random.default_rng(5)
     rows = []
