@@ -491,12 +491,12 @@ def _pairs_across(
         stars.join(
             apart.select(F.col("a").alias("leader"), F.col("b").alias("member")),
             ["leader", "member"], "left_semi",
-        ).select("signature", "leader").distinct(), "open"
+        ).select("signature").distinct(), "open"
+    )
+    # Not by leader: all signatures of a large group have the same one.
+    members = stars.select("signature", F.col("member").alias("key")).join(
+        open_found, "signature", "left_semi"
     )
-    leaders = open_found.select("leader").distinct()
-    members = stars.join(leaders, "leader", "left_semi").select(
-        "signature", F.col("member").alias("key")
-    ).join(open_found.select("signature"), "signature", "left_semi")
     # One row per set until the join: its open signatures are no more than its text gives.
     members = members.groupBy("key").agg(F.sort_array(F.collect_list("signature")).alias("found"))
     members = members.join(labels, "key", "left").join(nodes, "key").select(
